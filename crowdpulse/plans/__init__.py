@@ -1,4 +1,4 @@
 """Registered queries over the driver tables (``queries()``/``oracle_sql()``)."""
 
-from crowdpulse.plans import silver_queries  # noqa: F401  (registers)
+from crowdpulse.plans import gold_queries, silver_queries  # noqa: F401  (registers)
 from crowdpulse.plans.registry import ORACLES, QUERIES  # noqa: F401

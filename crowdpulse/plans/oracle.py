@@ -120,7 +120,10 @@ def with_ctes(body: str, *needed: str) -> str:
 
     for n in needed:
         visit(n)
+    body = body.strip()
     if not order:
-        return body.strip()
+        return body
     parts = ",\n".join(f"{n} AS ({CTES[n][1]}\n)" for n in order)
-    return f"WITH {parts}\n{body.strip()}"
+    if body[:5].upper() == "WITH ":
+        return f"WITH {parts},\n{body[5:]}"
+    return f"WITH {parts}\n{body}"
