@@ -39,11 +39,19 @@ SELECT CAST(e.event_id AS VARCHAR) AS event_id,
        e.k
 FROM ev_k e LEFT JOIN region r ON r.r_regionkey = e.user_id % 5"""),
     # the feed as delivered: exact replays (k >= 95) and 3 s re-sends (90 <= k < 95)
-    "player_events": (("pe_base",), """
-SELECT * EXCLUDE (k) FROM pe_base
-UNION ALL SELECT * EXCLUDE (k) FROM pe_base WHERE k >= 95
-UNION ALL SELECT * EXCLUDE (k) REPLACE ("timestamp" + INTERVAL 3 SECOND AS "timestamp")
+    "pe_feed": (("pe_base",), """
+SELECT * FROM pe_base
+UNION ALL SELECT * FROM pe_base WHERE k >= 95
+UNION ALL SELECT * REPLACE ("timestamp" + INTERVAL 3 SECOND AS "timestamp")
           FROM pe_base WHERE k >= 90 AND k < 95"""),
+    "player_events": (("pe_feed",), """
+SELECT * EXCLUDE (k) FROM pe_feed"""),
+    # the feed after JSON parse + required-field filter: k = 13 (malformed) and
+    # k = 17 (no cdn) are dropped, k = 19 loses its bitrate, times are in ms
+    "pe_parsed": (("pe_feed",), """
+SELECT * REPLACE (date_trunc('millisecond', "timestamp") AS "timestamp",
+                  CASE WHEN k = 19 THEN NULL ELSE bitrate_kbps END AS bitrate_kbps)
+FROM pe_feed WHERE k NOT IN (13, 17)"""),
     "markers": (("ev_k",), """
 SELECT CAST(event_id AS VARCHAR) AS marker_id,
        'ch-' || CAST(event_id % 25 AS VARCHAR) AS channel,

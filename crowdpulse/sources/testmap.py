@@ -54,8 +54,9 @@ def _events_with_k(spark, sf_dir) -> DataFrame:
         _k().alias("k"))
 
 
-def player_events(spark: SparkSession, sf_dir: str, deliveries: bool = True) -> DataFrame:
-    """Flat player events (P2 shape). ``deliveries`` adds the replayed copies."""
+def player_events(spark: SparkSession, sf_dir: str, deliveries: bool = True, keep_k: bool = False) -> DataFrame:
+    """Flat player events (P2 shape). ``deliveries`` adds the replayed copies;
+    ``keep_k`` keeps the rule key ``k``."""
     ensure_defaults(spark)
     ev = _events_with_k(spark, sf_dir)
     # region has five rows in every TPC-H scale: a fixed-size broadcast.
@@ -89,7 +90,7 @@ def player_events(spark: SparkSession, sf_dir: str, deliveries: bool = True) ->
         resends = base.where((k >= 90) & (k < 95)).withColumn(
             "timestamp", F.col("timestamp") + F.expr(f"INTERVAL {RESEND_SHIFT_S} SECONDS"))
         base = base.unionByName(replays).unionByName(resends)
-    return base.drop("k")
+    return base if keep_k else base.drop("k")
 
 
 def markers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,3 +158,69 @@ def content_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "rights_window_start", "rights_window_end", "rights_territories",
         (F.lit(SCD2_CHANGE).cast("timestamp") + F.make_dt_interval(F.lit(0), key)).alias("updated_at"))
     return v1.unionByName(v2)
+
+
+# ---- wire feeds (JSON in the Kafka record layout) ---------------------------
+# Contract breaches injected by rule: k = 13 payload cut short (malformed),
+# k = 17 no "cdn" key, k = 19 bitrate sent as text.
+BROKEN_K, NO_CDN_K, BAD_TYPE_K = 13, 17, 19
+
+
+def _event_payload(k: F.Column) -> F.Column:
+    """One ``to_json`` per row; v1 rows then lose the v2 keys and the injected
+    breaches are applied with plain string edits."""
+    iso = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+    device = F.struct(F.col("device").alias("type"),
+                      F.concat(F.col("device"), F.lit("-m"), (k % 5).cast("string")).alias("model"),
+                      F.concat(F.lit("os-"), (k % 3).cast("string")).alias("os"),
+                      F.concat(F.lit("1.0."), (k % 4).cast("string")).alias("app_version"))
+    geo = F.struct(F.col("region").alias("region"),
+                   F.concat(F.lit("st-"), (F.col("user_id").cast("long") % 27).cast("string")).alias("state"),
+                   F.concat(F.lit("city-"), (F.col("user_id").cast("long") % 50).cast("string")).alias("city"),
+                   F.concat(F.lit("isp-"), (k % 6).cast("string")).alias("isp"))
+    doc = F.struct(F.col("event_id"), F.col("session_id"), F.col("user_id"), iso.alias("timestamp"),
+                   F.col("event_type"), F.col("content_id"), F.lit(True).alias("is_live"), device.alias("device"),
+                   geo.alias("geo"), F.col("cdn"), F.col("bitrate_kbps"), F.col("buffer_length_ms"),
+                   (k * 6).alias("playhead_position_s"), F.col("error_code"), F.col("schema_version"),
+                   F.col("network_type"))
+    text = F.to_json(doc, {"ignoreNullFields": "false"})
+    text = F.when(F.col("schema_version").isNull(),
+                  F.replace(text, F.lit(',"schema_version":null,"network_type":null'), F.lit(""))).otherwise(text)
+    return (F.when(k == BROKEN_K, F.substring(text, 1, 25))
+            .when(k == NO_CDN_K, F.regexp_replace(text, '"cdn":"[^"]*",', ""))
+            .when(k == BAD_TYPE_K, F.regexp_replace(text, '"bitrate_kbps":-?[0-9]+', '"bitrate_kbps":"fast"'))
+            .otherwise(text))
+
+
+def raw_player_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The player feed as Kafka records (Bronze layout): JSON ``value``,
+    key = session, 8 partitions by user, offset unique per delivered copy,
+    ingest time = event time + (k % 5) s."""
+    ensure_defaults(spark)
+    pe = player_events(spark, sf_dir, deliveries=False, keep_k=True)
+    k = F.col("k")
+    base = pe.withColumn("_copy", F.lit(0))
+    feed = base.unionByName(base.where(k >= 95).withColumn("_copy", F.lit(1))).unionByName(
+        base.where((k >= 90) & (k < 95)).withColumn(
+            "timestamp", F.col("timestamp") + F.expr(f"INTERVAL {RESEND_SHIFT_S} SECONDS")).withColumn(
+            "_copy", F.lit(2)))
+    return feed.select(
+        F.col("session_id").cast("binary").alias("key"),
+        _event_payload(k).cast("binary").alias("value"),
+        F.lit("player_events").alias("topic"),
+        (F.col("session_id").cast("long") % 8).cast("int").alias("partition"),
+        (F.col("event_id").cast("long") * 4 + F.col("_copy")).alias("offset"),
+        (F.col("timestamp") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), k % 5)).alias("timestamp"),
+        F.lit(0).alias("timestampType"),
+    )
+
+
+def raw_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cue feed as Kafka records."""
+    m = markers(spark, sf_dir)
+    payload = F.to_json(F.struct(*[F.date_format("wallclock", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("wallclock")
+                                   if c == "wallclock" else F.col(c) for c in m.columns]))
+    return m.select(F.col("marker_id").cast("binary").alias("key"), payload.cast("binary").alias("value"),
+                    F.lit("scte35_markers").alias("topic"), F.lit(0).alias("partition"),
+                    F.col("marker_id").cast("long").alias("offset"), F.col("wallclock").alias("timestamp"),
+                    F.lit(0).alias("timestampType"))
