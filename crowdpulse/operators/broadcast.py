@@ -1,8 +1,11 @@
 """Size-checked broadcast.
 
-A side is broadcast only after a bounded count proves it small; otherwise the
-plan keeps Spark's shuffle join (with AQE, which may still switch to a
-broadcast at runtime from measured sizes, and splits skewed partitions).
+A side is broadcast only when its size is proven small: first by the
+optimizer's own size estimate of the plan (no job runs; without CBO a filter or
+aggregate never lowers it, so it is an upper bound for scans, projections,
+filters and aggregates), else, when asked, by a bounded row count. Otherwise
+the plan keeps Spark's shuffle join; AQE may still switch to a broadcast from
+measured shuffle sizes, and splits skewed partitions.
 """
 
 from __future__ import annotations
@@ -10,11 +13,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows above which a side is never hinted for broadcast (~100 B per marker row
-# gives ~50 MB, well inside an executor).
+# ~64 MB: well inside an executor, and far below the driver's collect limit.
+DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+# Row cap used by the (optional) counting check.
 DEFAULT_MAX_BROADCAST_ROWS = 500_000
 
 
+def estimated_bytes(df: DataFrame) -> int | None:
+    """The optimizer's size estimate of ``df``'s plan in bytes, or None."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # noqa: BLE001 - not available on this client
+        return None
+
+
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows. Each partition stops
     after ``max_rows + 1`` rows, so the check is bounded on a big input."""
@@ -23,9 +35,29 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it is proven to hold at most ``max_rows`` rows,
-    else ``df`` unchanged. ``max_rows=None`` disables the hint."""
+def is_small(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES, expansion: float = 1.0,
+             count_rows: int | None = None) -> bool:
+    """``df`` times ``expansion`` fits in ``max_bytes`` by the static
+    estimate, or (if ``count_rows``) has at most that many rows."""
+    if df.isStreaming:
+        return False
+    est = estimated_bytes(df)
+    if est is not None and est * expansion <= max_bytes:
+        return True
+    return bool(count_rows) and row_count_at_most(df, count_rows)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS, *,
+                       max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES, size_of: DataFrame | None = None,
+                       expansion: float = 1.0, count: bool = False) -> DataFrame:
+    """``broadcast(df)`` if proven small, else ``df`` unchanged.
+
+    ``size_of``/``expansion`` check a source before a bounded expansion (e.g.
+    markers before each is exploded into at most ``expansion`` buckets).
+    ``count=True`` adds the bounded row count when the estimate is too large.
+    ``max_rows=None`` disables the hint."""
     if max_rows is None or max_rows <= 0:
         return df
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+    probe = size_of if size_of is not None else df
+    ok = is_small(probe, max_bytes, expansion, max_rows if count else None)
+    return F.broadcast(df) if ok else df

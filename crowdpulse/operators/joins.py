@@ -31,15 +31,16 @@ def _seconds(x) -> Column:
 
 def _bucketed_left_join(events: DataFrame, markers: DataFrame, end: Column, bucket_s: int, *,
                         ts: str, key: str, end_inclusive: bool, max_broadcast_rows: int | None,
-                        keep_bucket: bool = False) -> DataFrame:
+                        keep_bucket: bool = False, max_buckets: int = 2) -> DataFrame:
     """events LEFT JOIN markers ON key = channel AND wallclock <= ts <= / < end."""
     mcols = [c for c in markers.columns if c not in events.columns]
-    m = (markers.select("channel", *[c for c in mcols if c != "channel"])
+    src = markers.select("channel", *[c for c in mcols if c != "channel"])
+    m = (src
          .withColumn("_end", end)
          .withColumn(BKT, F.explode(F.sequence(_bucket_of(F.col("wallclock"), bucket_s),
                                                _bucket_of(F.col("_end"), bucket_s))))
          .withColumnRenamed("channel", "_channel"))
-    m = broadcast_if_small(m, max_broadcast_rows)
+    m = broadcast_if_small(m, max_broadcast_rows, size_of=src, expansion=max_buckets + 1)
     e = events.withColumn(BKT, _bucket_of(F.col(ts), bucket_s))
     upper = (e[ts] <= m["_end"]) if end_inclusive else (e[ts] < m["_end"])
     cond = (e[key] == m["_channel"]) & (e[BKT] == m[BKT]) & (e[ts] >= m["wallclock"]) & upper
@@ -67,20 +68,24 @@ def ad_interval_join(events: DataFrame, markers: DataFrame, span: str = "2 minut
     end = F.col("wallclock") + _seconds(F.lit(span_s))
     bucket_s = interval_seconds(bucket) if bucket else max(span_s, 1)
     return _bucketed_left_join(events, markers, end, bucket_s, ts=ts, key=key, end_inclusive=True,
-                               max_broadcast_rows=max_broadcast_rows, keep_bucket=keep_bucket)
+                               max_broadcast_rows=max_broadcast_rows, keep_bucket=keep_bucket,
+                               max_buckets=span_s // bucket_s + 1)
 
 
 def ad_break_join(events: DataFrame, markers: DataFrame, *, ts: str = "timestamp", key: str = "content_id",
                   bucket: str = "5 minutes", break_types: tuple[str, ...] | None = ("commercial",),
-                  max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                  max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
+                  max_break_s: int = 3600) -> DataFrame:
     """Interval bounded by each marker's own break length (J3):
     ``wallclock <= ts < wallclock + duration_s``; a zero-length break matches
-    nothing. Only ``break_types`` markers count (default commercial, D4)."""
+    nothing. Only ``break_types`` markers count (default commercial, D4).
+    ``max_break_s`` bounds the explode factor used by the broadcast size check."""
     if break_types is not None:
         markers = markers.where(F.col("break_type").isin(list(break_types)))
     end = F.col("wallclock") + _seconds(F.coalesce(F.col("duration_s"), F.lit(0)).cast("decimal(18,6)"))
-    return _bucketed_left_join(events, markers, end, interval_seconds(bucket), ts=ts, key=key,
-                               end_inclusive=False, max_broadcast_rows=max_broadcast_rows)
+    bucket_s = interval_seconds(bucket)
+    return _bucketed_left_join(events, markers, end, bucket_s, ts=ts, key=key, end_inclusive=False,
+                               max_broadcast_rows=max_broadcast_rows, max_buckets=max_break_s // bucket_s + 1)
 
 
 def asof_marker_join(events: DataFrame, markers: DataFrame, span: str = "2 minutes", *,

@@ -141,8 +141,9 @@ def fail_if_any(report: DataFrame) -> None:
 def runtime_checks(batch_df: DataFrame, checks=None) -> None:
     """In-stream checks of a micro-batch (DQ6): silver keys not null by
     default; raises so the batch is retried instead of lost."""
-    checks = checks or [lambda d: _fail_count_check(
-        d, "silver_keys", F.col("window_start").isNull() | F.col("cdn").isNull() | F.col("marker_id").isNull())]
+    if checks is None:
+        checks = [lambda d: _fail_count_check(
+            d, "silver_keys", F.col("window_start").isNull() | F.col("cdn").isNull() | F.col("marker_id").isNull())]
     for c in checks:
         fail_if_any(c(batch_df))
 
