@@ -55,30 +55,37 @@ def ad_break_rows(silver: DataFrame, label: str = REGULAR_CONTENT) -> DataFrame:
     return silver.where(F.col("marker_id") != F.lit(label))
 
 
-def gold_reconciliation(silver: DataFrame, ads: DataFrame, content: DataFrame, *, label: str = REGULAR_CONTENT,
-                        max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Silver x enriched ad revenue on trimmed marker.
+# Regular-content rows get a salted key that no ad marker can equal; the
+# salt spreads them over this many shuffle keys.
+REGULAR_SALT_BUCKETS = 1024
+_NO_AD_PREFIX = "\u0000regular-"
 
-    The regular-content label is the hottest key in Silver and never matches an
-    ad, so those rows bypass the join and are unioned back with null ad
-    columns; only ad-break rows are joined (broadcast if the enriched ads are
-    proven small, else a shuffle join with AQE).
+
+def gold_reconciliation(silver: DataFrame, ads: DataFrame, content: DataFrame, *, label: str = REGULAR_CONTENT,
+                        max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
+                        salt_buckets: int = REGULAR_SALT_BUCKETS) -> DataFrame:
+    """Silver x enriched ad revenue on trimmed marker, left.
+
+    The regular-content label is the hottest key in Silver and never matches
+    an ad. Its rows join on a deterministic salted key (hash of the cell) that
+    cannot equal a marker id, so in a shuffle join they spread over
+    ``salt_buckets`` keys instead of one partition, and Silver is read once.
+    The enriched ads are broadcast when proven small, else AQE decides.
     """
     enriched = ads_content_join(ad_revenue_by_marker(ads), content, max_broadcast_rows)
     enriched = broadcast_if_small(enriched.withColumn("_mk", trimmed("marker_id")).drop("marker_id"),
                                   max_broadcast_rows)
     s = silver.select("window_start", "marker_id", "region", "device", "cdn", "ccv", "avg_bitrate_kbps",
                       "error_rate")
-    in_break = s.where(F.col("marker_id").isNotNull() & (F.col("marker_id") != F.lit(label)))
-    regular = s.where(F.col("marker_id").isNull() | (F.col("marker_id") == F.lit(label)))
-    joined = in_break.join(enriched, trimmed(in_break["marker_id"]) == enriched["_mk"], "left")
-    cols = lambda df: df.select(
+    regular = F.col("marker_id").isNull() | (F.col("marker_id") == F.lit(label))
+    salt = F.pmod(F.xxhash64("window_start", "region", "device", "cdn"), F.lit(salt_buckets))
+    s = s.withColumn("_jk", F.when(regular, F.concat(F.lit(_NO_AD_PREFIX), salt.cast("string")))
+                     .otherwise(trimmed("marker_id")))
+    joined = s.join(enriched, s["_jk"] == enriched["_mk"], "left")
+    return joined.select(
         "window_start", "marker_id", "content_title", "genre", "advertiser_name", "region", "device", "cdn",
         F.col("ccv"), round_dec("revenue_brl", 2).alias("total_revenue_brl"),
         round_dec("avg_bitrate_kbps", 2).alias("avg_bitrate_kbps"), round_dec("error_rate", 4).alias("error_rate"))
-    nulls = regular.select(*s.columns, *[F.lit(None).cast(t).alias(n) for n, t in (
-        ("content_title", "string"), ("genre", "string"), ("advertiser_name", "string"), ("revenue_brl", "double"))])
-    return cols(joined).unionByName(cols(nulls))
 
 
 def ad_impressions_3way(events: DataFrame, markers: DataFrame, ads: DataFrame, span: str = "2 minutes",

@@ -86,13 +86,24 @@ def player_events(spark: SparkSession, sf_dir: str, deliveries: bool = True, kee
         k,
     )
     if deliveries:
-        replays = base.where(k >= 95)
-        resends = base.where((k >= 90) & (k < 95)).withColumn(
-            "timestamp", F.col("timestamp") + F.expr(f"INTERVAL {RESEND_SHIFT_S} SECONDS"))
-        base = base.unionByName(replays).unionByName(resends)
+        base = with_deliveries(base)
     return base if keep_k else base.drop("k")
 
 
+def with_deliveries(base: DataFrame, keep_copy: bool = False) -> DataFrame:
+    """At-least-once delivery in one pass: each row is exploded into its
+    delivered copies (0 = original, 1 = exact replay, 2 = re-send shifted by
+    ``RESEND_SHIFT_S``); column ``_copy`` names the copy."""
+    k = F.col("k")
+    copies = (F.when(k >= 95, F.array(F.lit(0), F.lit(1)))
+              .when((k >= 90) & (k < 95), F.array(F.lit(0), F.lit(2)))
+              .otherwise(F.array(F.lit(0))))
+    out = base.withColumn("_copy", F.explode(copies))
+    out = out.withColumn("timestamp", F.when(F.col("_copy") == 2, F.col("timestamp") + F.expr(
+        f"INTERVAL {RESEND_SHIFT_S} SECONDS")).otherwise(F.col("timestamp")))
+    return out if keep_copy else out.drop("_copy")
+
+
 def markers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SCTE-35 cue markers: the signup rows."""
     ensure_defaults(spark)
@@ -199,11 +210,7 @@ def raw_player_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_defaults(spark)
     pe = player_events(spark, sf_dir, deliveries=False, keep_k=True)
     k = F.col("k")
-    base = pe.withColumn("_copy", F.lit(0))
-    feed = base.unionByName(base.where(k >= 95).withColumn("_copy", F.lit(1))).unionByName(
-        base.where((k >= 90) & (k < 95)).withColumn(
-            "timestamp", F.col("timestamp") + F.expr(f"INTERVAL {RESEND_SHIFT_S} SECONDS")).withColumn(
-            "_copy", F.lit(2)))
+    feed = with_deliveries(pe, keep_copy=True)
     return feed.select(
         F.col("session_id").cast("binary").alias("key"),
         _event_payload(k).cast("binary").alias("value"),
