@@ -130,3 +130,71 @@ def q_backfill(spark, sf_dir):
                    WINDOW, SPAN)
     return out.drop("event_date")
 
+
+
+@register("bronze_ingest", with_ctes("""
+SELECT COUNT(*) + 1 AS records, COUNT(DISTINCT CASE WHEN k <> 13 THEN event_id END) + 1 AS event_ids
+FROM pe_feed""", "pe_feed"))
+def q_bronze_ingest(spark, sf_dir):
+    """Landing files -> Bronze stream (raw Kafka layout, partitioned by ingest
+    date) (IO3, SK1, SK2, ST10); counts every record incl. the sentinel and
+    the event ids readable from the payloads (truncated ones have none)."""
+    root = scratch_path(spark, "bronze")
+    bronze, _ = _bronze(spark, sf_dir, root)
+    b = spark.read.parquet(bronze)
+    eid = F.get_json_object(F.col("value").cast("string"), "$.event_id")
+    return b.agg(F.count(F.lit(1)).alias("records"), F.count_distinct(eid).alias("event_ids"))
+
+
+@register("gold_write_partitioned", with_ctes("SELECT * FROM gold", "gold"))
+def q_gold_write_partitioned(spark, sf_dir):
+    """Gold written twice with dynamic partition overwrite and read back: the
+    rewrite is idempotent (SK8, T5)."""
+    from crowdpulse.plans.gold_queries import gold_table
+    from crowdpulse.sinks.writers import gold_write_partitioned
+    path = scratch_path(spark, "gold") + "/gold"
+    gold_write_partitioned(gold_table(spark, sf_dir), path)
+    gold_write_partitioned(gold_table(spark, sf_dir), path)
+    return spark.read.parquet(path).drop("event_date")
+
+
+@register("jsonl_roundtrip", with_ctes("""
+SELECT marker_id, channel, splice_command, event_id_scte, out_of_network, pts_time, wallclock, duration_s,
+       break_type FROM markers_ms""", "markers_ms"))
+def q_jsonl_roundtrip(spark, sf_dir):
+    """Markers published as JSON lines (IO7), converted to Snappy Parquet with
+    the explicit contract schema (IO9, IO5) and read back."""
+    from crowdpulse import schemas
+    from crowdpulse.sources.readers import jsonl_to_parquet, publish_jsonl
+    root = scratch_path(spark, "jsonl")
+    tm.raw_markers(spark, sf_dir).select(F.col("value").cast("string").alias("value")).write.text(f"{root}/src")
+    publish_jsonl(spark, f"{root}/src", "file", {"path": f"{root}/drop"})
+    jsonl_to_parquet(spark, f"{root}/drop", f"{root}/pq", schemas.SCTE35_MARKER)
+    return spark.read.parquet(f"{root}/pq")
+
+
+@register("sessionise_stream", with_ctes("""
+SELECT * FROM (
+SELECT session_id, content_id, MIN("timestamp") AS session_start, MAX("timestamp") + INTERVAL 3 HOUR AS session_end,
+       COUNT(*) AS events, bool_or(event_type IN ('video_end', 'error')) AS closed
+FROM (SELECT *, SUM(brk) OVER (PARTITION BY session_id, content_id ORDER BY "timestamp"
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sn
+      FROM (SELECT *, CASE WHEN "timestamp" - lag("timestamp") OVER (PARTITION BY session_id, content_id
+                                                                    ORDER BY "timestamp") < INTERVAL 3 HOUR
+                           THEN 0 ELSE 1 END AS brk
+            FROM ev_dedup) a) b
+GROUP BY session_id, content_id, sn) s""", "ev_dedup"))
+def q_sessionise_stream(spark, sf_dir):
+    """Streaming sessionisation after watermarked dedupe (ST2, ST6) over the
+    delivered feed, sentinel-closed; equals the batch sessions."""
+    from crowdpulse.operators.sessions import sessionise
+    root = scratch_path(spark, "sessions")
+    feed = tm.player_events(spark, sf_dir)
+    feed.repartition(3).write.parquet(f"{root}/in")
+    sentinel = feed.limit(1).withColumn("session_id", F.lit("zz-sentinel")).withColumn(
+        "timestamp", F.lit("2024-06-01 00:00:00").cast("timestamp"))
+    sentinel.write.mode("append").parquet(f"{root}/in")
+    s = spark.readStream.schema(feed.schema).parquet(f"{root}/in")
+    out = sessionise(dedupe_stream(s, "15 seconds"), "3 hours", keys=("session_id", "content_id"))
+    start_to_parquet(out, f"{root}/out", f"{root}/ckpt").awaitTermination()
+    return spark.read.parquet(f"{root}/out").where(F.col("session_id") != "zz-sentinel")
