@@ -135,3 +135,14 @@ def lateness_profile(raw: DataFrame, ts: str = "event_ts", seq: str = "offset",
                     exclusive=True)
     late = F.greatest(F.lit(0.0), (F.col("_maxprev") - F.unix_micros(F.col(ts))) / F.lit(1_000_000.0))
     return r.withColumn("lateness_s", F.coalesce(late, F.lit(0.0))).drop("_maxprev")
+
+
+def clock_skew(events: DataFrame, key: str = "session_id", ts: str = "timestamp", ingest: str = "ingest_ts",
+               accuracy: int = 100_000) -> DataFrame:
+    """Per-session clock offset estimate: the median of
+    ingest time minus event time, in ms. ``percentile_approx`` keeps memory
+    bounded on a hot session; it is exact while a session has fewer than
+    ``accuracy`` events."""
+    lag_ms = (F.unix_micros(ingest) - F.unix_micros(ts)) / F.lit(1000.0)
+    return events.groupBy(key).agg(F.percentile_approx(lag_ms, 0.5, accuracy).alias("offset_ms"),
+                                   F.count(F.lit(1)).alias("events"))

@@ -258,3 +258,17 @@ FROM (SELECT *, AVG(error_rate) OVER w AS mu, STDDEV_SAMP(error_rate) OVER w AS
                                       "silver"))
 def q_zscore_anomaly(spark, sf_dir):
     return SL.zscore_anomaly(cdn_error_weighted(silver_table(spark, sf_dir)), "error_rate", 10)
+
+
+@register("clock_skew", with_ctes("""
+SELECT session_id, MIN(CASE WHEN rn = CAST(ceil(n / 2.0) AS BIGINT) THEN lag_ms END) AS offset_ms,
+       MAX(n) AS events
+FROM (SELECT session_id, lag_ms, row_number() OVER (PARTITION BY session_id ORDER BY lag_ms) AS rn,
+             COUNT(*) OVER (PARTITION BY session_id) AS n
+      FROM (SELECT session_id, (epoch_us("timestamp" + (k % 5) * INTERVAL 1 SECOND)
+                                - epoch_us(date_trunc('millisecond', "timestamp"))) / 1000.0 AS lag_ms
+            FROM pe_feed WHERE k NOT IN (13, 17)) a) t
+GROUP BY 1""", "pe_feed"))
+def q_clock_skew(spark, sf_dir):
+    """Median arrival offset per session from Kafka ingest time (§7.6)."""
+    return SE.clock_skew(parsed_events(spark, sf_dir))

@@ -78,12 +78,23 @@ def late_side_output(stream: DataFrame, on_time_path: str, late_path: str, check
     state_dir = f"{checkpoint.rstrip('/')}/late_watermarks"
     spark = stream.sparkSession
 
-    def _load(batch_id: int):
+    def _read(path):
         try:
-            prev = spark.read.json(state_dir)
-        except Exception:  # noqa: BLE001 - no state yet
+            return spark.read.schema("batch_id long, max_event_us long").json(path)
+        except Exception:  # noqa: BLE001 - no state there
+            return None
+
+    def _load(batch_id: int):
+        # micro-batch ids are consecutive, so the previous state is normally b=id-1;
+        # scan all states only when that one is absent
+        if batch_id == 0:
             return None
-        r = prev.where(F.col("batch_id") < batch_id).orderBy(F.col("batch_id").desc()).limit(1).collect()
+        prev = _read(f"{state_dir}/b={batch_id - 1}")
+        r = prev.collect() if prev is not None else []
+        if not r:
+            prev = _read(state_dir)
+            r = [] if prev is None else prev.where(F.col("batch_id") < batch_id).orderBy(
+                F.col("batch_id").desc()).limit(1).collect()
         return r[0]["max_event_us"] if r else None
 
     def process(batch_df: DataFrame, batch_id: int) -> None:
