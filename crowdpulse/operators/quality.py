@@ -156,6 +156,18 @@ def _kind_ok(typ: Column, kind: str) -> Column:
     return typ.isin(list(VARIANT_KINDS[kind]))
 
 
+def _variant_type(path: str, kind: str) -> Column:
+    """JSON type name at ``path`` of the parsed payload ``_v``: the variant
+    type for leaves; for objects only OBJECT / VOID / OTHER, without building
+    the object's full type string."""
+    node = F.variant_get("_v", path, "variant")
+    if kind != "object":
+        return F.schema_of_variant(node)
+    is_obj = F.try_variant_get("_v", path, "map<string,variant>").isNotNull()
+    return (F.when(node.isNull(), F.lit(None).cast("string")).when(is_obj, F.lit("OBJECT"))
+            .when(F.is_variant_null(node), F.lit("VOID")).otherwise(F.lit("OTHER")))
+
+
 def validate_contract(raw: DataFrame, contract, value_col: str = "value") -> DataFrame:
     """Add ``violations`` (array<string>: ``malformed_json``,
     ``missing:<path>``, ``null:<path>``, ``type:<path>``) and ``valid`` to raw
@@ -166,8 +178,9 @@ def validate_contract(raw: DataFrame, contract, value_col: str = "value") -> Dat
     staged = raw.withColumn("_v", F.try_parse_json(F.col(value_col).cast("string")))
     # The types come out of a one-row generator: filters on the result (e.g. the
     # DLQ split) then stop above it instead of inlining the parse per path.
-    types = F.struct(F.schema_of_variant("_v").alias("_top"),
-                     *[F.schema_of_variant(F.variant_get("_v", f"$.{p}", "variant")).alias(tname[p]) for p in paths])
+    kinds = {p: k for p, k, *_ in contract}
+    types = F.struct(_variant_type("$", "object").alias("_top"),
+                     *[_variant_type(f"$.{p}", kinds[p]).alias(tname[p]) for p in paths])
     staged = staged.select("*", F.inline(F.array(types)))
     is_obj = F.col("_v").isNotNull() & F.coalesce(F.col("_top").startswith("OBJECT"), F.lit(False))
     items = [F.when(~is_obj, F.lit("malformed_json"))]
