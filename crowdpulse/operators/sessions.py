@@ -21,15 +21,36 @@ def _ms(a, b):
 
 
 def sessionise(events: DataFrame, gap: str = "30 minutes", keys=("session_id",),
-               ts: str = "timestamp") -> DataFrame:
+               ts: str = "timestamp", bucket: str = "1 hour") -> DataFrame:
     """Split each key's events into sessions separated by ``gap`` of
-    inactivity (ST6); batch or streaming (after a watermark). A session ends
-    ``gap`` after its last event."""
-    agg = events.groupBy(*keys, F.session_window(ts, gap).alias("sw")).agg(
-        F.count(F.lit(1)).alias("events"),
-        F.max(F.col("event_type").isin(list(CLOSING_EVENTS))).alias("closed"))
-    return agg.select(*keys, F.col("sw.start").alias("session_start"), F.col("sw.end").alias("session_end"),
-                      "events", "closed")
+    inactivity (ST6); a session ends ``gap`` after its last event.
+
+    Streams use ``session_window`` (after a watermark). Batch input avoids
+    putting a whole key in one task: the distinct (key, time) points get the
+    next point per key (bucketed lead), a point followed by a gap >= ``gap``
+    ends a session, sessions are numbered by a carried running count of ends,
+    and events join back on (key, time)."""
+    keys = list(keys)
+    closing = F.col("event_type").isin(list(CLOSING_EVENTS))
+    if events.isStreaming:
+        agg = events.groupBy(*keys, F.session_window(ts, gap).alias("sw")).agg(
+            F.count(F.lit(1)).alias("events"), F.max(closing).alias("closed"))
+        return agg.select(*keys, F.col("sw.start").alias("session_start"), F.col("sw.end").alias("session_end"),
+                          "events", "closed")
+    gap_us = interval_seconds(gap) * 1_000_000
+    bkt = time_bucket(ts, interval_seconds(bucket))
+    points = events.groupBy(*keys, ts).agg(F.count(F.lit(1)).alias("_n"), F.max(closing).alias("_closed"))
+    nxt = bucketed_lead(points, keys, ts, [], bkt)
+    ends = nxt.withColumn("_end", (F.col(f"next_{ts}").isNull()
+                                   | ((F.unix_micros(f"next_{ts}") - F.unix_micros(ts)) >= gap_us)).cast("int"))
+    numbered = running_agg(ends, keys, [F.col(ts)], "_end", bkt, "_sn", exclusive=True)
+    numbered = numbered.withColumn("_sn", F.coalesce("_sn", F.lit(0)))
+    agg = numbered.groupBy(*keys, "_sn").agg(
+        F.min(ts).alias("session_start"), F.max(ts).alias("_last"), F.sum("_n").alias("events"),
+        F.max("_closed").alias("closed"))
+    return agg.select(*keys, "session_start",
+                      (F.col("_last") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(gap_us / 1e6)))
+                      .alias("session_end"), "events", "closed")
 
 
 def session_summary(events: DataFrame, key: str = "session_id", ts: str = "timestamp") -> DataFrame:

@@ -107,3 +107,16 @@ def test_late_side_output_and_upsert_replay(spark):
     silver_upsert(s, f"{up}/t", f"{up}/ck", ["key"], checks=[], trigger=None).awaitTermination()
     got = {r.key: r.v for r in read_upserted(spark, f"{up}/t", ["key"]).collect()}
     assert got == {"k1": 10, "k2": 2}
+
+
+def test_batch_sessionise_equals_session_window_on_hot_key(spark):
+    rnd = random.Random(11)
+    rows = [ev(f"e{i}", rnd.choice([rnd.uniform(0, 20000), float(rnd.randint(0, 50)) * 400]),
+               rnd.choice(["heartbeat", "error"]), rnd.choice(["hot"] * 8 + ["s2", "s3"])) for i in range(600)]
+    df = spark.createDataFrame(rows, EVENT_DDL)
+    got = SE.sessionise(df, "10 minutes", bucket="20 minutes")
+    sw = df.groupBy("session_id", F.session_window("timestamp", "10 minutes").alias("w")).agg(
+        F.count(F.lit(1)).alias("events"), F.max(F.col("event_type").isin("video_end", "error")).alias("closed"))
+    want = sw.select("session_id", F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"),
+                     "events", "closed")
+    assert sorted(got.collect()) == sorted(want.collect())
