@@ -7,7 +7,7 @@ become one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crowdpulse.functions.columns import interval_seconds
@@ -26,10 +26,9 @@ def sessionise(events: DataFrame, gap: str = "30 minutes", keys=("session_id",),
     inactivity (ST6); a session ends ``gap`` after its last event.
 
     Streams use ``session_window`` (after a watermark). Batch input avoids
-    putting a whole key in one task: the distinct (key, time) points get the
-    next point per key (bucketed lead), a point followed by a gap >= ``gap``
-    ends a session, sessions are numbered by a carried running count of ends,
-    and events join back on (key, time)."""
+    putting a whole key in one task and reads its input once: events are
+    sessionised per (key, ``bucket``) into fragments, then the few fragments
+    of each key are merged across buckets."""
     keys = list(keys)
     closing = F.col("event_type").isin(list(CLOSING_EVENTS))
     if events.isStreaming:
@@ -38,15 +37,27 @@ def sessionise(events: DataFrame, gap: str = "30 minutes", keys=("session_id",),
         return agg.select(*keys, F.col("sw.start").alias("session_start"), F.col("sw.end").alias("session_end"),
                           "events", "closed")
     gap_us = interval_seconds(gap) * 1_000_000
-    bkt = time_bucket(ts, interval_seconds(bucket))
-    points = events.groupBy(*keys, ts).agg(F.count(F.lit(1)).alias("_n"), F.max(closing).alias("_closed"))
-    nxt = bucketed_lead(points, keys, ts, [], bkt)
-    ends = nxt.withColumn("_end", (F.col(f"next_{ts}").isNull()
-                                   | ((F.unix_micros(f"next_{ts}") - F.unix_micros(ts)) >= gap_us)).cast("int"))
-    numbered = running_agg(ends, keys, [F.col(ts)], "_end", bkt, "_sn", exclusive=True)
-    numbered = numbered.withColumn("_sn", F.coalesce("_sn", F.lit(0)))
-    agg = numbered.groupBy(*keys, "_sn").agg(
-        F.min(ts).alias("session_start"), F.max(ts).alias("_last"), F.sum("_n").alias("events"),
+
+    def breaks(cur, prev):
+        return (prev.isNull() | ((F.unix_micros(cur) - F.unix_micros(prev)) >= gap_us)).cast("int")
+
+    # 1. Fragments: sessionise each (key, hour) on its own. One shuffle, and the
+    #    fragment aggregate reuses the window's partitioning (no second one).
+    b = events.select(*keys, ts, closing.alias("_c")).withColumn("_b", time_bucket(ts, interval_seconds(bucket)))
+    w = Window.partitionBy(*keys, "_b").orderBy(ts)
+    b = b.withColumn("_brk", breaks(F.col(ts), F.lag(ts).over(w)))
+    b = b.withColumn("_ln", F.sum("_brk").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    frags = b.groupBy(*keys, "_b", "_ln").agg(
+        F.min(ts).alias("_fs"), F.max(ts).alias("_fl"), F.count(F.lit(1)).alias("_n"), F.max("_c").alias("_closed"))
+    # 2. Merge fragments per key: fragments are disjoint and time ordered, so a
+    #    fragment continues the previous one when it starts less than ``gap``
+    #    after that one's last event. A key holds one row per fragment here,
+    #    not per event.
+    wk = Window.partitionBy(*keys).orderBy("_fs")
+    frags = frags.withColumn("_gb", breaks(F.col("_fs"), F.lag("_fl").over(wk)))
+    frags = frags.withColumn("_sn", F.sum("_gb").over(wk.rowsBetween(Window.unboundedPreceding, 0)))
+    agg = frags.groupBy(*keys, "_sn").agg(
+        F.min("_fs").alias("session_start"), F.max("_fl").alias("_last"), F.sum("_n").alias("events"),
         F.max("_closed").alias("closed"))
     return agg.select(*keys, "session_start",
                       (F.col("_last") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(gap_us / 1e6)))
@@ -136,14 +147,31 @@ def ccv_sweep(sessions: DataFrame, key: str = "content_id", start: str = "sessio
     running sum per ``key`` over time (ends before starts at one instant).
     The running sum runs per (key, hour) with a carried offset. Returns each
     change point with the concurrency after it."""
-    deltas = sessions.select(key, F.col(start).alias("t"), F.lit(1).alias("delta")).unionByName(
-        sessions.select(key, F.col(end).alias("t"), F.lit(-1).alias("delta")))
+    deltas = _deltas(sessions, key, start, end)
     return running_agg(deltas, [key], [F.col("t"), F.col("delta")], "delta",
                        time_bucket("t", interval_seconds(bucket)), "concurrent")
 
 
-def peak_concurrency(sessions: DataFrame, key: str = "content_id", **kw) -> DataFrame:
-    return ccv_sweep(sessions, key, **kw).groupBy(key).agg(F.max("concurrent").alias("peak_concurrent"))
+def _deltas(sessions: DataFrame, key: str, start: str, end: str) -> DataFrame:
+    """+1 at each start, -1 at each end, from one pass over ``sessions``."""
+    return sessions.select(key, F.inline(F.array(
+        F.struct(F.col(start).alias("t"), F.lit(1).alias("delta")),
+        F.struct(F.col(end).alias("t"), F.lit(-1).alias("delta")))))
+
+
+def peak_concurrency(sessions: DataFrame, key: str = "content_id", start: str = "session_start",
+                     end: str = "session_end", bucket: str = "1 hour") -> DataFrame:
+    """Peak of the sweep per ``key`` without materialising it: the running sum
+    runs per (key, hour); each hour keeps its local peak and its net change,
+    and the key's peak is max(local peak + net change of all earlier hours).
+    One shuffle of the deltas, then a tiny one of one row per (key, hour)."""
+    d = _deltas(sessions, key, start, end).withColumn("_b", time_bucket("t", interval_seconds(bucket)))
+    w = Window.partitionBy(key, "_b").orderBy("t", "delta").rowsBetween(Window.unboundedPreceding, 0)
+    per = d.withColumn("_run", F.sum("delta").over(w)).groupBy(key, "_b").agg(
+        F.max("_run").alias("_peak"), F.sum("delta").alias("_net"))
+    wc = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.withColumn("_carry", F.coalesce(F.sum("_net").over(wc), F.lit(0)))
+    return per.groupBy(key).agg(F.max(F.col("_peak") + F.col("_carry")).alias("peak_concurrent"))
 
 
 def lateness_profile(raw: DataFrame, ts: str = "event_ts", seq: str = "offset", part: str = "partition",

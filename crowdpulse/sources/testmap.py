@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crowdpulse.session import ensure_defaults
+from crowdpulse.sources.readers import spread_scan
 
 # Fixed mapping values (same text in the DuckDB oracle).
 CDNS = ("cdn-a", "cdn-b", "cdn-c")
@@ -29,8 +30,13 @@ RESEND_SHIFT_S = 3
 SCD2_CHANGE = "2024-01-15 00:00:00"
 
 
+# The two fact tables and a unique key of each, for ``spread_scan``.
+FACT_KEYS = {"events": "event_id", "lineitem": "l_orderkey"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_scan(df, FACT_KEYS[name]) if name in FACT_KEYS else df
 
 
 def _pick(idx, values) -> F.Column:
