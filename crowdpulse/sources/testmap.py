@@ -32,32 +32,40 @@ SCD2_CHANGE = "2024-01-15 00:00:00"
 
 # The two fact tables and a unique key of each, for ``spread_scan``.
 FACT_KEYS = {"events": "event_id", "lineitem": "l_orderkey"}
+# Schemas of the driver tables read here: a given schema spares the footer
+# scan job that schema inference runs on every read.
+TABLE_SCHEMAS = {
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+    "lineitem": ("l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, "
+                 "l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, "
+                 "l_linestatus STRING, l_shipdate TIMESTAMP_NTZ"),
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read.schema(TABLE_SCHEMAS[name]) if name in TABLE_SCHEMAS else spark.read
+    df = reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return spread_scan(df, FACT_KEYS[name]) if name in FACT_KEYS else df
 
 
-def _pick(idx, values) -> F.Column:
-    expr = None
-    for i, v in enumerate(values):
-        expr = F.when(idx == i, F.lit(v)) if expr is None else expr.when(idx == i, F.lit(v))
-    return expr
+# The mapping is written as SQL expressions: one expression string per column
+# keeps plan construction to a few calls into the JVM.
+def _pick(idx: str, values, default: str | None = None) -> str:
+    arms = " ".join(f"WHEN {idx} = {i} THEN '{v}'" for i, v in enumerate(values))
+    return f"CASE {arms}{f' ELSE {default}' if default else ''} END"
 
 
-def _k() -> F.Column:
-    return F.get_json_object("props", "$.k").cast("int")
-
-
-def _channel(x) -> F.Column:
-    return F.concat(F.lit("ch-"), (x % N_CHANNELS).cast("string"))
+def _channel(x: str) -> str:
+    return f"concat('ch-', CAST({x} % {N_CHANNELS} AS STRING))"
 
 
 def _events_with_k(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "events").select(
-        "event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value",
-        _k().alias("k"))
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id", "CAST(ts AS TIMESTAMP) AS ts", "user_id", "event_type", "value",
+        "CAST(get_json_object(props, '$.k') AS INT) AS k")
 
 
 def player_events(spark: SparkSession, sf_dir: str, deliveries: bool = True, keep_k: bool = False) -> DataFrame:
@@ -66,30 +74,28 @@ def player_events(spark: SparkSession, sf_dir: str, deliveries: bool = True, kee
     ensure_defaults(spark)
     ev = _events_with_k(spark, sf_dir)
     # region has five rows in every TPC-H scale: a fixed-size broadcast.
-    region = F.broadcast(table(spark, sf_dir, "region").select("r_regionkey", "r_name"))
-    k = F.col("k")
-    etype = (F.when(F.col("event_type") == "error", "error")
-             .when(F.col("event_type") == "click", "buffer_start")
-             .when(F.col("event_type") == "purchase", "buffer_end")
-             .when(F.col("event_type") == "signup", "video_start")
-             .otherwise(_pick(k % 10, ("video_end", "ad_start", "ad_end")) .otherwise("heartbeat")))
-    v2 = (k % 7) == 0
-    base = ev.join(region, (ev.user_id % 5) == region.r_regionkey, "left").select(
-        F.col("event_id").cast("string").alias("event_id"),
-        F.col("user_id").cast("string").alias("session_id"),
-        F.col("user_id").cast("string").alias("user_id"),
-        F.col("ts").alias("timestamp"),
-        etype.alias("event_type"),
-        _channel(F.col("user_id")).alias("content_id"),
-        F.col("r_name").alias("region"),
-        _pick(k % 4, DEVICES).alias("device"),
-        _pick(k % 3, CDNS).alias("cdn"),
-        F.floor(F.col("value") * 100).cast("int").alias("bitrate_kbps"),
-        (k * 100).alias("buffer_length_ms"),
-        F.when(F.col("event_type") == "error", F.concat(F.lit("E"), k.cast("string"))).alias("error_code"),
-        F.when(v2, F.lit("v2")).alias("schema_version"),
-        F.when(v2, _pick(k % 3, NETWORKS)).alias("network_type"),
-        k,
+    region = F.broadcast(table(spark, sf_dir, "region"))
+    other = _pick("k % 10", ("video_end", "ad_start", "ad_end"), default="'heartbeat'")
+    etype = ("CASE WHEN event_type = 'error' THEN 'error' WHEN event_type = 'click' THEN 'buffer_start' "
+             "WHEN event_type = 'purchase' THEN 'buffer_end' WHEN event_type = 'signup' THEN 'video_start' "
+             f"ELSE {other} END")
+    v2 = "k % 7 = 0"
+    base = ev.join(region, (ev.user_id % 5) == region.r_regionkey, "left").selectExpr(
+        "CAST(event_id AS STRING) AS event_id",
+        "CAST(user_id AS STRING) AS session_id",
+        "CAST(user_id AS STRING) AS user_id",
+        "ts AS timestamp",
+        f"{etype} AS event_type",
+        f"{_channel('user_id')} AS content_id",
+        "r_name AS region",
+        f"{_pick('k % 4', DEVICES)} AS device",
+        f"{_pick('k % 3', CDNS)} AS cdn",
+        "CAST(floor(value * 100) AS INT) AS bitrate_kbps",
+        "k * 100 AS buffer_length_ms",
+        "CASE WHEN event_type = 'error' THEN concat('E', CAST(k AS STRING)) END AS error_code",
+        f"CASE WHEN {v2} THEN 'v2' END AS schema_version",
+        f"CASE WHEN {v2} THEN {_pick('k % 3', NETWORKS)} END AS network_type",
+        "k",
     )
     if deliveries:
         base = with_deliveries(base)
@@ -100,31 +106,28 @@ def with_deliveries(base: DataFrame, keep_copy: bool = False) -> DataFrame:
     """At-least-once delivery in one pass: each row is exploded into its
     delivered copies (0 = original, 1 = exact replay, 2 = re-send shifted by
     ``RESEND_SHIFT_S``); column ``_copy`` names the copy."""
-    k = F.col("k")
-    copies = (F.when(k >= 95, F.array(F.lit(0), F.lit(1)))
-              .when((k >= 90) & (k < 95), F.array(F.lit(0), F.lit(2)))
-              .otherwise(F.array(F.lit(0))))
-    out = base.withColumn("_copy", F.explode(copies))
-    out = out.withColumn("timestamp", F.when(F.col("_copy") == 2, F.col("timestamp") + F.expr(
-        f"INTERVAL {RESEND_SHIFT_S} SECONDS")).otherwise(F.col("timestamp")))
-    return out if keep_copy else out.drop("_copy")
+    copies = "CASE WHEN k >= 95 THEN array(0, 1) WHEN k >= 90 AND k < 95 THEN array(0, 2) ELSE array(0) END"
+    out = base.selectExpr("*", f"explode({copies}) AS _copy")
+    cols = [f"CASE WHEN _copy = 2 THEN `timestamp` + INTERVAL {RESEND_SHIFT_S} SECONDS ELSE `timestamp` END "
+            "AS `timestamp`" if c == "timestamp" else f"`{c}`" for c in base.columns]
+    return out.selectExpr(*cols, *(["_copy"] if keep_copy else []))
 
 
 def markers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SCTE-35 cue markers: the signup rows."""
     ensure_defaults(spark)
-    ev = _events_with_k(spark, sf_dir).where(F.col("event_type") == "signup")
-    k = F.col("k")
-    return ev.select(
-        F.col("event_id").cast("string").alias("marker_id"),
-        _channel(F.col("event_id")).alias("channel"),
-        F.lit("splice_insert").alias("splice_command"),
-        k.alias("event_id_scte"),
-        F.lit(True).alias("out_of_network"),
-        F.expr("(unix_micros(ts) * 9) div 100").alias("pts_time"),
-        F.col("ts").alias("wallclock"),
-        ((k % 31) * 30).alias("duration_s"),
-        _pick(k % 10, ("program_boundary", "blackout")).otherwise("commercial").alias("break_type"),
+    ev = _events_with_k(spark, sf_dir).where("event_type = 'signup'")
+    break_type = _pick("k % 10", ("program_boundary", "blackout"), default="'commercial'")
+    return ev.selectExpr(
+        "CAST(event_id AS STRING) AS marker_id",
+        f"{_channel('event_id')} AS channel",
+        "'splice_insert' AS splice_command",
+        "k AS event_id_scte",
+        "true AS out_of_network",
+        "(unix_micros(ts) * 9) div 100 AS pts_time",
+        "ts AS wallclock",
+        "(k % 31) * 30 AS duration_s",
+        f"{break_type} AS break_type",
     )
 
 
@@ -134,16 +137,16 @@ def ad_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     j = li.join(sup, li.l_suppkey == sup.s_suppkey, "left")
-    return j.select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("decision_id"),
-        F.col("l_orderkey").cast("string").alias("marker_id"),
-        _channel(F.col("l_orderkey")).alias("channel"),
-        F.col("l_linenumber").alias("slot_index"),
-        F.col("l_partkey").cast("string").alias("creative_id"),
-        F.col("l_suppkey").cast("string").alias("advertiser_id"),
-        F.col("s_name").alias("advertiser_name"),
-        F.col("l_extendedprice").alias("price_cpm_brl"),
-        F.col("l_shipdate").cast("timestamp").alias("served_ts"),
+    return j.selectExpr(
+        "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS decision_id",
+        "CAST(l_orderkey AS STRING) AS marker_id",
+        f"{_channel('l_orderkey')} AS channel",
+        "l_linenumber AS slot_index",
+        "CAST(l_partkey AS STRING) AS creative_id",
+        "CAST(l_suppkey AS STRING) AS advertiser_id",
+        "s_name AS advertiser_name",
+        "l_extendedprice AS price_cpm_brl",
+        "CAST(l_shipdate AS TIMESTAMP) AS served_ts",
     )
 
 
