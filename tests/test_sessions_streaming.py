@@ -54,6 +54,34 @@ def test_ccv_sweep_true_concurrency(spark):
     assert SE.peak_concurrency(s).first().peak_concurrent == 2   # the end at 100 is applied before the start
 
 
+def test_peak_concurrency_with_carries_equals_plain_sweep(spark):
+    rnd = random.Random(7)
+    rows = []
+    for _ in range(300):  # one hot channel over many hour buckets, and a cold one
+        start = rnd.uniform(0, 40000)
+        rows.append((rnd.choice(["hot"] * 9 + ["cold"]), ts(start), ts(start + rnd.uniform(0, 9000))))
+    s = spark.createDataFrame(rows, "content_id string, session_start timestamp, session_end timestamp")
+    got = {r.content_id: r.peak_concurrent for r in SE.peak_concurrency(s, bucket="1 hour").collect()}
+    d = s.select("content_id", F.col("session_start").alias("t"), F.lit(1).alias("delta")).unionByName(
+        s.select("content_id", F.col("session_end").alias("t"), F.lit(-1).alias("delta")))
+    w = Window.partitionBy("content_id").orderBy("t", "delta").rowsBetween(Window.unboundedPreceding, 0)
+    want = {r.content_id: r.p for r in d.withColumn("c", F.sum("delta").over(w)).groupBy("content_id")
+            .agg(F.max("c").alias("p")).collect()}
+    assert got == want
+    per_row = SE.ccv_sweep(s, bucket="1 hour").groupBy("content_id").agg(F.max("concurrent").alias("p"))
+    assert {r.content_id: r.p for r in per_row.collect()} == want
+
+
+def test_spread_scan_splits_a_single_partition_only(spark):
+    from crowdpulse.sources.readers import spread_scan
+    one = spark.range(0, 1000, numPartitions=1)
+    spread = spread_scan(one, "id", min_partitions=4)
+    assert spread.rdd.getNumPartitions() == 4
+    assert sorted(r.id for r in spread.collect()) == list(range(1000))
+    many = spark.range(0, 1000, numPartitions=6)
+    assert spread_scan(many, "id", min_partitions=4) is many
+
+
 def test_global_dedupe_keeps_first_copy(spark):
     rows = [ev("a", 13, bitrate=2), ev("a", 10, bitrate=1), ev("b", 5)]
     got = {r.event_id: r.bitrate_kbps for r in SE.global_dedupe(spark.createDataFrame(rows, EVENT_DDL)).collect()}
