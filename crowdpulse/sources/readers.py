@@ -122,10 +122,9 @@ def spread_scan(df: DataFrame, key: str, min_partitions: int | None = None) -> D
     """
     if df.isStreaming:
         return df
-    spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
     try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
         have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD access on this client: keep the scan as is
+    except Exception:  # noqa: BLE001 - no SparkContext/RDD on this client: keep the scan as is
         return df
     return df.repartition(want, key) if have < want else df
