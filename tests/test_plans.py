@@ -27,3 +27,11 @@ def test_headline_plans_have_no_python_and_prune_columns(spark):
 def test_silver_marker_side_is_broadcast(spark):
     plan = _plan(entry.queries()["silver_qoe"](spark, SF))
     assert "BroadcastHashJoin" in plan and "BroadcastExchange" in plan
+
+
+def test_session_sweep_reads_events_once(spark):
+    # Sessionise then sweep: each operator reads its input once, so the plan
+    # scans events once (plus the five-row region table), not once per branch.
+    plan = _plan(entry.queries()["ccv_sweep"](spark, SF))
+    assert plan.count("FileScan parquet") == 2
+    assert plan.count("Exchange") <= 8
