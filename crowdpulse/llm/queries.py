@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crowdpulse.llm import line_dedup, near_dedup, quality, toxicity
+from crowdpulse.llm import decontam, line_dedup, near_dedup, quality, secrets, toxicity
 from crowdpulse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,51 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digests(table(spark, sf_dir, "documents"))
 
 
+WORDS = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+LEAKS_SQL = f"""
+WITH dw AS (SELECT doc_id, {WORDS} AS w FROM documents),
+bw AS (SELECT item_id, {WORDS} AS w FROM benchmark),
+ds AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))
+       WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM dw),
+bs AS (SELECT DISTINCT item_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))
+       WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM bw),
+n AS (SELECT item_id, count(*) AS n_shingles FROM bs GROUP BY item_id)
+SELECT doc_id, item_id, n_shingles, count(*) AS n_shared, count(*)::DOUBLE / n_shingles AS containment
+FROM bs JOIN ds USING (s) JOIN n USING (item_id) GROUP BY doc_id, item_id, n_shingles HAVING count(*) * 100 >= n_shingles * 80
+"""
+
+
+@register("op7_decontamination", LEAKS_SQL)
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def _secret_sql() -> str:
+    parts = []
+    for rank, r in enumerate(secrets.RULES):
+        pattern = r.pattern.replace("'", "''")
+        parts.append(f"""SELECT doc_id, {rank} AS rank, '{r.kind}' AS kind, unnest(range(1, len(m) + 1)) AS i, m, g, s, {r.least} AS least FROM
+            (SELECT doc_id, regexp_extract_all(t, '{pattern}', 0) AS m, regexp_extract_all(t, '{pattern}', {r.group}) AS g,
+             string_split_regex(t, '{pattern}') AS s FROM t WHERE regexp_matches(t, '{pattern}'))""")
+    return f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+a AS ({' UNION ALL '.join(parts)}),
+f AS (SELECT doc_id, rank, kind, length(m[i]) AS size, list_sum(list_transform(s[1:i], lambda x: length(x))) +
+      coalesce(list_sum(list_transform(m[1:i-1], lambda x: length(x))), 0) AS start FROM a WHERE length(g[i]) >= least),
+p AS (SELECT doc_id, rank, start, kind || ':' || start::BIGINT || ':' || (start + size)::BIGINT AS span FROM f),
+j AS (SELECT doc_id, count(*) FILTER (WHERE rank = 0) AS n_assign, count(*) FILTER (WHERE rank = 1) AS n_access,
+      count(*) FILTER (WHERE rank = 2) AS n_hex, string_agg(span, ',' ORDER BY start, rank) FILTER (WHERE rank < 3) AS base,
+      string_agg(span, ',' ORDER BY start, rank) AS spans FROM p GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM t LEFT JOIN j USING (doc_id)
+"""
+
+
+@register("op8_secrets", _secret_sql())
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(table(spark, sf_dir, "documents"))
+
+
 @register("op9_quality")
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
