@@ -245,13 +245,15 @@ def _cross_pairs(rows: DataFrame, p: Params) -> DataFrame:
     room = F.col("n") - F.ceil(F.col("n") * p.percent / 100).cast("int") + 1 - (F.col("n") - F.col("shared"))
     place = F.row_number().over(Window.partitionBy("id").orderBy("df", "h"))
     prefix = stash(ranked.join(shared, "id").withColumn("room", room).where("room > 0").withColumn("place", place)
-                   .where(F.col("place") <= F.col("room")).select("h", "id", "component", "n"), "prefixes")
+                   .where(F.col("place") <= F.col("room"))
+                   .select("h", "id", "component", "n", (F.col("shared") - F.col("place") + 1).alias("rest")), "prefixes")
     per = prefix.groupBy("h", "component").agg(F.count(F.lit(1)).alias("k"))
     top = per.groupBy("h").agg(F.max(F.struct("k", "component")).alias("top"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
     spread = prefix.join(top.select("h", F.col("top.component").alias("largest")), "h")
-    outside = spread.where("component <> largest").select("h", F.col("id").alias("x"), F.col("component").alias("cx"), F.col("largest").alias("lx"), F.col("n").alias("nx"))
-    mates = spread.select("h", F.col("id").alias("y"), F.col("component").alias("cy"), F.col("n").alias("ny"))
-    fits = (F.least("nx", "ny") * 100 >= F.greatest("nx", "ny") * p.percent) & F.expr("cx <> cy and (cy = lx or x < y)")
+    outside = spread.where("component <> largest").select("h", F.col("id").alias("x"), F.col("component").alias("cx"), F.col("largest").alias("lx"), F.col("n").alias("nx"), F.col("rest").alias("rx"))
+    mates = spread.select("h", F.col("id").alias("y"), F.col("component").alias("cy"), F.col("n").alias("ny"), F.col("rest").alias("ry"))
+    # at the first shingle that two sets share, what follows it in either bounds their intersection
+    fits = (F.least("rx", "ry") * (100 + p.percent) >= (F.col("nx") + F.col("ny")) * p.percent) & F.expr("cx <> cy and (cy = lx or x < y)")
     pairs = outside.join(mates, "h").where(fits)
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
