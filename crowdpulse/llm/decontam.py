@@ -18,57 +18,46 @@ documents are reported once per id (rows with a null id under null), repeated it
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crowdpulse.llm.common import doc_key, fold_docs, row_count, small, stash, text_or_empty
 
 
-def words(c: str = "text") -> Column:
-    return F.filter(F.split(F.lower(F.col(c)), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+def with_words(df: DataFrame) -> DataFrame:
+    """Column w: the lower-cased words of ``text``."""
+    return df.withColumn("w", F.filter(F.split(F.lower("text"), r"[\x20\x09-\x0D]+"), lambda w: w != "")).drop("text")
 
 
-def shingle_hashes(w: Column, k: int) -> Column:
-    """Hashes of the k-word shingles of a word array: word hashes, combined pairwise along the sequence."""
-    h = F.transform(w, lambda x: F.xxhash64(x))
+def with_hashes(df: DataFrame, k: int) -> DataFrame:
+    """Column hs from w: the hashes of the k-word shingles, in order.
 
-    def shifted(a: Column, by: int) -> Column:
-        return F.slice(a, by + 1, F.greatest(F.size(a) - by, F.lit(0)))
+    Word hashes are folded with their neighbours k - 1 times. Each fold is a projection of its own that names the one
+    before it more than once, so Spark keeps them apart and computes each once.
+    """
+    df = df.withColumn("h", F.transform("w", lambda x: F.xxhash64(x))).withColumn("hs", F.col("h"))
+    for i in range(1, k):
+        n = F.greatest(F.size("h") - i, F.lit(0))
+        df = df.withColumn("hs", F.zip_with(F.slice("hs", 1, n), F.slice("h", i + 1, n), lambda x, y: F.xxhash64(x, y)))
+    short = F.array(F.aggregate("h", F.lit(42).cast("long"), lambda a, x: F.xxhash64(a, x)))
+    none = F.array().cast("array<long>")
+    return df.withColumn("hs", F.when(F.size("h") >= k, F.col("hs")).when(F.size("h") > 0, short).otherwise(none)).drop("h")
 
-    def joined(a: Column, b: Column) -> Column:
-        n = F.least(F.size(a), F.size(b))
-        return F.zip_with(F.slice(a, 1, n), F.slice(b, 1, n), lambda x, y: F.xxhash64(x, y))
 
-    full, span = h, 1
-    while span * 2 <= k:
-        full, span = joined(full, shifted(full, span)), span * 2
-    if span < k:
-        full = joined(full, shifted(_of_span(h, span, k - span, joined, shifted), span))
-    return F.when(F.size(w) >= k, full).when(F.size(w) > 0, F.array(F.xxhash64(F.array_join(w, " ")))).otherwise(F.array().cast("array<long>"))
-
-
-def _of_span(h: Column, done: int, rest: int, joined, shifted) -> Column:
-    """Hashes of ``rest`` consecutive words (rest < done)."""
-    out = h
-    for i in range(1, rest):
-        out = joined(out, shifted(h, i))
-    return out
-
-
-def shingle_texts(w: Column, k: int) -> Column:
-    """The distinct k-word shingles themselves."""
-    several = F.transform(F.sequence(F.lit(1), F.size(w) - k + 1), lambda i: F.array_join(F.slice(w, i, k), " "))
-    return F.array_distinct(F.when(F.size(w) >= k, several).when(F.size(w) > 0, F.array(F.array_join(w, " ")))
-                            .otherwise(F.array().cast("array<string>")))
+def with_texts(df: DataFrame, k: int) -> DataFrame:
+    """Column ss from w: the k-word shingles as texts, in order."""
+    several = F.transform(F.sequence(F.lit(1), F.greatest(F.size("w") - k + 1, F.lit(1))), lambda i: F.array_join(F.slice("w", i, k), " "))
+    none = F.array().cast("array<string>")
+    return df.withColumn("ss", F.when(F.size("w") > 0, several).otherwise(none))
 
 
 def item_shingles(benchmark: DataFrame, k: int) -> DataFrame:
     """item_id, shingle, size: one row per distinct shingle of an item."""
     items = benchmark.select(doc_key("item_id").alias("item_id"), text_or_empty().alias("text")).distinct()
-    split = items.withColumn("w", words()).withColumn("s", F.explode(shingle_texts(F.col("w"), k)))
-    one = split.select("item_id", F.xxhash64("text").alias("version"), F.col("s").alias("shingle"),
-                       F.explode(F.array(F.element_at(shingle_hashes(F.split("s", " "), k), 1))).alias("h"))
-    return one.withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("item_id", "version")))
+    items = with_texts(with_hashes(with_words(items.withColumn("version", F.xxhash64("text"))), k), k)
+    rows = items.select("item_id", "version", F.inline_outer(F.arrays_zip("ss", "hs"))).where("hs is not null").distinct()
+    size = F.count(F.lit(1)).over(Window.partitionBy("item_id", "version"))
+    return rows.select("item_id", "version", F.col("ss").alias("shingle"), F.col("hs").alias("h"), size.alias("size"))
 
 
 def sketches(shingles: DataFrame, percent: int) -> DataFrame:
@@ -81,10 +70,11 @@ def sketches(shingles: DataFrame, percent: int) -> DataFrame:
 
 def leaks(docs: DataFrame, benchmark: DataFrame, k: int = 5, percent: int = 80, broadcast_rows: int = 2_000_000) -> DataFrame:
     """(doc_id, item_id, n_shingles, n_shared, containment) of every item that leaked into a document."""
+    # explode_outer: the filter that explode() implies would be pushed below the projections and compute them again
     shingles = stash(item_shingles(benchmark, k), "items")
     n_rows = row_count(shingles)
     folded = fold_docs(docs)
-    probes = folded.select("doc_id", F.explode(shingle_hashes(words(), k)).alias("h"))
+    probes = with_hashes(with_words(folded), k).select("doc_id", F.explode_outer("hs").alias("h")).where("h is not null")
     found = (probes.join(small(sketches(shingles, percent).distinct(), n_rows, broadcast_rows), "h")
              .groupBy("doc_id", "item_id", "version").agg(F.count(F.lit(1)).alias("hits")))
     candidates = stash(found.select("doc_id", "item_id", "version"), "candidates")
@@ -93,7 +83,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, k: int = 5, percent: int = 80,
     # a null id is its own value: the key tells null from any number
     key = F.struct(F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0)))
     texts = folded.withColumn("key", key).join(small(suspects.select(key.alias("key")), n_docs, 4 * broadcast_rows), "key", "left_semi")
-    held = texts.select("doc_id", F.explode(shingle_texts(words(), k)).alias("shingle"))
+    held = with_texts(with_words(texts.drop("key")), k).select("doc_id", F.explode_outer("ss").alias("shingle")).where("shingle is not null")
     own = shingles.select("item_id", "version", "shingle", "size")
     shared = (held.join(small(own, n_rows, broadcast_rows), "shingle")
               .groupBy("doc_id", "item_id", "version", "size").agg(F.countDistinct("shingle").alias("n_shared")))
