@@ -52,3 +52,14 @@ def words_of(text: str | None) -> list[bytes]:
 def fold_docs(docs: DataFrame, *extra: str) -> DataFrame:
     """doc_id, text and the named columns; null text becomes empty. Other columns, whatever their names, are dropped."""
     return docs.select(doc_key().alias("doc_id"), text_or_empty().alias("text"), *extra)
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """All columns in one struct ``row``, so that no helper column can clash with one of theirs."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+
+def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id is not in ``ids`` (doc_id; null matches null)."""
+    gone = ids.select(F.col("doc_id").alias("gone")).distinct()
+    return packed(docs).join(gone, F.col("row.doc_id").cast("long").eqNullSafe(F.col("gone")), "left_anti").select("row.*")

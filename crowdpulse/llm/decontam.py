@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from crowdpulse.llm.common import doc_key, fold_docs, row_count, small, stash, text_or_empty
+from crowdpulse.llm.common import doc_key, fold_docs, row_count, small, stash, text_or_empty, without_ids
 
 
 def with_words(df: DataFrame) -> DataFrame:
@@ -97,5 +97,4 @@ def leaks(docs: DataFrame, benchmark: DataFrame, k: int = 5, percent: int = 80,
 
 def clean(docs: DataFrame, benchmark: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` into which no item leaked; rows with a null id stay unless a row with a null id leaked."""
-    bad = leaks(docs, benchmark, k, percent).select(F.col("doc_id").alias("__leaked")).distinct()
-    return docs.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("__leaked")), "left_anti")
+    return without_ids(docs, leaks(docs, benchmark, k, percent))

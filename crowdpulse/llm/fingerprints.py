@@ -55,13 +55,14 @@ def cell_of(k: Column, t: int, size: Column | int, attempt: int = 0) -> Column:
 def sketch(digests: Column, size: int = BASE) -> Column:
     """array<struct<c, k, s>> of the three subtables."""
     marked = F.transform(digests, lambda k: F.struct(k.cast("long").alias("k"), check(k).alias("s"), F.array(*[cell_of(k, t, size) for t in range(SUBTABLES)]).alias("at")))
-    empty = F.struct(F.lit(0).alias("c"), F.lit(0).cast("long").alias("k"), F.lit(0).cast("long").alias("s"))
+    zero = F.struct(F.lit(0).alias("c"), F.lit(0).cast("long").alias("k"), F.lit(0).cast("long").alias("s"))
 
-    def put(acc: Column, x: Column) -> Column:
-        return F.struct((acc["c"] + 1).alias("c"), acc["k"].bitwiseXOR(x["k"]).alias("k"), acc["s"].bitwiseXOR(x["s"]).alias("s"))
+    def put(cells: Column, x: Column) -> Column:
+        return F.transform(cells, lambda y, i: F.when(F.array_contains(x["at"], i), F.struct(
+            (y["c"] + 1).alias("c"), y["k"].bitwiseXOR(x["k"]).alias("k"), y["s"].bitwiseXOR(x["s"]).alias("s"))).otherwise(y))
 
-    return F.transform(F.sequence(F.lit(0), F.lit(SUBTABLES * size - 1)),
-                       lambda i: F.aggregate(F.filter(marked, lambda x: F.array_contains(x["at"], i)), empty, put))
+    # the digests are the folded side, so each is hashed once
+    return F.aggregate(marked, F.array_repeat(zero, SUBTABLES * size), put)
 
 
 def written(cells: Column) -> Column:

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crowdpulse.llm.common import BLANKS, fold_docs, stash
+from crowdpulse.llm.common import BLANKS, fold_docs, packed, stash
 
 OLDEST = -(1 << 63)
 
@@ -135,33 +135,41 @@ def kept_lines(text: str, keep: bytes | None) -> tuple[int, int, str]:
     return len(lines), int(len(lines) - bits.sum()), "\n".join(x for x, stays in zip(lines, bits, strict=True) if stays)
 
 
-def _with_bitmaps(docs: DataFrame, min_chars: int, min_docs: int, *extra: str) -> DataFrame:
-    left = docs.withColumns({"__doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(OLDEST)),
-                             "__rid": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
-    maps = keep_bitmaps(docs, min_chars, min_docs).select(
-        F.col("doc").alias("__doc"), F.col("rid").alias("__rid"), F.col("keep").alias("__keep"))
-    return left.join(maps.hint("shuffle_hash"), ["__doc", "__rid"], "left").select(*extra, "__keep")
+def _with_bitmaps(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
+    """row (all columns of ``docs``), text (null: empty) and keep (null: every line stays)."""
+    text = F.coalesce(F.col("row.text").cast("string"), F.lit(""))
+    left = packed(docs).select("row", text.alias("text"), F.coalesce(F.col("row.doc_id").cast("long"), F.lit(OLDEST)).alias("doc"),
+                               F.xxhash64(text).alias("rid"))
+    maps = keep_bitmaps(docs, min_chars, min_docs)
+    return left.join(maps.hint("shuffle_hash"), ["doc", "rid"], "left").select("row", "text", "keep")
 
 
 def deduplicate(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
-    """The columns of ``docs``; texts without the dropped lines. A null text stays null."""
+    """The columns of ``docs``; texts without the dropped lines, and ``n_chars``, where there is one, to match.
+    A null text stays null."""
     @F.pandas_udf("string")
     def cut(text: pd.Series, keep: pd.Series) -> pd.Series:
-        return pd.Series([t if k is None else kept_lines(t, k)[2] for t, k in zip(text, keep, strict=True)], dtype=object)
+        return pd.Series([kept_lines(t, k)[2] for t, k in zip(text, keep, strict=True)], dtype=object)
 
-    joined = _with_bitmaps(docs, min_chars, min_docs, *[f"`{c}`" for c in docs.columns])
-    return joined.withColumn("text", cut("text", "__keep")).select(*[f"`{c}`" for c in docs.columns])
+    joined = _with_bitmaps(docs, min_chars, min_docs)
+    shorter = F.when(F.col("keep").isNotNull(), cut("text", "keep")).otherwise(F.col("row.text"))
+    joined = joined.select("row", shorter.alias("new"), "keep")
+    columns = [F.col("new").alias(c) if c == "text" else
+               F.when(F.col("keep").isNotNull(), F.length("new").cast(docs.schema[c].dataType)).otherwise(F.col(f"row.{c}")).alias(c)
+               if c == "n_chars" else F.col(f"row.`{c}`") for c in docs.columns]
+    return joined.select(*columns)
 
 
-def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        done = [kept_lines(t, k) for t, k in zip(b["text"], b["__keep"], strict=True)]
-        yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "n_lines": [d[0] for d in done], "n_dropped": [d[1] for d in done],
-                            "kept_sha256": [hashlib.sha256(d[2].encode("utf-8", "surrogatepass")).hexdigest() for d in done]})
+DIGEST = "struct<n_lines long, n_dropped long, kept_sha256 string>"
 
 
 def digests(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
     """doc_id, n_lines, n_dropped and the SHA-256 of the kept text, one row a document."""
-    d = fold_docs(docs)
-    return _with_bitmaps(d, min_chars, min_docs, "doc_id", "text").mapInPandas(
-        _digests, "doc_id long, n_lines long, n_dropped long, kept_sha256 string")
+    @F.pandas_udf(DIGEST)
+    def digest(text: pd.Series, keep: pd.Series) -> pd.DataFrame:
+        done = [kept_lines(t, k) for t, k in zip(text, keep, strict=True)]
+        return pd.DataFrame({"n_lines": [d[0] for d in done], "n_dropped": [d[1] for d in done],
+                             "kept_sha256": [hashlib.sha256(d[2].encode("utf-8", "surrogatepass")).hexdigest() for d in done]})
+
+    joined = _with_bitmaps(fold_docs(docs), min_chars, min_docs)
+    return joined.select(F.col("row.doc_id").alias("doc_id"), digest("text", "keep").alias("d")).select("doc_id", "d.*")

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from crowdpulse.llm.common import fold_docs, row_count, small, stash, words_of
+from crowdpulse.llm.common import fold_docs, row_count, small, stash, without_ids, words_of
 
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
@@ -124,15 +124,17 @@ def _level_shares(reg: np.ndarray) -> np.ndarray:
     return np.bincount(reg >> 10, minlength=64)[:64] / len(reg)
 
 
-def _signatures(p: Params):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def signatures(p: Params):
+    """Text to (n shingles, digest of the set, registers); digest and registers of an empty set are null."""
+    @F.pandas_udf("struct<n long, digest binary, reg binary>")
+    def sign(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         signer = Signer(p)
-        for b in batches:
-            sets = [shingle_set(t, p.words) for t in b["text"]]
-            yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "n": [len(s) for s in sets],
+        for texts in batches:
+            sets = [shingle_set(t, p.words) for t in texts]
+            yield pd.DataFrame({"n": [len(s) for s in sets],
                                 "digest": [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets],
                                 "reg": [signer.registers(s).tobytes() if len(s) else None for s in sets]})
-    return run
+    return sign
 
 
 def _bands(p: Params):
@@ -261,7 +263,7 @@ def _cross_pairs(rows: DataFrame, p: Params) -> DataFrame:
 def near_duplicates(docs: DataFrame, p: Params = Params(), broadcast_rows: int = 4_000_000) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every document."""
     folded = fold_docs(docs)
-    signed = stash(folded.mapInPandas(_signatures(p), "doc_id long, n long, digest binary, reg binary"), "signatures")
+    signed = stash(folded.select("doc_id", signatures(p)("text").alias("s")).select("doc_id", "s.*"), "signatures")
     classes = signed.where("doc_id is not null and n > 0").groupBy("digest").agg(F.min("doc_id").alias("id"))
     member = signed.select("doc_id", "n", "digest").join(classes, "digest", "left")
     reps = stash(signed.where("n > 0").join(classes.select("id"), F.col("doc_id") == F.col("id"), "left_semi")
@@ -300,5 +302,4 @@ def near_duplicates(docs: DataFrame, p: Params = Params(), broadcast_rows: int =
 
 def drop_near_duplicates(docs: DataFrame, p: Params = Params()) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its group; rows that repeat such an id stay too."""
-    gone = near_duplicates(docs, p).where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
+    return without_ids(docs, near_duplicates(docs, p).where(~F.col("kept")))

@@ -109,15 +109,16 @@ def score_documents(docs: DataFrame, space: Space, threshold: float = 0.7, block
     """doc_id, quality_score, quality of every document; ``block`` texts are compared at a time."""
     shared = docs.sparkSession.sparkContext.broadcast(space)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            texts, scores = b["text"].tolist(), []
+    @F.pandas_udf("double")
+    def judge(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            scores = [np.zeros(0)]
             for i in range(0, len(texts), block):
-                scores.append(shared.value.vote(np.array([term_counts(t) for t in texts[i:i + block]])))
-            score = np.concatenate(scores) if scores else np.zeros(0)
-            yield pd.DataFrame({"doc_id": b["doc_id"].astype("Int64"), "quality_score": score, "quality": (score >= threshold).astype(int)})
+                scores.append(shared.value.vote(np.array([term_counts(t) for t in texts.iloc[i:i + block]])))
+            yield pd.Series(np.concatenate(scores))
 
-    return fold_docs(docs).mapInPandas(run, "doc_id long, quality_score double, quality int")
+    scored = fold_docs(docs).select("doc_id", judge("text").alias("quality_score"))
+    return scored.withColumn("quality", (F.col("quality_score") >= threshold).cast("int"))
 
 
 def scores(docs: DataFrame, labels: DataFrame, modulus: int = 4, held: int = 2) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from crowdpulse.llm import chat, decontam, fingerprints, line_dedup, mixing, near_dedup, pii, quality, secrets, toxicity
 from crowdpulse.llm.common import table
 
@@ -123,3 +124,8 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_toxicity")
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)

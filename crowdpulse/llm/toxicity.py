@@ -315,26 +315,28 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2000, modulus: int
     return learn(list(sample.loc[sample["y"] == 1, "text"]), list(sample.loc[sample["y"] == 0, "text"]))
 
 
-def score_documents(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
-    """The columns of ``docs`` plus toxic_score, toxic_terms and toxic (0 or 1)."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
+def judge(model: Model, docs: DataFrame):
+    """Text to (score, terms), as a column function with the model broadcast (its size is bounded by most_terms)."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("struct<score double, terms array<string>>")
-    def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(shared.value)
         for texts in batches:
             done = [scorer.score(t) for t in texts]
             yield pd.DataFrame({"score": [d[0] for d in done], "terms": [d[1] for d in done]})
+    return run
 
-    judged = docs.withColumn("__tox", judge(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    own = [F.col(f"`{c}`") for c in docs.columns if c not in ("toxic_score", "toxic_terms", "toxic")]
-    return judged.select(*own, F.col("__tox.score").alias("toxic_score"), F.col("__tox.terms").alias("toxic_terms"),
-                         (F.col("__tox.score") >= threshold).cast("int").alias("toxic"))
 
+def drop_toxic(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``."""
+    return docs.where(judge(model, docs)(F.coalesce(F.col("text").cast("string"), F.lit("")))["score"] < threshold)
 
-def scores(docs: DataFrame, labels: DataFrame, modulus: int = 5, held: int = 0) -> DataFrame:
+
+def scores(docs: DataFrame, labels: DataFrame, modulus: int = 5, held: int = 0, threshold: float = 0.5) -> DataFrame:
     """doc_id, held_out, score, predicted, terms."""
-    scored = score_documents(fold_docs(docs), fit(docs, labels, modulus=modulus, held=held))
+    model = fit(docs, labels, modulus=modulus, held=held)
+    scored = fold_docs(docs).select("doc_id", judge(model, docs)("text").alias("s"))
     return scored.select("doc_id", F.coalesce(remainder(modulus) == held, F.lit(False)).alias("held_out"),
-                         F.col("toxic_score").alias("score"), F.col("toxic").alias("predicted"), F.col("toxic_terms").alias("terms"))
+                         F.col("s.score").alias("score"), (F.col("s.score") >= threshold).cast("int").alias("predicted"),
+                         F.col("s.terms").alias("terms"))
