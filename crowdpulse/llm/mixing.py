@@ -164,7 +164,8 @@ def mix(docs: DataFrame, block: int = 128, shards: int = 64, seed: int = 5, broa
     sources = stash(targets(sizes), "sources")
     few = small(sources, row_count(sources), broadcast_rows)
     cut = pieces(placed(sizes, few), block)
-    got = cut.join(slots(sources, block, shards, seed), ["sid", "block"])
+    # slots are made from the few rows of sources, which would make Spark believe that they are few too
+    got = cut.join(slots(sources, block, shards, seed).hint("merge"), ["sid", "block"])
     words = F.least(F.col("words"), F.col("take") - F.col("at"))
     return sizes, few, got.withColumn("words", words).where("words > 0").select(
         "shard", "sid", "slot", "at", "doc_id", "rid", "start", "size", "from_word", "words")
