@@ -108,7 +108,7 @@ def span_features(text: str, start: int, end: int, before: str) -> np.ndarray:
     x[12] = quad and all(len(g) <= 3 and int(g) <= 255 for g in groups)
     x[13] = quad and not x[12]
     x[14], x[15] = s[0] == "+", "(" in s and ")" in s
-    x[16], x[17] = "(" in s and ")" not in s, letters and not at
+    x[16], x[17] = "(" in s and ")" not in s, not letters and at > 0
     x[18] = bool(re.fullmatch(r"[0-9 -]+", s))
     x[19] = bool(re.fullmatch(r"[0-9 ().+-]+", s))
     x[20] = len(groups) >= 3
@@ -140,14 +140,15 @@ def read_region(text: str, start: int, end: int, longest: int) -> Region:
         if not (text[a].isalnum() or text[a] in "+("):
             continue
         before = next((text[x:y].lower() for x, y in reversed(units[max(0, i - 3):i]) if text[x].isalpha()), first_word)
-        digits, mail = 0, False
+        digits, mail, letters = 0, False, False
         for j in range(i, min(len(units), i + longest)):
             x, y = units[j]
             if j > i and x - units[j - 1][1] > 1:
                 break
             digits += (y - x) * number[j]
-            mail = mail or text[x] == "@"
-            if (digits >= 7 or mail or digits >= 4 and j - i >= 6) and text[y - 1].isalnum():
+            mail, letters = mail or text[x] == "@", letters or text[x].isalpha()
+            # letters stand in no number, and in an address only around its at-sign
+            if (mail or not letters and (digits >= 7 or digits >= 4 and j - i >= 6)) and text[y - 1].isalnum():
                 segments.append((i, j + 1))
                 rows.append(span_features(text, a, y, before))
     return Region(units, segments, np.array(rows).reshape(-1, FEATURES))
