@@ -14,16 +14,23 @@ AD_KEY = ("marker_id", "channel")
 
 
 def dedupe_decisions(ads: DataFrame) -> DataFrame:
-    """Replayed ad decisions are counted once."""
-    return ads.dropDuplicates(["decision_id"]) if "decision_id" in ads.columns else ads
+    """Replayed ad decisions are counted once (D22): of copies that differ, the one served first, then the one whose
+    other columns sort first, so a rerun keeps the same copy. Rows without an id are no replays of each other."""
+    if "decision_id" not in ads.columns:
+        return ads
+    row = F.struct(*ads.columns)
+    first = [c for c in ("served_ts", "slot_index") if c in ads.columns]
+    order = F.struct(*first, *[c for c in ads.columns if c not in first])
+    anonymous = F.when(F.col("decision_id").isNull(), row)
+    return ads.groupBy("decision_id", anonymous.alias("_anonymous")).agg(F.min_by(row, order).alias("_row")).select("_row.*")
 
 
 def ad_revenue_by_marker(ads: DataFrame) -> DataFrame:
-    """Revenue per (marker, channel) = sum(cpm / 1000) (A7). The representative
+    """Revenue per (marker, channel) = sum(cpm / 1000) (A7), keys trimmed before grouping. The representative
     advertiser is the one of the first slot of the pod, a deterministic pick
     instead of ``first`` (A8, D5)."""
     order = F.struct(F.col("slot_index"), F.col("decision_id"))
-    return dedupe_decisions(ads).groupBy(*AD_KEY).agg(
+    return dedupe_decisions(ads).groupBy(*[trimmed(k).alias(k) for k in AD_KEY]).agg(
         F.min_by("advertiser_name", order).alias("advertiser_name"),
         F.sum(F.col("price_cpm_brl") / 1000).alias("revenue_brl"),
         F.count(F.lit(1)).alias("impressions"),
@@ -40,48 +47,47 @@ def ad_revenue_by_advertiser(ads: DataFrame) -> DataFrame:
     )
 
 
+def one_per_content(content: DataFrame) -> DataFrame:
+    """One catalogue row per trimmed id: the latest update, then the title that sorts last."""
+    order = F.struct(*[c for c in ("updated_at", "title", "genre") if c in content.columns])
+    return content.groupBy(trimmed("content_id").alias("_cid")).agg(
+        F.max_by(F.struct(F.col("title").alias("content_title"), "genre"), order).alias("_c")).select("_cid", "_c.*")
+
+
 def ads_content_join(ads_agg: DataFrame, content: DataFrame,
                      max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Ads x catalogue on space-trimmed keys, left."""
-    cat = broadcast_if_small(content.select(trimmed("content_id").alias("_cid"),
-                                            F.col("title").alias("content_title"), "genre"), max_broadcast_rows)
+    """Ads x catalogue on space-trimmed keys, left (J5); a repeated catalogue id doesn't multiply the ads."""
+    cat = broadcast_if_small(one_per_content(content), max_broadcast_rows)
     a = ads_agg.withColumn("_ch", trimmed("channel"))
     return a.join(cat, a["_ch"] == cat["_cid"], "left").select(
         "marker_id", "advertiser_name", "revenue_brl", "content_title", "genre")
 
 
+def one_per_marker(enriched: DataFrame) -> DataFrame:
+    """One enriched row per trimmed marker (``_mk``): a marker sold on several channels adds up their revenue and takes
+    the other columns of the row that sorts first."""
+    order = F.struct("content_title", "advertiser_name", "genre")
+    return enriched.groupBy(trimmed("marker_id").alias("_mk")).agg(
+        F.sum("revenue_brl").alias("revenue_brl"), F.min_by(order, order).alias("_e")).select("_mk", "revenue_brl", "_e.*")
+
+
 def ad_break_rows(silver: DataFrame, label: str = REGULAR_CONTENT) -> DataFrame:
     """Silver rows inside an ad marker (P5). ``<>`` also drops a null marker."""
     return silver.where(F.col("marker_id") != F.lit(label))
 
 
-# Regular-content rows get a salted key that no ad marker can equal; the
-# salt spreads them over this many shuffle keys.
-REGULAR_SALT_BUCKETS = 1024
-_NO_AD_PREFIX = "\u0000regular-"
-
-
 def gold_reconciliation(silver: DataFrame, ads: DataFrame, content: DataFrame, *, label: str = REGULAR_CONTENT,
-                        max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
-                        salt_buckets: int = REGULAR_SALT_BUCKETS) -> DataFrame:
-    """Silver x enriched ad revenue on trimmed marker, left.
-
-    The regular-content label is the hottest key in Silver and never matches
-    an ad. Its rows join on a deterministic salted key (hash of the cell) that
-    cannot equal a marker id, so in a shuffle join they spread over
-    ``salt_buckets`` keys instead of one partition, and Silver is read once.
+                        max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Ad rows of Silver x enriched ad revenue on trimmed marker, left.
+
+    Regular content, the hottest key in Silver, is filtered out before the join. Each Silver row gives one Gold row.
     The enriched ads are broadcast when proven small, else AQE decides.
     """
-    enriched = ads_content_join(ad_revenue_by_marker(ads), content, max_broadcast_rows)
-    enriched = broadcast_if_small(enriched.withColumn("_mk", trimmed("marker_id")).drop("marker_id"),
-                                  max_broadcast_rows)
-    s = silver.select("window_start", "marker_id", "region", "device", "cdn", "ccv", "avg_bitrate_kbps",
-                      "error_rate")
-    regular = F.col("marker_id").isNull() | (F.col("marker_id") == F.lit(label))
-    salt = F.pmod(F.xxhash64("window_start", "region", "device", "cdn"), F.lit(salt_buckets))
-    s = s.withColumn("_jk", F.when(regular, F.concat(F.lit(_NO_AD_PREFIX), salt.cast("string")))
-                     .otherwise(trimmed("marker_id")))
-    joined = s.join(enriched, s["_jk"] == enriched["_mk"], "left")
+    enriched = one_per_marker(ads_content_join(ad_revenue_by_marker(ads), content, max_broadcast_rows))
+    enriched = broadcast_if_small(enriched, max_broadcast_rows)
+    s = ad_break_rows(silver, label).select("window_start", "marker_id", "region", "device", "cdn", "ccv", "avg_bitrate_kbps",
+                                            "error_rate")
+    joined = s.join(enriched, trimmed(s["marker_id"]) == enriched["_mk"], "left")
     return joined.select(
         "window_start", "marker_id", "content_title", "genre", "advertiser_name", "region", "device", "cdn",
         F.col("ccv"), round_dec("revenue_brl", 2).alias("total_revenue_brl"),
@@ -95,9 +101,10 @@ def ad_impressions_3way(events: DataFrame, markers: DataFrame, ads: DataFrame, s
     starts = events.where(F.col("event_type") == "ad_start")
     played = ad_interval_join(starts, markers.select("marker_id", "channel", "wallclock"), span,
                               max_broadcast_rows=max_broadcast_rows).where(F.col("marker_id").isNotNull())
-    per_marker = played.groupBy("marker_id").agg(
+    per_marker = played.groupBy(trimmed("marker_id").alias("marker_id")).agg(
         F.count(F.lit(1)).alias("ad_starts"), F.count_distinct("session_id").alias("viewers"))
-    pods = ad_revenue_by_marker(ads).select("marker_id", "revenue_brl", "impressions")
+    pods = ad_revenue_by_marker(ads).groupBy("marker_id").agg(
+        F.sum("revenue_brl").alias("revenue_brl"), F.sum("impressions").alias("impressions"))
     return per_marker.join(pods, "marker_id", "inner").select(
         "marker_id", "ad_starts", "viewers", "impressions", round_dec("revenue_brl", 2).alias("revenue_brl"))
 

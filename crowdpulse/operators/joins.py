@@ -95,16 +95,21 @@ def asof_marker_join(events: DataFrame, markers: DataFrame, span: str = "2 minut
     within ``span`` (ties on wallclock go to the greatest marker_id). Overlap
     no longer fans out (D3); exact duplicate input rows stay duplicated.
 
-    The rank runs per (key, bucket, event row): after a shuffle join the
-    window needs no second shuffle, and no group is larger than one event's
-    candidate markers.
+    Overlap is resolved on the marker side, which is small: of markers at one
+    instant the greatest id stays, and a span ends where the channel's next
+    marker begins (times are whole microseconds, so an inclusive end is an
+    exclusive one a microsecond later). Events are only joined, never sorted
+    or ranked.
     """
-    joined = ad_interval_join(events, markers, span, ts=ts, key=key, bucket=bucket,
-                              max_broadcast_rows=max_broadcast_rows, keep_bucket=True)
-    ecols = list(events.columns)
-    w = Window.partitionBy(key, BKT, *[c for c in ecols if c != key]).orderBy(
-        F.col("wallclock").desc_nulls_last(), F.col("marker_id").desc_nulls_last())
-    return joined.withColumn("_r", F.rank().over(w)).where(F.col("_r") == 1).drop("_r", BKT)
+    span_s = interval_seconds(span)
+    bucket_s = interval_seconds(bucket) if bucket else max(span_s, 1)
+    one = markers.groupBy("channel", "wallclock").agg(F.max("marker_id").alias("marker_id"))
+    following = F.lead("wallclock").over(Window.partitionBy("channel").orderBy("wallclock"))
+    full = F.col("wallclock") + _seconds(F.lit(span_s)) + F.expr("INTERVAL 1 MICROSECOND")
+    spans = one.withColumn("_until", F.least(full, F.coalesce(following, full)))
+    joined = _bucketed_left_join(events, spans, F.col("_until"), bucket_s, ts=ts, key=key, end_inclusive=False,
+                                 max_broadcast_rows=max_broadcast_rows, max_buckets=span_s // bucket_s + 2)
+    return joined.drop("_until")
 
 
 def label_ad_marker(joined: DataFrame, default: str = REGULAR_CONTENT, col: str = "marker_id",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from crowdpulse.functions.columns import in_window, interval_seconds, minutes_since, ratio, round_dec
 from crowdpulse.functions.columns import trimmed
+from crowdpulse.operators.joins import ad_interval_join
 from crowdpulse.operators.serving import cdn_error_series
 
 
@@ -26,10 +27,13 @@ def slo_freshness(df: DataFrame, event_col: str, emitted_col: str, max_s: float
 
 
 def slo_uniqueness(events: DataFrame, delay_s: int = 15, ts: str = "timestamp", key: str = "event_id") -> DataFrame:
-    """Event ids seen more than once inside one watermark-delay window; the
-    target is zero (SL2)."""
-    per = events.groupBy(key, F.window(ts, f"{delay_s} seconds").alias("w")).count()
-    agg = per.agg(F.coalesce(F.sum((F.col("count") > 1).cast("long")), F.lit(0)).alias("duplicated_ids"))
+    """Event ids seen again within the watermark delay of an earlier copy; the
+    target is zero (SL2). The gap to the copy before decides, so no window edge
+    can part two copies; ids are many, each with a few rows."""
+    earlier = F.lag(ts).over(Window.partitionBy(key).orderBy(ts))
+    near = (F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(earlier.cast("timestamp"))) <= int(delay_s * 1_000_000)
+    per = events.select(key, ts).withColumn("near", near).groupBy(key).agg(F.max("near").alias("near"))
+    agg = per.agg(F.coalesce(F.sum(F.col("near").cast("long")), F.lit(0)).alias("duplicated_ids"))
     return _slo(agg, "uniqueness", F.col("duplicated_ids") == 0)
 
 
@@ -40,8 +44,20 @@ def slo_contract(validated: DataFrame, max_share: float = 0.001) -> DataFrame:
     return agg.withColumn("met", F.col("dlq_share") <= max_share).select("n_rows", "dlq_rows", "dlq_share", "met")
 
 
-def slo_match_rate(ads: DataFrame, markers: DataFrame, target: float = 0.98) -> DataFrame:
-    """Share of ad decisions whose marker exists in the cue stream (SL4)."""
+def slo_match_rate(events: DataFrame, markers: DataFrame, span: str = "2 minutes", target: float = 0.98,
+                   ad_types=("ad_start", "ad_end")) -> DataFrame:
+    """Share of the player's ad events that fall into the span of a marker of
+    their channel (SL4); an event under several markers counts once."""
+    ads = events.where(F.col("event_type").isin(list(ad_types)))
+    joined = ad_interval_join(ads.select("event_id", "timestamp", "content_id"), markers.select("marker_id", "channel", "wallclock"), span)
+    per = joined.groupBy("event_id", "timestamp").agg(F.max(F.col("marker_id").isNotNull()).alias("hit"))
+    agg = per.agg(F.count(F.lit(1)).alias("ad_events"), F.coalesce(F.sum(F.col("hit").cast("long")), F.lit(0)).alias("matched"))
+    agg = agg.withColumn("match_rate", ratio("matched", "ad_events"))
+    return agg.withColumn("met", F.col("match_rate") >= target)
+
+
+def decision_match_rate(ads: DataFrame, markers: DataFrame, target: float = 0.98) -> DataFrame:
+    """Share of ad decisions whose marker exists in the cue stream."""
     known = markers.select(trimmed("marker_id").alias("_m")).distinct()
     j = ads.join(known, trimmed(ads["marker_id"]) == F.col("_m"), "left")
     agg = j.agg(F.count(F.lit(1)).alias("decisions"), F.count("_m").alias("matched"))

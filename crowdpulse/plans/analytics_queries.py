@@ -9,8 +9,8 @@ from crowdpulse.operators import slo as SL
 from crowdpulse.operators.gold import dedupe_decisions
 from crowdpulse.operators.serving import cdn_error_weighted
 from crowdpulse.plans.gold_queries import gold_table, rd
-from crowdpulse.plans.oracle import WINDOW_SQL, with_ctes
-from crowdpulse.plans.registry import WINDOW, register
+from crowdpulse.plans.oracle import SPAN_SQL, WINDOW_SQL, with_ctes
+from crowdpulse.plans.registry import SPAN, WINDOW, register
 from crowdpulse.plans.silver_queries import silver_table
 from crowdpulse.plans.source_queries import parsed_events
 from crowdpulse.sources import parse as P
@@ -177,21 +177,32 @@ def q_slo_freshness(spark, sf_dir):
 
 
 @register("slo_uniqueness", with_ctes("""
-SELECT CAST(COALESCE(SUM(CASE WHEN c > 1 THEN 1 ELSE 0 END), 0) AS BIGINT) AS duplicated_ids, 'uniqueness' AS slo,
-       COALESCE(SUM(CASE WHEN c > 1 THEN 1 ELSE 0 END), 0) = 0 AS met
-FROM (SELECT event_id, time_bucket(INTERVAL 15 SECOND, "timestamp") AS w, COUNT(*) AS c
-      FROM player_events GROUP BY 1, 2) t""", "player_events"))
+SELECT COUNT(DISTINCT a.event_id) AS duplicated_ids, 'uniqueness' AS slo, COUNT(DISTINCT a.event_id) = 0 AS met
+FROM (SELECT event_id, "timestamp" AS t, row_number() OVER () AS r FROM player_events) a
+JOIN (SELECT event_id, "timestamp" AS t, row_number() OVER () AS r FROM player_events) b
+  ON a.event_id = b.event_id AND a.r <> b.r AND b.t BETWEEN a.t AND a.t + INTERVAL 15 SECOND""", "player_events"))
 def q_slo_uniqueness(spark, sf_dir):
     return SL.slo_uniqueness(tm.player_events(spark, sf_dir), 15)
 
 
-@register("slo_match_rate", with_ctes("""
+@register("slo_match_rate", with_ctes(f"""
+SELECT COUNT(*) AS ad_events, COUNT(*) FILTER (WHERE hit) AS matched,
+       CAST(COUNT(*) FILTER (WHERE hit) AS DOUBLE) / COUNT(*) AS match_rate,
+       CAST(COUNT(*) FILTER (WHERE hit) AS DOUBLE) / COUNT(*) >= 0.98 AS met
+FROM (SELECT EXISTS (SELECT 1 FROM markers m WHERE m.channel = e.content_id AND e."timestamp" >= m.wallclock
+                     AND e."timestamp" <= m.wallclock + {SPAN_SQL}) AS hit
+      FROM ev_dedup e WHERE e.event_type IN ('ad_start', 'ad_end')) t""", "ev_dedup", "markers"))
+def q_slo_match_rate(spark, sf_dir):
+    return SL.slo_match_rate(dedupe_events(tm.player_events(spark, sf_dir)), tm.markers(spark, sf_dir), SPAN)
+
+
+@register("decision_match_rate", with_ctes("""
 SELECT COUNT(*) AS decisions, COUNT(m.mid) AS matched, CAST(COUNT(m.mid) AS DOUBLE) / COUNT(*) AS match_rate,
        CAST(COUNT(m.mid) AS DOUBLE) / COUNT(*) >= 0.98 AS met
 FROM ads_dedup a LEFT JOIN (SELECT DISTINCT trim(marker_id) AS mid FROM markers) m ON trim(a.marker_id) = m.mid""",
-                                      "ads_dedup", "markers"))
-def q_slo_match_rate(spark, sf_dir):
-    return SL.slo_match_rate(dedupe_decisions(tm.ad_decisions(spark, sf_dir)), tm.markers(spark, sf_dir))
+                                           "ads_dedup", "markers"))
+def q_decision_match_rate(spark, sf_dir):
+    return SL.decision_match_rate(dedupe_decisions(tm.ad_decisions(spark, sf_dir)), tm.markers(spark, sf_dir))
 
 
 @register("slo_revenue", with_ctes("""

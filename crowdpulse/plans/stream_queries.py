@@ -5,7 +5,7 @@ checkpoint root and returns the sink as a static DataFrame.
 
 A sentinel event and marker later than everything close the last windows
 (append mode holds a window until the watermark passes it); sentinel output
-is filtered out.
+is filtered out by its own id.
 """
 
 from __future__ import annotations
@@ -15,17 +15,34 @@ from pyspark.sql import functions as F
 from crowdpulse.plans.oracle import CTES, with_ctes
 from crowdpulse.plans.registry import SPAN, WINDOW, register
 from crowdpulse.session import scratch_path
-from crowdpulse.sinks.writers import bronze_ingest
+from crowdpulse.operators.gold import stream_batch_reconcile
+from crowdpulse.sinks.writers import bronze_ingest, compact_upserts, read_upserted, silver_upsert
 from crowdpulse.sources import testmap as tm
 from crowdpulse.sources.parse import filter_required, parse_player_events
 from crowdpulse.sources.readers import read_marker_stream, read_raw_stream
-from crowdpulse.streaming.pipeline import backfill, dedupe_stream, silver_stream, start_to_parquet
+from crowdpulse.streaming.pipeline import backfill, dedupe_stream, late_rows, silver_stream, start_to_parquet
+
+SENTINEL = "sentinel"
+
+
+def _sentinel_time(df, margin: str = "30 days"):
+    """A time later than all of ``df``'s, far enough to close every window."""
+    return df.agg((F.max("timestamp") + F.expr(f"INTERVAL {margin}")).alias("t")).select(
+        F.coalesce("t", F.current_timestamp()).alias("t"))
+
+
+def _sentinel_event(df):
+    t = F.date_format("t", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("timestamp")
+    lit = [F.lit(v).alias(k) for k, v in (("event_id", SENTINEL), ("session_id", SENTINEL), ("event_type", "heartbeat"),
+                                          ("content_id", SENTINEL), ("region", SENTINEL), ("cdn", SENTINEL))]
+    return _sentinel_time(df).select(F.to_json(F.struct(t, *lit)).alias("value"))
+
+
+def _sentinel_marker(df):
+    t = F.date_format("t", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("wallclock")
+    lit = [F.lit(v).alias(k) for k, v in (("marker_id", SENTINEL), ("channel", SENTINEL), ("break_type", "commercial"))]
+    return _sentinel_time(df).select(F.to_json(F.struct(t, *lit)).alias("value"))
 
-SENTINEL_TS = "2024-06-01T00:00:00.000Z"
-SENTINEL_EVENT = ('{"event_id":"sentinel","session_id":"sentinel","timestamp":"' + SENTINEL_TS
-                  + '","event_type":"heartbeat","content_id":"ch-0","cdn":"cdn-a"}')
-SENTINEL_MARKER = ('{"marker_id":"sentinel","channel":"ch-0","wallclock":"' + SENTINEL_TS
-                   + '","break_type":"commercial"}')
 
 CTES.update({
     "markers_ms": (("markers",), """
@@ -45,8 +62,9 @@ def _land(spark, sf_dir, root):
         .repartition(4).write.mode("overwrite").text(ev_dir)
     tm.raw_markers(spark, sf_dir).select(F.col("value").cast("string").alias("value")) \
         .repartition(2).write.mode("overwrite").text(mk_dir)
-    spark.createDataFrame([(SENTINEL_EVENT,)], "value string").write.mode("append").text(ev_dir)
-    spark.createDataFrame([(SENTINEL_MARKER,)], "value string").write.mode("append").text(mk_dir)
+    feed = tm.player_events(spark, sf_dir).select("timestamp")
+    _sentinel_event(feed).write.mode("append").text(ev_dir)
+    _sentinel_marker(feed).write.mode("append").text(mk_dir)
     return ev_dir, mk_dir
 
 
@@ -78,7 +96,7 @@ def q_silver_stream(spark, sf_dir):
     out = silver_stream(events, markers, WINDOW, SPAN, delay="15 seconds")
     start_to_parquet(out, f"{root}/silver", f"{root}/ckpt_silver").awaitTermination()
     res = spark.read.parquet(f"{root}/silver")
-    return res.where(F.col("window_start") < F.lit("2024-06-01").cast("timestamp")).drop("ccv")
+    return res.where(F.col("cdn") != SENTINEL).drop("ccv")
 
 
 @register("silver_stream_static_markers", with_ctes(_silver_body(_NO_CCV), "silver_parsed"))
@@ -93,7 +111,7 @@ def q_silver_stream_static(spark, sf_dir):
     out = silver_stream(events, markers, WINDOW, SPAN, delay="15 seconds", static_markers=True)
     start_to_parquet(out, f"{root}/silver", f"{root}/ckpt_silver").awaitTermination()
     res = spark.read.parquet(f"{root}/silver")
-    return res.where(F.col("window_start") < F.lit("2024-06-01").cast("timestamp")).drop("ccv")
+    return res.where(F.col("cdn") != SENTINEL).drop("ccv")
 
 
 @register("dedupe_stream", with_ctes("""
@@ -106,7 +124,7 @@ def q_dedupe_stream(spark, sf_dir):
     events = filter_required(parse_player_events(read_raw_stream(spark, "parquet", {"path": bronze})))
     d = dedupe_stream(events, "15 seconds", by_id_only=True).select("event_id", "timestamp")
     start_to_parquet(d, f"{root}/out", f"{root}/ckpt").awaitTermination()
-    res = spark.read.parquet(f"{root}/out").where(F.col("event_id") != "sentinel")
+    res = spark.read.parquet(f"{root}/out").where(F.col("event_id") != SENTINEL)
     return res.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("event_id").alias("n_ids"))
 
 
@@ -131,6 +149,74 @@ def q_backfill(spark, sf_dir):
     return out.drop("event_date")
 
 
+@register("backfill_partial_day", with_ctes("SELECT * FROM silver_parsed", "silver_parsed"))
+def q_backfill_partial_day(spark, sf_dir):
+    """A full run, then a backfill of two hours inside a day (ST12). A third of the records reached Bronze three hours
+    late and a third before their own event time; the table must still be the full Silver."""
+    root = scratch_path(spark, "backfill-partial")
+    bronze = f"{root}/bronze"
+    third = F.pmod(F.xxhash64("value"), F.lit(3))
+    shift = F.when(third == 0, F.expr("INTERVAL 3 HOURS")).when(third == 1, F.expr("INTERVAL -10 SECONDS")).otherwise(F.expr("INTERVAL 0 SECONDS"))
+    tm.raw_player_events(spark, sf_dir).withColumn("timestamp", F.col("timestamp") + shift) \
+        .withColumn("event_date", F.to_date("timestamp")).write.partitionBy("event_date").parquet(bronze)
+    markers = tm.markers(spark, sf_dir).withColumn("wallclock", F.date_trunc("millisecond", "wallclock"))
+    backfill(spark, bronze, f"{root}/silver", markers, None, None, WINDOW, SPAN)
+    out = backfill(spark, bronze, f"{root}/silver", markers, "2024-01-10 10:00:00", "2024-01-10 12:00:00", WINDOW, SPAN)
+    return out.drop("event_date")
+
+
+@register("late_rows", with_ctes("""
+SELECT DISTINCT event_id, "timestamp" FROM pe_parsed WHERE "timestamp" < TIMESTAMP '2024-01-10 00:00:00'""", "pe_parsed"))
+def q_late_rows(spark, sf_dir):
+    """Two deliveries, the second of days long past the watermark (ST8, ST9): the stream drops them, and the batch side
+    finds exactly those in Bronze."""
+    root = scratch_path(spark, "late-rows")
+    feed = filter_required(parse_player_events(tm.raw_player_events(spark, sf_dir))).select("event_id", "timestamp")
+    old = F.col("timestamp") < F.lit("2024-01-10 00:00:00").cast("timestamp")
+    for part in (feed.where(~old), feed.where(old)):
+        part.write.mode("append").parquet(f"{root}/feed")
+        stream = spark.readStream.schema(feed.schema).parquet(f"{root}/feed")
+        start_to_parquet(dedupe_stream(stream), f"{root}/processed", f"{root}/ckpt").awaitTermination()
+    return late_rows(spark.read.parquet(f"{root}/feed"), spark.read.parquet(f"{root}/processed")).distinct()
+
+
+@register("silver_upsert", with_ctes("""
+SELECT event_id, MAX("timestamp") AS "timestamp" FROM pe_parsed GROUP BY event_id""", "pe_parsed"))
+def q_silver_upsert(spark, sf_dir):
+    """Keyed upsert (SK3-SK5, ST11): in-batch copies of a key, a replay of the whole feed under a second checkpoint, and a
+    compaction between them; the newest version per event remains."""
+    root = scratch_path(spark, "upsert")
+    feed = filter_required(parse_player_events(tm.raw_player_events(spark, sf_dir))).select("event_id", "timestamp")
+    feed.write.parquet(f"{root}/feed")
+    stream = spark.readStream.schema(feed.schema).parquet(f"{root}/feed")
+    for run in ("first", "second"):
+        silver_upsert(stream, f"{root}/table", f"{root}/ckpt-{run}", ["event_id"], checks=[], trigger="availableNow",
+                      version=["timestamp"]).awaitTermination()
+        compact_upserts(spark, f"{root}/table", ["event_id"])
+    return read_upserted(spark, f"{root}/table", ["event_id"])
+
+
+@register("stream_batch_reconcile_live", with_ctes("""
+SELECT COUNT(*) AS cells, CAST(0 AS BIGINT) AS differing_rows FROM silver_parsed""", "silver_parsed"))
+def q_stream_batch_reconcile_live(spark, sf_dir):
+    """The Silver stream's own output against a batch recompute of the same Bronze (J10): counts must agree exactly, CCV
+    within three of the sketch's standard errors."""
+    root = scratch_path(spark, "reconcile")
+    bronze, mk_dir = _bronze(spark, sf_dir, root)
+    events = filter_required(parse_player_events(read_raw_stream(spark, "parquet", {"path": bronze})))
+    markers = read_marker_stream(spark, "text", {"path": mk_dir})
+    start_to_parquet(silver_stream(events, markers, WINDOW, SPAN, delay="15 seconds"), f"{root}/silver", f"{root}/ckpt").awaitTermination()
+    mk = tm.markers(spark, sf_dir).withColumn("wallclock", F.date_trunc("millisecond", "wallclock"))
+    batch = backfill(spark, bronze, f"{root}/batch", mk, window=WINDOW, span=SPAN).where(F.col("cdn") != SENTINEL)
+    live = spark.read.parquet(f"{root}/silver").where(F.col("cdn") != SENTINEL)
+    keys = ["window_start", "region", "device", "cdn", "marker_id"]
+    far = stream_batch_reconcile(live, batch, measures=("event_count", "error_count"))
+    ccv = live.select(*keys, F.col("ccv").alias("a")).join(batch.select(*keys, F.col("ccv").alias("b")), keys)
+    wide = ccv.where(F.abs(F.col("a") - F.col("b")) > F.greatest(F.lit(1.0), 0.15 * F.col("b")))
+    parts = [df.select(F.lit(cell).alias("cell"), F.lit(bad).alias("bad")) for df, cell, bad in ((batch, 1, 0), (far, 0, 1), (wide, 0, 1))]
+    both = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return both.agg(F.sum("cell").alias("cells"), F.sum("bad").alias("differing_rows"))
+
 
 @register("bronze_ingest", with_ctes("""
 SELECT COUNT(*) + 1 AS records, COUNT(DISTINCT CASE WHEN k <> 13 THEN event_id END) + 1 AS event_ids
@@ -191,10 +277,10 @@ def q_sessionise_stream(spark, sf_dir):
     root = scratch_path(spark, "sessions")
     feed = tm.player_events(spark, sf_dir)
     feed.repartition(3).write.parquet(f"{root}/in")
-    sentinel = feed.limit(1).withColumn("session_id", F.lit("zz-sentinel")).withColumn(
-        "timestamp", F.lit("2024-06-01 00:00:00").cast("timestamp"))
+    sentinel = feed.limit(1).withColumn("session_id", F.lit(SENTINEL)).withColumn(
+        "timestamp", F.lit(_sentinel_time(feed).first()["t"]))
     sentinel.write.mode("append").parquet(f"{root}/in")
     s = spark.readStream.schema(feed.schema).parquet(f"{root}/in")
     out = sessionise(dedupe_stream(s, "15 seconds"), "3 hours", keys=("session_id", "content_id"))
     start_to_parquet(out, f"{root}/out", f"{root}/ckpt").awaitTermination()
-    return spark.read.parquet(f"{root}/out").where(F.col("session_id") != "zz-sentinel")
+    return spark.read.parquet(f"{root}/out").where(F.col("session_id") != SENTINEL)

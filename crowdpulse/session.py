@@ -8,7 +8,6 @@ streaming checkpoints and lineage cuts comes from ``spark.checkpoint.dir``
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -92,9 +91,5 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder inside the shared checkpoint root."""
-    root = checkpoint_root(spark).rstrip("/")
-    path = f"{root}/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
-    return path
+    """A fresh, unique folder name inside the shared checkpoint root; Spark's writers make the folder."""
+    return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

@@ -8,11 +8,14 @@ so a replayed batch overwrites itself instead of adding rows. Failures raise
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import hashlib
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from crowdpulse.operators.quality import fail_if_any, gold_quality_report, runtime_checks
+from crowdpulse.sources.readers import read_jdbc_table
 
 
 def _trigger(writer, trigger):
@@ -40,66 +43,117 @@ def _write_batch(batch_df: DataFrame, path: str, batch_id: int) -> None:
         f"{path.rstrip('/')}/batch_id={batch_id}")
 
 
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path`` (none if it doesn't exist), on whatever file system it names."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(x.getPath().getName() for x in fs.listStatus(folder) if x.isDirectory()) if fs.exists(folder) else []
+
+
+COMPACTED = "compacted"
+
+
+def _run_folder(spark: SparkSession, path: str, checkpoint: str) -> str:
+    """The folder of this checkpoint's batches: ``run=<sequence>-<checkpoint>``. A restart goes on in its folder; a new
+    checkpoint, or one that was compacted since, gets the next sequence number, so its batches overwrite nobody's."""
+    name = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+    runs = [x[4:].split("-") for x in _folders(spark, path) if x.startswith("run=")]
+    own = [n for n, who in runs if who == name]
+    sealed = max([n for n, who in runs if who == COMPACTED], default="")
+    if own and max(own) > sealed:
+        return f"run={max(own)}-{name}"
+    return f"run={1 + max([int(n) for n, _ in runs], default=0):08d}-{name}"
+
+
+def latest_per_key(df: DataFrame, keys, version) -> DataFrame:
+    """One row per key: the greatest by ``version`` columns, then by all others, so a rerun keeps the same row."""
+    rest = [c for c in df.columns if c not in keys]
+    order = F.struct(*version, *[c for c in rest if c not in version])
+    return df.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("_row")).select(*keys, "_row.*")
+
+
 def silver_upsert(stream: DataFrame, path: str, checkpoint: str, keys, checks=None,
-                  trigger: str | None = "5 seconds", output_mode: str = "append") -> StreamingQuery:
+                  trigger: str | None = "5 seconds", output_mode: str = "append", version=()) -> StreamingQuery:
     """Keyed upsert without a transactional table format (SK3-SK5, DQ6): each
-    micro-batch is checked, skipped if empty, and written to its own
-    ``batch_id=N`` folder (a replay overwrites it); readers take the latest
+    micro-batch is evaluated once, skipped if empty, checked, reduced to one
+    row per key (the greatest by ``version``) and written to
+    ``run=R/batch_id=N`` (a replay overwrites it); readers take the latest
     version per key with ``read_upserted``."""
-    keys = list(keys)
+    keys, run = list(keys), _run_folder(stream.sparkSession, path, checkpoint)
 
     def process(batch_df: DataFrame, batch_id: int) -> None:
-        if batch_df.isEmpty():
-            return
-        runtime_checks(batch_df, checks)
-        _write_batch(batch_df, path, batch_id)
+        kept = batch_df.persist()
+        try:
+            if kept.isEmpty():
+                return
+            runtime_checks(kept, checks)
+            latest_per_key(kept, keys, list(version)).write.mode("overwrite").parquet(
+                f"{path.rstrip('/')}/{run}/batch_id={batch_id}")
+        finally:
+            kept.unpersist()
 
     w = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint).outputMode(output_mode)
     return _trigger(w, trigger).start()
 
 
+def _current_batches(spark: SparkSession, path: str) -> DataFrame:
+    """All batches since the last compaction, with ``run`` and ``batch_id``."""
+    runs = [x for x in _folders(spark, path) if x.startswith("run=")]
+    sealed = max([x for x in runs if x.endswith(f"-{COMPACTED}")], default="")
+    return spark.read.option("basePath", path).parquet(*[f"{path.rstrip('/')}/{x}" for x in runs if x >= sealed])
+
+
 def read_upserted(spark: SparkSession, path: str, keys) -> DataFrame:
-    """Latest version of each key over all upsert batches."""
-    df = spark.read.parquet(path)
-    w = Window.partitionBy(*keys).orderBy(F.col("batch_id").desc())
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn", "batch_id")
+    """Latest version of each key over all upsert runs and batches."""
+    return latest_per_key(_current_batches(spark, path), list(keys), ["run", "batch_id"]).drop("run", "batch_id")
 
 
-def compact_upserts(spark: SparkSession, path: str, keys, out: str) -> None:
-    """Rewrite the latest-per-key view as one table (periodic compaction)."""
-    read_upserted(spark, path, keys).write.mode("overwrite").parquet(out)
+def compact_upserts(spark: SparkSession, path: str, keys) -> None:
+    """Retire the batches so far: the latest-per-key view becomes a run of its own, which readers start from. It is
+    written beside and moved into place whole, so a reader sees either state. Run it while no stream writes here; a
+    stream started later goes on in a new run."""
+    runs = [x for x in _folders(spark, path) if x.startswith("run=")]
+    number = 1 + max(int(x[4:].split("-")[0]) for x in runs)
+    staged, final = f"{path.rstrip('/')}/_staged-{number:08d}", f"{path.rstrip('/')}/run={number:08d}-{COMPACTED}"
+    read_upserted(spark, path, keys).write.mode("overwrite").parquet(f"{staged}/batch_id=0")
+    jvm = spark.sparkContext._jvm
+    source = jvm.org.apache.hadoop.fs.Path(staged)
+    source.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).rename(source, jvm.org.apache.hadoop.fs.Path(final))
 
 
 def gold_write_partitioned(gold: DataFrame, path: str, partition: str = "event_date",
-                           ts: str = "window_start") -> None:
+                           ts: str = "window_start", tasks_per_date: int = 8) -> None:
     """Idempotent partitioned rewrite (SK8, T5): dynamic partition overwrite
-    replaces only the dates present; rows are time-sorted inside files."""
-    spark = gold.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        out = gold.withColumn(partition, F.to_date(ts)) if partition not in gold.columns else gold
-        out.repartition(partition).sortWithinPartitions(ts).write.mode("overwrite") \
-            .partitionBy(partition).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    replaces only the dates present. A date is written by several tasks, and
+    rows are time-sorted inside each file (the sort leads with the partition
+    column, as the writer's own does, so it is kept)."""
+    out = gold.withColumn(partition, F.to_date(ts)) if partition not in gold.columns else gold
+    part = F.pmod(F.xxhash64(*gold.columns), F.lit(tasks_per_date))
+    out.repartition(partition, part).sortWithinPartitions(partition, ts).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
 
 
 def gold_publish(gold: DataFrame, url: str, table: str, properties: dict, max_lag_s: int = 600,
                  string_columns: str | None = None) -> None:
     """Quality-gated full overwrite over JDBC (SK6): the one-pass check report
-    must pass, otherwise nothing is written and the job fails."""
-    fail_if_any(gold_quality_report(gold, max_lag_s))
-    w = gold.write.mode("overwrite").option("truncate", "true")
-    if string_columns:
-        w = w.option("createTableColumnTypes", string_columns)
-    w.jdbc(url, table, properties=properties)
+    must pass, otherwise nothing is written and the job fails. What was checked
+    is what is written: Gold is computed once."""
+    kept = gold.persist()
+    try:
+        fail_if_any(gold_quality_report(kept, max_lag_s))
+        w = kept.write.mode("overwrite").option("truncate", "true")
+        if string_columns:
+            w = w.option("createTableColumnTypes", string_columns)
+        w.jdbc(url, table, properties=properties)
+    finally:
+        kept.unpersist()
 
 
 def copy_table(spark: SparkSession, src: dict, dst: dict) -> None:
     """Copy a table between databases (SK7); each of ``src``/``dst`` is
-    {url, table, properties}."""
-    df = spark.read.jdbc(src["url"], src["table"], properties=src.get("properties", {}))
+    {url, table, properties}; ``src`` may add {partitioning} to read it in parallel."""
+    df = read_jdbc_table(spark, src["url"], src["table"], src.get("properties", {}), src.get("partitioning"))
     df.write.mode(dst.get("mode", "overwrite")).jdbc(dst["url"], dst["table"], properties=dst.get("properties", {}))
 
 
@@ -110,9 +164,13 @@ def write_valid_and_dlq(validated_stream: DataFrame, valid_path: str, dlq_path:
     from crowdpulse.operators.quality import split_valid_dlq
 
     def process(batch_df: DataFrame, batch_id: int) -> None:
-        valid, dlq = split_valid_dlq(batch_df)
-        _write_batch(valid, valid_path, batch_id)
-        _write_batch(dlq, dlq_path, batch_id)
+        kept = batch_df.persist()       # parsed once for both sides
+        try:
+            valid, dlq = split_valid_dlq(kept)
+            _write_batch(valid, valid_path, batch_id)
+            _write_batch(dlq, dlq_path, batch_id)
+        finally:
+            kept.unpersist()
 
     w = validated_stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     return _trigger(w, trigger).start()

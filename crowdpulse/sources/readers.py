@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from crowdpulse import schemas
 from crowdpulse.sources.parse import filter_required, parse_markers, parse_player_events
 
-KAFKA_DEFAULTS = {"startingOffsets": "earliest", "failOnDataLoss": "false"}
+# Lost offsets stop the stream; a caller who accepts gaps passes failOnDataLoss=false.
+KAFKA_DEFAULTS = {"startingOffsets": "earliest", "failOnDataLoss": "true"}
 
 
 def _as_raw(df: DataFrame, topic: str) -> DataFrame:
@@ -108,23 +109,3 @@ def publish_jsonl(spark: SparkSession, src: str, fmt: str, target: dict, topic:
 def jsonl_to_parquet(spark: SparkSession, src: str, dst: str, schema, compression: str = "snappy") -> None:
     """JSONL to Snappy Parquet with an explicit schema (IO9)."""
     read_jsonl(spark, src, schema).write.mode("overwrite").option("compression", compression).parquet(dst)
-
-
-def spread_scan(df: DataFrame, key: str, min_partitions: int | None = None) -> DataFrame:
-    """Give a batch scan at least one task per core.
-
-    A file of one large row group scans as one task, so every per-row step up
-    to the first shuffle (JSON encode/parse, mapping, explode) would run on one
-    core. When the scan yields fewer partitions than the cluster has cores, hash
-    it on ``key`` (a high-cardinality column: no skew, and deterministic on task
-    retry, unlike round-robin). A scan already split across the cluster, the
-    normal case for a large input, is returned unchanged, with no shuffle.
-    """
-    if df.isStreaming:
-        return df
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no SparkContext/RDD on this client: keep the scan as is
-        return df
-    return df.repartition(want, key) if have < want else df

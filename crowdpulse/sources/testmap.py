@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crowdpulse.session import ensure_defaults
-from crowdpulse.sources.readers import spread_scan
 
 # Fixed mapping values (same text in the DuckDB oracle).
 CDNS = ("cdn-a", "cdn-b", "cdn-c")
@@ -30,8 +29,6 @@ RESEND_SHIFT_S = 3
 SCD2_CHANGE = "2024-01-15 00:00:00"
 
 
-# The two fact tables and a unique key of each, for ``spread_scan``.
-FACT_KEYS = {"events": "event_id", "lineitem": "l_orderkey"}
 # Schemas of the driver tables read here: a given schema spares the footer
 # scan job that schema inference runs on every read.
 TABLE_SCHEMAS = {
@@ -47,8 +44,7 @@ TABLE_SCHEMAS = {
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     reader = spark.read.schema(TABLE_SCHEMAS[name]) if name in TABLE_SCHEMAS else spark.read
-    df = reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread_scan(df, FACT_KEYS[name]) if name in FACT_KEYS else df
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # The mapping is written as SQL expressions: one expression string per column

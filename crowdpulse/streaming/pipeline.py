@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from crowdpulse.functions.columns import REGULAR_CONTENT
 from crowdpulse.operators.joins import ad_interval_join, label_ad_marker
 from crowdpulse.operators.silver import aggregate_qoe, silver_qoe
-from crowdpulse.sinks.writers import _trigger, _write_batch
+from crowdpulse.sinks.writers import _trigger
 from crowdpulse.sources.parse import filter_required, parse_player_events
 from crowdpulse.sources.readers import read_bronze
 
@@ -66,74 +66,30 @@ def start_to_parquet(df: DataFrame, path: str, checkpoint: str, trigger: str | N
     return _trigger(w, trigger).start()
 
 
-def late_side_output(stream: DataFrame, on_time_path: str, late_path: str, checkpoint: str, delay: str = WATERMARK,
-                     ts: str = "timestamp", trigger: str | None = None) -> StreamingQuery:
-    """Rows older than the watermark go to ``late_path`` instead of being
-    dropped (ST9); the batch recompute merges them. The watermark follows
-    Spark's rule (max event time of earlier batches minus ``delay``) and is
-    kept per batch in the checkpoint folder, so a replayed batch splits the
-    same way."""
-    from crowdpulse.functions.columns import interval_seconds
-    delay_us = interval_seconds(delay) * 1_000_000
-    state_dir = f"{checkpoint.rstrip('/')}/late_watermarks"
-    spark = stream.sparkSession
-
-    def _read(path):
-        try:
-            return spark.read.schema("batch_id long, max_event_us long").json(path)
-        except Exception:  # noqa: BLE001 - no state there
-            return None
-
-    def _load(batch_id: int):
-        # micro-batch ids are consecutive, so the previous state is normally b=id-1;
-        # scan all states only when that one is absent
-        if batch_id == 0:
-            return None
-        prev = _read(f"{state_dir}/b={batch_id - 1}")
-        r = prev.collect() if prev is not None else []
-        if not r:
-            prev = _read(state_dir)
-            r = [] if prev is None else prev.where(F.col("batch_id") < batch_id).orderBy(
-                F.col("batch_id").desc()).limit(1).collect()
-        return r[0]["max_event_us"] if r else None
-
-    def process(batch_df: DataFrame, batch_id: int) -> None:
-        prev_max = _load(batch_id)
-        wm = None if prev_max is None else prev_max - delay_us
-        tagged = batch_df.withColumn("_late", F.lit(False) if wm is None else F.unix_micros(ts) < F.lit(wm))
-        _write_batch(tagged.where(~F.col("_late")).drop("_late"), on_time_path, batch_id)
-        _write_batch(tagged.where(F.col("_late")).drop("_late"), late_path, batch_id)
-        batch_max = batch_df.agg(F.max(F.unix_micros(ts))).first()[0]
-        new_max = max(x for x in (prev_max, batch_max, -2**62) if x is not None)
-        spark.createDataFrame([(batch_id, int(new_max))], "batch_id long, max_event_us long") \
-            .write.mode("overwrite").json(f"{state_dir}/b={batch_id}")
-
-    w = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
-    return _trigger(w, trigger).start()
+def late_rows(bronze_events: DataFrame, processed: DataFrame, keys=("event_id", "timestamp")) -> DataFrame:
+    """Rows that the stream dropped as late (ST9): Bronze events whose key is not among those that passed the
+    watermarked dedupe (``processed``, the sink of ``dedupe_stream``). Processed and late rows together are Bronze."""
+    known = processed.select(*keys).distinct()
+    return bronze_events.join(known, list(keys), "left_anti")
 
 
 def backfill(spark: SparkSession, bronze_path: str, silver_path: str, markers: DataFrame, start=None, end=None,
              window: str = "1 minute", span: str = "2 minutes", partition: str = "event_date",
-             ingest_slack: str = "1 hour") -> DataFrame:
-    """Recompute Silver from Bronze for event time ``[start, end)`` (ST12,
-    ST11): exact CCV, then a dynamic partition overwrite of only the affected
-    dates, so a rerun is idempotent. Bronze is pruned on ingest time, read up
-    to ``ingest_slack`` past ``end`` so late arrivals are included. Returns the
-    recomputed Silver."""
-    read_end = None if end is None else spark.sql(
-        f"SELECT CAST(TIMESTAMP '{end}' + INTERVAL {ingest_slack} AS STRING)").first()[0]
-    raw = read_bronze(spark, bronze_path, start, read_end)
-    events = filter_required(parse_player_events(raw))
+             ingested_from=None) -> DataFrame:
+    """Recompute Silver from Bronze for the dates that event time ``[start, end)`` touches (ST12, ST11): exact CCV,
+    then a dynamic overwrite of those date partitions.
+
+    A partition is replaced whole, so it is also recomputed whole: a range inside a day covers that day. Events are chosen
+    by their own time alone - however late they came, and also if a device clock ran ahead of ingest. A rerun is
+    idempotent. A caller that knows how early such events can have come may prune Bronze with ``ingested_from``.
+    Returns the Silver table."""
+    events = filter_required(parse_player_events(read_bronze(spark, bronze_path, ingested_from)))
+    day = F.date_trunc("day", F.col("timestamp"))
     if start is not None:
-        events = events.where(F.col("timestamp") >= F.lit(start).cast("timestamp"))
-    if end is not None:
-        events = events.where(F.col("timestamp") < F.lit(end).cast("timestamp"))
+        events = events.where(day >= F.date_trunc("day", F.lit(start).cast("timestamp")))
+    if end is not None:     # an end at midnight leaves the day that begins there alone
+        events = events.where(day < F.lit(end).cast("timestamp"))
     silver = silver_qoe(events, markers, window, span)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        silver.withColumn(partition, F.to_date("window_start")).write.mode("overwrite") \
-            .partitionBy(partition).parquet(silver_path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    silver.withColumn(partition, F.to_date("window_start")).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(silver_path)
     return spark.read.parquet(silver_path)

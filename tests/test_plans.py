@@ -35,3 +35,18 @@ def test_session_sweep_reads_events_once(spark):
     plan = _plan(entry.queries()["ccv_sweep"](spark, SF))
     assert plan.count("FileScan parquet") == 2
     assert plan.count("Exchange") <= 8
+
+
+def test_gold_filters_before_the_join(spark):
+    plan = entry.queries()["gold_reconciliation"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner" in plan     # the marker join: rows without a marker cannot reach Gold
+
+
+def test_no_query_shuffles_its_scan_round(spark):
+    for name in ("silver_qoe", "gold_reconciliation", "session_summary"):
+        assert "REPARTITION_BY_NUM" not in _plan(entry.queries()[name](spark, SF))
+
+
+def test_asof_never_ranks_events(spark):
+    plan = _plan(entry.queries()["silver_qoe_asof"](spark, SF))
+    assert plan.count("Window [") + plan.count("Window(") <= 1      # the markers' successor

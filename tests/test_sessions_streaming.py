@@ -7,8 +7,8 @@ from conftest import EVENT_DDL, MARKER_DDL, ev, mk, ts
 from crowdpulse.operators import sessions as SE
 from crowdpulse.operators.running import running_agg, time_bucket
 from crowdpulse.session import scratch_path
-from crowdpulse.sinks.writers import read_upserted, silver_upsert
-from crowdpulse.streaming.pipeline import late_side_output, silver_stream, start_to_parquet
+from crowdpulse.sinks.writers import compact_upserts, read_upserted, silver_upsert
+from crowdpulse.streaming.pipeline import backfill, dedupe_stream, late_rows, silver_stream, start_to_parquet
 from crowdpulse.operators.silver import silver_qoe
 
 
@@ -72,16 +72,6 @@ def test_peak_concurrency_with_carries_equals_plain_sweep(spark):
     assert {r.content_id: r.p for r in per_row.collect()} == want
 
 
-def test_spread_scan_splits_a_single_partition_only(spark):
-    from crowdpulse.sources.readers import spread_scan
-    one = spark.range(0, 1000, numPartitions=1)
-    spread = spread_scan(one, "id", min_partitions=4)
-    assert spread.rdd.getNumPartitions() == 4
-    assert sorted(r.id for r in spread.collect()) == list(range(1000))
-    many = spark.range(0, 1000, numPartitions=6)
-    assert spread_scan(many, "id", min_partitions=4) is many
-
-
 def test_global_dedupe_keeps_first_copy(spark):
     rows = [ev("a", 13, bitrate=2), ev("a", 10, bitrate=1), ev("b", 5)]
     got = {r.event_id: r.bitrate_kbps for r in SE.global_dedupe(spark.createDataFrame(rows, EVENT_DDL)).collect()}
@@ -92,7 +82,7 @@ def _write(spark, rows, ddl, path):
     spark.createDataFrame(rows, ddl).write.mode("append").parquet(path)
 
 
-def test_stream_equals_batch_and_drops_late_row(spark):
+def test_stream_equals_batch(spark):
     root = scratch_path(spark, "t-stream")
     rows = [ev(f"e{i}", i * 7.0, session=f"s{i % 5}", content="ch-1") for i in range(60)]
     rows += [ev("e3", 21.0, session="s3")]                   # exact duplicate
@@ -113,28 +103,81 @@ def test_stream_equals_batch_and_drops_late_row(spark):
     assert sorted(got.collect()) == sorted(batch.collect())
 
 
-def test_late_side_output_and_upsert_replay(spark):
+def test_late_row_is_dropped_by_the_stream_and_found_in_bronze(spark):
     root = scratch_path(spark, "t-late")
-    _write(spark, [ev("a", 1000), ev("b", 1010)], EVENT_DDL, f"{root}/in")
-    src = spark.readStream.schema(EVENT_DDL).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
-    late_side_output(src, f"{root}/on", f"{root}/late", f"{root}/ck", "15 seconds").awaitTermination()
-    _write(spark, [ev("c", 100), ev("d", 1020)], EVENT_DDL, f"{root}/in")   # c is ~15 min late
-    src = spark.readStream.schema(EVENT_DDL).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
-    late_side_output(src, f"{root}/on", f"{root}/late", f"{root}/ck", "15 seconds").awaitTermination()
-    late = [r.event_id for r in spark.read.parquet(f"{root}/late").collect()]
-    on = sorted(r.event_id for r in spark.read.parquet(f"{root}/on").collect())
-    assert late == ["c"] and on == ["a", "b", "d"]
+    for batch in ([ev("a", 1000), ev("b", 1010)], [ev("c", 100), ev("d", 1020)]):   # c is ~15 min late
+        _write(spark, batch, EVENT_DDL, f"{root}/in")
+        src = spark.readStream.schema(EVENT_DDL).parquet(f"{root}/in")
+        start_to_parquet(dedupe_stream(src), f"{root}/out", f"{root}/ck").awaitTermination()
+    processed = spark.read.parquet(f"{root}/out")
+    assert sorted(r.event_id for r in processed.collect()) == ["a", "b", "d"]
+    assert [r.event_id for r in late_rows(spark.read.parquet(f"{root}/in"), processed).collect()] == ["c"]
+
 
+def test_silver_stream_goes_on_after_a_restart(spark):
+    root = scratch_path(spark, "t-restart")
+    rows = [ev(f"e{i}", i * 7.0, session=f"s{i % 5}", content="ch-1") for i in range(60)]
+    _write(spark, [mk("m1", 30)], MARKER_DDL, f"{root}/mk")
+    markers = spark.read.schema(MARKER_DDL).parquet(f"{root}/mk")
+    for part in (rows[:30], rows[25:] + [ev("zz", 100000, content="ch-9")]):    # the restart is handed some rows again
+        _write(spark, part, EVENT_DDL, f"{root}/ev")
+        es = spark.readStream.schema(EVENT_DDL).parquet(f"{root}/ev")
+        start_to_parquet(silver_stream(es, markers, "1 minute", "2 minutes", static_markers=True), f"{root}/out", f"{root}/ck").awaitTermination()
+    got = spark.read.parquet(f"{root}/out").where(F.col("window_start") < F.lit(ts(90000))).drop("ccv")
+    want = silver_qoe(spark.createDataFrame(rows, EVENT_DDL), markers, "1 minute", "2 minutes").drop("ccv")
+    # rows 25-29 come back behind the watermark or as duplicates: neither may count twice
+    assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_upsert_copies_second_checkpoint_and_compaction(spark):
     up = scratch_path(spark, "t-upsert")
-    keyed = spark.createDataFrame([("k1", 1), ("k2", 2)], "key string, v int")
-    keyed.write.parquet(f"{up}/src")
-    s = spark.readStream.schema("key string, v int").parquet(f"{up}/src")
-    silver_upsert(s, f"{up}/t", f"{up}/ck", ["key"], checks=[], trigger=None).awaitTermination()
-    spark.createDataFrame([("k1", 10)], "key string, v int").write.mode("append").parquet(f"{up}/src")
-    s = spark.readStream.schema("key string, v int").parquet(f"{up}/src")
-    silver_upsert(s, f"{up}/t", f"{up}/ck", ["key"], checks=[], trigger=None).awaitTermination()
-    got = {r.key: r.v for r in read_upserted(spark, f"{up}/t", ["key"]).collect()}
-    assert got == {"k1": 10, "k2": 2}
+
+    def feed(rows):
+        spark.createDataFrame(rows, "key string, v int").write.mode("append").parquet(f"{up}/src")
+
+    def run(checkpoint):
+        s = spark.readStream.schema("key string, v int").parquet(f"{up}/src")
+        silver_upsert(s, f"{up}/t", f"{up}/{checkpoint}", ["key"], checks=[], trigger=None, version=["v"]).awaitTermination()
+
+    def held():
+        return {r.key: r.v for r in read_upserted(spark, f"{up}/t", ["key"]).collect()}
+
+    feed([("k1", 2), ("k1", 1), ("k2", 2)])     # two rows of one key in a batch: the greater version stays
+    run("ck")
+    assert held() == {"k1": 2, "k2": 2}
+    feed([("k1", 10), ("k3", 3)])
+    run("ck")
+    assert held() == {"k1": 10, "k2": 2, "k3": 3}
+    compact_upserts(spark, f"{up}/t", ["key"])
+    assert held() == {"k1": 10, "k2": 2, "k3": 3}
+    feed([("k4", 4)])
+    run("ck")                                   # the old checkpoint goes on after compaction
+    assert held() == {"k1": 10, "k2": 2, "k3": 3, "k4": 4}
+    run("other")                                # a new checkpoint replays everything and overwrites nobody's batches
+    assert held() == {"k1": 10, "k2": 2, "k3": 3, "k4": 4}
+
+
+def test_backfill_of_two_hours_keeps_the_day(spark):
+    import json
+    from datetime import timedelta
+
+    root = scratch_path(spark, "t-backfill")
+
+    def raw(eid, hour, ingest_s=0):
+        t = ts(0).replace(hour=0) + timedelta(hours=hour)
+        body = json.dumps({"event_id": eid, "session_id": "s", "timestamp": t.isoformat() + ".000Z", "event_type": "heartbeat",
+                           "content_id": "ch-1", "cdn": "cdn-a"})
+        return body.encode(), t + timedelta(seconds=ingest_s)
+
+    rows = [raw("a", 1), raw("b", 10.5), raw("c", 11.5, 3 * 3600), raw("d", 10.001, -10), raw("e", 23)]
+    bronze = spark.createDataFrame(rows, "value binary, timestamp timestamp")
+    bronze.withColumn("event_date", F.to_date("timestamp")).write.partitionBy("event_date").parquet(f"{root}/bronze")
+    markers = spark.createDataFrame([], MARKER_DDL)
+    day = ts(0).date().isoformat()
+    full = sorted(backfill(spark, f"{root}/bronze", f"{root}/silver", markers).collect())
+    assert len(full) == 5
+    part = backfill(spark, f"{root}/bronze", f"{root}/silver", markers, f"{day} 10:00:00", f"{day} 12:00:00")
+    assert sorted(part.collect()) == full
 
 
 def test_batch_sessionise_equals_session_window_on_hot_key(spark):
