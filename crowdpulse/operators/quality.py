@@ -104,6 +104,12 @@ def check_range(df: DataFrame, col: str, lo: float, hi: float) -> DataFrame:
     return _fail_count_check(df, f"range:{col}", F.col(col).isNotNull() & ~F.col(col).between(lo, hi))
 
 
+def check_ad_revenue(gold: DataFrame) -> DataFrame:
+    """Rows with an advertiser earn something (DQ7)."""
+    paid = F.col("advertiser_name").isNotNull()
+    return _fail_count_check(gold, "ad_revenue_positive", paid & ~F.coalesce(F.col("total_revenue_brl") > 0, F.lit(False)))
+
+
 def check_unique(df: DataFrame, keys) -> DataFrame:
     """No two rows share ``keys`` (DQ7); failed_rows counts rows in
     duplicated groups."""
@@ -156,7 +162,7 @@ def runtime_checks(batch_df: DataFrame, checks=None) -> None:
 def _kind_ok(typ: Column, kind: str) -> Column:
     if kind == "object":
         return typ.startswith("OBJECT")
-    return typ.isin(list(VARIANT_KINDS[kind]))
+    return F.regexp_extract(typ, "^[A-Z]+", 0).isin(list(VARIANT_KINDS[kind]))
 
 
 def _variant_type(path: str, kind: str) -> Column:
@@ -171,9 +177,10 @@ def _variant_type(path: str, kind: str) -> Column:
             .when(F.is_variant_null(node), F.lit("VOID")).otherwise(F.lit("OTHER")))
 
 
-def validate_contract(raw: DataFrame, contract, value_col: str = "value") -> DataFrame:
+def validate_contract(raw: DataFrame, contract, value_col: str = "value", enums: dict | None = None) -> DataFrame:
     """Add ``violations`` (array<string>: ``malformed_json``,
-    ``missing:<path>``, ``null:<path>``, ``type:<path>``) and ``valid`` to raw
+    ``missing:<path>``, ``null:<path>``, ``type:<path>``, and ``enum:<path>``
+    for a string that is none of ``enums[path]``) and ``valid`` to raw
     records (DQ8). The payload is parsed once into a VARIANT and each path's
     JSON type read from it, all JVM-side."""
     paths = [p for p, *_ in contract]
@@ -184,7 +191,8 @@ def validate_contract(raw: DataFrame, contract, value_col: str = "value") -> Dat
     kinds = {p: k for p, k, *_ in contract}
     types = F.struct(_variant_type("$", "object").alias("_top"),
                      *[_variant_type(f"$.{p}", kinds[p]).alias(tname[p]) for p in paths])
-    staged = staged.select("*", F.inline(F.array(types)))
+    said = [F.try_variant_get("_v", f"$.{p}", "string").alias(f"_e{i}") for i, p in enumerate(enums or {})]
+    staged = staged.select("*", F.inline(F.array(types)), *said)
     is_obj = F.col("_v").isNotNull() & F.coalesce(F.col("_top").startswith("OBJECT"), F.lit(False))
     items = [F.when(~is_obj, F.lit("malformed_json"))]
     for path, kind, required, nullable in contract:
@@ -197,8 +205,10 @@ def validate_contract(raw: DataFrame, contract, value_col: str = "value") -> Dat
         if not nullable:
             items.append(F.when(guard & (typ == "VOID"), F.lit(f"null:{path}")))
         items.append(F.when(guard & typ.isNotNull() & (typ != "VOID") & ~_kind_ok(typ, kind), F.lit(f"type:{path}")))
+    for i, (path, values) in enumerate((enums or {}).items()):
+        items.append(F.when(is_obj & (F.col(tname[path]) == "STRING") & ~F.col(f"_e{i}").isin(list(values)), F.lit(f"enum:{path}")))
     out = staged.withColumn("violations", F.array_compact(F.array(*items)))
-    return out.drop("_v", "_top", *tname.values()).withColumn("valid", F.size("violations") == 0)
+    return out.drop("_v", "_top", *tname.values(), *[f"_e{i}" for i in range(len(enums or {}))]).withColumn("valid", F.size("violations") == 0)
 
 
 def split_valid_dlq(validated: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -47,7 +47,8 @@ def bucketed_lead(df: DataFrame, partition, ts: str, cols, bucket: Column, prefi
     a bucket, the first row of the next non-empty bucket."""
     partition = list(partition)
     cols = [c for c in cols if c != ts]
-    b = df.withColumn(_B, bucket)
+    # dealt once by (partition, bucket): the window and the per-bucket aggregate then share one exchange of the input
+    b = df.withColumn(_B, bucket).repartition(*partition, _B)
     # ties on ts are ordered by the carried columns, so the result is deterministic
     w = Window.partitionBy(*partition, _B).orderBy(ts, *cols)
     for c in [ts, *cols]:

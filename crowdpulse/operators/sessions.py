@@ -74,14 +74,27 @@ def session_summary(events: DataFrame, key: str = "session_id", ts: str = "times
     ).withColumn("duration_s", (F.unix_micros("end_ts") - F.unix_micros("start_ts")) / F.lit(1_000_000.0))
 
 
-def video_startup_time(events: DataFrame, key: str = "session_id", ts: str = "timestamp") -> DataFrame:
+def video_startup_time(events: DataFrame, key: str = "session_id", ts: str = "timestamp",
+                       bucket: str = "1 hour") -> DataFrame:
     """Startup proxy (SE2): first event after the first ``video_start`` that is
-    not a start, minus that start, in ms. No first-frame event exists."""
-    starts = events.where(F.col("event_type") == "video_start").groupBy(key).agg(F.min(ts).alias("start_ts"))
-    after = events.join(starts, key).where((F.col(ts) >= F.col("start_ts"))
-                                           & (F.col("event_type") != "video_start"))
-    first = after.groupBy(key, "start_ts").agg(F.min(ts).alias("first_ts"))
-    return first.select(key, "start_ts", "first_ts", _ms(F.col("first_ts"), F.col("start_ts")).alias("startup_ms"))
+    not a start, minus that start, in ms. No first-frame event exists.
+
+    One pass over the events: each (session, hour) keeps its first start, its
+    first other event, and its first other event at or after its own first
+    start; the session's first start then picks among those few rows."""
+    is_start = F.col("event_type") == "video_start"
+    e = events.select(key, F.col(ts).alias("_t"), is_start.alias("_s"), time_bucket(ts, interval_seconds(bucket)).alias("_b"))
+    began = F.min(F.when(F.col("_s"), F.col("_t"))).over(Window.partitionBy(key, "_b").orderBy("_t"))
+    other = ~F.coalesce(F.col("_s"), F.lit(True))
+    per = e.withColumn("_began", began).groupBy(key, "_b").agg(
+        F.min(F.when(F.col("_s"), F.col("_t"))).alias("_start"), F.min(F.when(other, F.col("_t"))).alias("_any"),
+        F.min(F.when(other & (F.col("_began") <= F.col("_t")), F.col("_t"))).alias("_after"))
+    first = F.min("_start").over(Window.partitionBy(key))
+    home = F.col("_start") == F.col("start_ts")
+    later = F.col("_b") > time_bucket("start_ts", interval_seconds(bucket))
+    picked = per.withColumn("start_ts", first).withColumn("_c", F.when(home, F.col("_after")).when(later, F.col("_any")))
+    best = picked.groupBy(key, "start_ts").agg(F.min("_c").alias("first_ts")).where("start_ts is not null and first_ts is not null")
+    return best.select(key, "start_ts", "first_ts", _ms(F.col("first_ts"), F.col("start_ts")).alias("startup_ms"))
 
 
 def exit_before_start(events: DataFrame, key: str = "session_id") -> DataFrame:
@@ -122,7 +135,7 @@ def weighted_bitrate(events: DataFrame, key: str = "session_id", ts: str = "time
                      bucket: str = "1 hour") -> DataFrame:
     """Time-weighted bitrate per session (W3): each event's bitrate holds
     until the next event."""
-    nxt = with_next_event(events.select(key, ts, "bitrate_kbps"), key, ts, bucket, cols=())
+    nxt = with_next_event(events.select(key, ts, "bitrate_kbps"), key, ts, bucket, cols=("bitrate_kbps",))
     held = nxt.where(F.col(f"next_{ts}").isNotNull() & F.col("bitrate_kbps").isNotNull()).withColumn(
         "held_ms", _ms(F.col(f"next_{ts}"), F.col(ts)))
     agg = held.groupBy(key).agg(F.sum(F.col("bitrate_kbps") * F.col("held_ms")).alias("_w"),
@@ -161,12 +174,15 @@ def _deltas(sessions: DataFrame, key: str, start: str, end: str) -> DataFrame:
 
 def peak_concurrency(sessions: DataFrame, key: str = "content_id", start: str = "session_start",
                      end: str = "session_end", bucket: str = "1 hour") -> DataFrame:
-    """Peak of the sweep per ``key`` without materialising it: the running sum
-    runs per (key, hour); each hour keeps its local peak and its net change,
-    and the key's peak is max(local peak + net change of all earlier hours).
-    One shuffle of the deltas, then a tiny one of one row per (key, hour)."""
-    d = _deltas(sessions, key, start, end).withColumn("_b", time_bucket("t", interval_seconds(bucket)))
-    w = Window.partitionBy(key, "_b").orderBy("t", "delta").rowsBetween(Window.unboundedPreceding, 0)
+    """Peak of the sweep per ``key`` without materialising it. Starts and ends
+    are first netted per (key, instant), which combines before the shuffle, so
+    a kick-off of any size is a few rows; ends count before starts at one
+    instant, so the net is the instant's peak. The running sum runs per (key,
+    hour), and the key's peak is max(local peak + net change of all earlier
+    hours)."""
+    net = _deltas(sessions, key, start, end).groupBy(key, "t").agg(F.sum("delta").alias("delta"))
+    d = net.withColumn("_b", time_bucket("t", interval_seconds(bucket)))
+    w = Window.partitionBy(key, "_b").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
     per = d.withColumn("_run", F.sum("delta").over(w)).groupBy(key, "_b").agg(
         F.max("_run").alias("_peak"), F.sum("delta").alias("_net"))
     wc = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)

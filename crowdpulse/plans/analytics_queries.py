@@ -58,6 +58,21 @@ def q_ccv_sweep(spark, sf_dir):
     return SE.peak_concurrency(s, "content_id").withColumn("peak_concurrent", F.col("peak_concurrent").cast("long"))
 
 
+@register("ccv_sweep_points", with_ctes(f"""
+WITH s AS ({_SESSIONS_SQL}),
+d AS (SELECT content_id, session_start AS t, 1 AS delta FROM s
+      UNION ALL SELECT content_id, session_end AS t, -1 AS delta FROM s)
+SELECT content_id, COUNT(*) AS points, CAST(MAX(c) AS BIGINT) AS peak, CAST(SUM(c) AS BIGINT) AS total FROM (
+  SELECT content_id, SUM(delta) OVER (PARTITION BY content_id ORDER BY t, delta
+                                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c FROM d) x
+GROUP BY 1""", "ev_dedup"))
+def q_ccv_sweep_points(spark, sf_dir):
+    """Every change point of the sweep (W7), summed up per channel."""
+    s = SE.sessionise(_events(spark, sf_dir), GAP, keys=("session_id", "content_id"))
+    return SE.ccv_sweep(s).groupBy("content_id").agg(
+        F.count(F.lit(1)).alias("points"), F.max("concurrent").cast("long").alias("peak"), F.sum("concurrent").cast("long").alias("total"))
+
+
 @register("session_summary", with_ctes("""
 SELECT session_id, MIN("timestamp") AS start_ts, MAX("timestamp") AS end_ts, COUNT(*) AS events,
        bool_or(event_type IN ('video_end', 'error')) AS closed,
@@ -155,7 +170,7 @@ SELECT "partition", COUNT(*) AS records,
 FROM l GROUP BY 1""", "pe_base"))
 def q_lateness_profile(spark, sf_dir):
     raw = tm.raw_player_events(spark, sf_dir)
-    event_ts = F.to_timestamp(F.get_json_object(F.col("value").cast("string"), "$.timestamp"))
+    event_ts = F.try_to_timestamp(F.get_json_object(F.col("value").cast("string"), "$.timestamp"))
     # one-row generator: the payload expression stays below it during planning
     parsed = raw.select("partition", "offset", F.inline(F.array(F.struct(event_ts.alias("event_ts"))))) \
         .where(F.col("event_ts").isNotNull())

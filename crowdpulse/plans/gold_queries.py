@@ -200,7 +200,10 @@ FROM d LEFT JOIN pw b ON b.window_start = d.first_window - {WINDOW_SQL}
        LEFT JOIN pw a ON a.window_start = d.last_window + {WINDOW_SQL}
        LEFT JOIN rev ON rev.marker_id = d.marker_id""", "gold"))
 def q_marker_impact(spark, sf_dir):
-    s = silver_table(spark, sf_dir)
+    """Reads stored Silver several times and the events once."""
+    path = scratch_path(spark, "impact") + "/silver"
+    silver_table(spark, sf_dir).write.parquet(path)
+    s = spark.read.parquet(path)
     g = G.gold_reconciliation(s, tm.ad_decisions(spark, sf_dir), tm.content(spark, sf_dir))
     return V.marker_impact(s, g, WINDOW)
 

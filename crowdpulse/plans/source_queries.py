@@ -13,7 +13,8 @@ from crowdpulse.plans.registry import register
 from crowdpulse.plans.silver_queries import silver_table
 from crowdpulse.sources import parse as P
 from crowdpulse.sources import testmap as tm
-from crowdpulse.sources.contracts import PLAYER_EVENT_CONTRACT
+from crowdpulse.sources.contracts import (
+    AD_DECISION_CONTRACT, CONTENT_CONTRACT, MARKER_CONTRACT, MARKER_ENUMS, PLAYER_EVENT_CONTRACT)
 
 KNOWN_EVENT_KEYS = tuple(p for p, *_ in PLAYER_EVENT_CONTRACT if "." not in p)
 
@@ -62,6 +63,51 @@ def q_validate_contract(spark, sf_dir):
     return v.groupBy(F.concat_ws(";", "violations").alias("violations")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+@register("validate_markers", with_ctes("""
+SELECT CASE WHEN event_id_scte % 5 = 0 THEN 'enum:break_type' ELSE '' END AS violations, COUNT(*) AS n_rows
+FROM markers GROUP BY 1""", "markers"))
+def q_validate_markers(spark, sf_dir):
+    """The cue contract with its allowed break types; a fifth of the feed names another (upper-cased) one."""
+    value = F.col("value").cast("string")
+    odd = F.get_json_object(value, "$.event_id_scte").cast("int") % 5 == 0
+    kind = F.get_json_object(value, "$.break_type")
+    raw = tm.raw_markers(spark, sf_dir).select(F.when(odd, F.replace(value, kind, F.upper(kind))).otherwise(value).alias("value"))
+    v = Q.validate_contract(raw, MARKER_CONTRACT, enums=MARKER_ENUMS)
+    return v.groupBy(F.concat_ws(";", "violations").alias("violations")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("validate_ad_decisions", with_ctes("""
+SELECT CASE slot_index WHEN 3 THEN 'missing:advertiser_id' WHEN 4 THEN 'type:price_cpm_brl' ELSE '' END AS violations,
+       COUNT(*) AS n_rows FROM ad_decisions GROUP BY 1""", "ad_decisions"))
+def q_validate_ad_decisions(spark, sf_dir):
+    """The ad decision contract; slot 3 lacks its advertiser id, slot 4 has its price as text."""
+    ads = tm.ad_decisions(spark, sf_dir)
+    slot = F.col("slot_index")
+    plain = F.to_json(F.struct(*ads.columns))
+    raw = ads.select(F.when(slot == 3, F.to_json(F.struct(*[c for c in ads.columns if c != "advertiser_id"])))
+                     .when(slot == 4, F.to_json(F.struct(*[F.col(c).cast("string").alias(c) if c == "price_cpm_brl" else F.col(c) for c in ads.columns])))
+                     .otherwise(plain).alias("value"))
+    v = Q.validate_contract(raw, AD_DECISION_CONTRACT)
+    return v.groupBy(F.concat_ws(";", "violations").alias("violations")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("validate_content", with_ctes("""
+SELECT CASE WHEN length(title) > 7 THEN 'type:rights_territories' ELSE '' END AS violations, COUNT(*) AS n_rows
+FROM content_metadata GROUP BY 1""", "content_metadata"))
+def q_validate_content(spark, sf_dir):
+    """The catalogue contract; titles of more than seven letters come with their territories as text."""
+    c = tm.content(spark, sf_dir)
+    given = {f[0]: F.col(f[0]) for f in CONTENT_CONTRACT if f[0] in c.columns}
+    filler = {"string": F.lit("x"), "integer": F.lit(90), "boolean": F.lit(True)}
+    full = {f[0]: given.get(f[0], filler.get(f[1])) for f in CONTENT_CONTRACT}
+    text = {**full, "rights_territories": F.array_join("rights_territories", ",")}
+    long = F.length("title") > 7
+    raw = c.select(F.when(long, F.to_json(F.struct(*[v.alias(k) for k, v in text.items()])))
+                   .otherwise(F.to_json(F.struct(*[v.alias(k) for k, v in full.items()]))).alias("value"))
+    v = Q.validate_contract(raw, CONTENT_CONTRACT)
+    return v.groupBy(F.concat_ws(";", "violations").alias("violations")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @register("split_valid_dlq", with_ctes("""
 SELECT CASE WHEN k IN (13, 17, 19) THEN 'dlq' ELSE 'valid' END AS side, COUNT(*) AS n_rows
 FROM pe_feed GROUP BY 1""", "pe_feed"))

@@ -9,7 +9,7 @@ from crowdpulse import schemas
 from crowdpulse.functions.columns import pseudonym, pts_to_seconds
 
 WIRE_EVENT = schemas.PLAYER_EVENT
-# wire timestamps are ISO strings; parse them as strings, convert with to_timestamp
+# wire timestamps are ISO strings; parse them as strings, convert with try_to_timestamp (a malformed one is null)
 _WIRE_EVENT_TEXT = schemas.T.StructType([
     schemas.T.StructField(f.name, schemas.S if f.name == "timestamp" else f.dataType, True)
     for f in schemas.PLAYER_EVENT.fields])
@@ -33,7 +33,7 @@ def parse_player_events(raw: DataFrame, value_col: str = "value", keep=("ingest_
     return p.select(
         F.col("e.event_id").alias("event_id"), F.col("e.session_id").alias("session_id"),
         F.col("e.user_id").alias("user_id"),
-        F.to_timestamp(F.col("e.timestamp")).alias("timestamp"),
+        F.try_to_timestamp(F.col("e.timestamp")).alias("timestamp"),
         F.col("e.event_type").alias("event_type"), F.col("e.content_id").alias("content_id"),
         F.col("e.is_live").alias("is_live"),
         F.col("e.geo.region").alias("region"), F.col("e.geo.state").alias("state"),
@@ -50,7 +50,7 @@ def parse_player_events(raw: DataFrame, value_col: str = "value", keep=("ingest_
 def parse_markers(raw: DataFrame, value_col: str = "value") -> DataFrame:
     """JSON payload -> marker row."""
     p = raw.select(F.from_json(_text(raw, value_col), _WIRE_MARKER_TEXT).alias("m"))
-    return p.select(*[F.to_timestamp(F.col("m.wallclock")).alias("wallclock") if f.name == "wallclock"
+    return p.select(*[F.try_to_timestamp(F.col("m.wallclock")).alias("wallclock") if f.name == "wallclock"
                       else F.col(f"m.{f.name}").alias(f.name) for f in schemas.SCTE35_MARKER.fields])
 
 

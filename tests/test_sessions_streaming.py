@@ -169,7 +169,7 @@ def test_backfill_of_two_hours_keeps_the_day(spark):
                            "content_id": "ch-1", "cdn": "cdn-a"})
         return body.encode(), t + timedelta(seconds=ingest_s)
 
-    rows = [raw("a", 1), raw("b", 10.5), raw("c", 11.5, 3 * 3600), raw("d", 10.001, -10), raw("e", 23)]
+    rows = [raw("a", 1), raw("b", 10.5), raw("c", 11.5, 3 * 3600), raw("d", 10, -10), raw("e", 23)]
     bronze = spark.createDataFrame(rows, "value binary, timestamp timestamp")
     bronze.withColumn("event_date", F.to_date("timestamp")).write.partitionBy("event_date").parquet(f"{root}/bronze")
     markers = spark.createDataFrame([], MARKER_DDL)

@@ -77,3 +77,11 @@ def test_dlq_stream_sink(spark):
     assert spark.read.parquet(f"{root}/valid").count() == 1
     reasons = sorted(r.reason for r in spark.read.parquet(f"{root}/dlq").collect())
     assert reasons == ["malformed_json", "type:duration_s"]
+
+
+def test_malformed_time_does_not_stop_the_feed(spark):
+    from crowdpulse.sources.parse import filter_required, parse_player_events
+    body = '{"event_id":"%s","session_id":"s","timestamp":"%s","event_type":"heartbeat","content_id":"c","cdn":"a"}'
+    raw = spark.createDataFrame([(body % ("a", "2024-01-01T10:00:00.000Z"),), (body % ("b", "yesterday"),)], "value string").selectExpr(
+        "CAST(value AS BINARY) AS value", "current_timestamp() AS timestamp")
+    assert [r.event_id for r in filter_required(parse_player_events(raw)).collect()] == ["a"]
