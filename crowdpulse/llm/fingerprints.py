@@ -31,7 +31,7 @@ from crowdpulse.llm.common import fold_docs, row_count, stash
 PIECE = 128
 BASE = 8            # cells per subtable of the written fingerprint
 SUBTABLES = 3
-FIRST = -(1 << 63)  # stands for a null id in the order
+FIRST = -(1 << 63)  # stands for a null id (no document has it)
 ROUNDS = 12         # peeling rounds before a larger sketch is tried
 
 
@@ -101,10 +101,9 @@ def peel_in_row(a: Column, b: Column, size: int = BASE) -> Column:
 
 def peel_larger(pairs: DataFrame, key: list[str], scale: int) -> DataFrame:
     """key and ``recovered`` (null: not solved) of pairs (key, a, b), by sketches with room for ``scale`` times half the
-    sets' digests. All rows of a pair stay in the partition that the first exchange gives them."""
+    sets' digests. ``pairs`` is clustered by (a part of) the key, and all rows of a pair stay in their partition."""
     size = F.pow(F.lit(2), F.ceil(F.log2(F.greatest((F.size("a") + F.size("b")) * (0.6 * scale), F.lit(16))))).cast("int")
-    parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = pairs.repartition(parts, *key).withColumn("size", size)
+    rows = pairs.withColumn("size", size)
     signed = F.concat(F.transform("a", lambda k: F.struct(k.cast("long").alias("k"), F.lit(1).alias("c"))),
                       F.transform("b", lambda k: F.struct(k.cast("long").alias("k"), F.lit(-1).alias("c"))))
     rows = rows.select(*key, "size", F.explode_outer(signed).alias("x")).where("x is not null")
@@ -152,47 +151,51 @@ def succession(docs: DataFrame) -> DataFrame:
 
 def versions(docs: DataFrame) -> DataFrame:
     """did, h, doc_id, n_chars, edited_sha256, and the digest sets own, edited, next of every document."""
-    keyed = fold_docs(docs).select(F.coalesce("doc_id", F.lit(FIRST)).alias("did"), F.xxhash64("text").alias("h"), "doc_id", "text")
+    keyed = fold_docs(docs).select(F.coalesce("doc_id", F.lit(FIRST)).alias("did"), F.xxhash64("text").alias("h"), "text")
     links = stash(succession(keyed.select("did", "h", F.length("text").cast("long").alias("n"))), "succession")
-    texts = keyed.select("did", "h", "doc_id", "text")
+    texts = keyed
     if row_count(links) != row_count(keyed):
         texts = texts.dropDuplicates(["did", "h"])
     half = F.floor(F.col("n") / 2).cast("int")
     before = links.select(F.col("did").alias("prev_did"), F.col("h").alias("prev_h"), "n", F.col("next_did").alias("did"), F.col("next_h").alias("h"))
-    # what each document gives to the one before it; both joins read the same exchange of texts
+    # what each document gives to the one before it; both joins use the same columns, so they share one exchange of texts
     given = (texts.join(before.hint("shuffle_hash"), ["did", "h"])
              .select(F.col("prev_did").alias("did"), F.col("prev_h").alias("h"), "n", F.expr("left(text, cast(floor(n / 2) as int))").alias("part"),
                      digest_set(F.col("text")).alias("next")))
     both = texts.join(given, ["did", "h"]).withColumn("edited_text", F.concat(F.substring(F.col("text"), F.lit(1), F.col("n").cast("int") - half), F.col("part")))
-    return both.select("did", "h", "doc_id", F.col("n").alias("n_chars"), F.sha2("edited_text", 256).alias("edited_sha256"),
+    doc_id = F.when(F.col("did") != FIRST, F.col("did"))
+    return both.select("did", "h", doc_id.alias("doc_id"), F.col("n").alias("n_chars"), F.sha2("edited_text", 256).alias("edited_sha256"),
                        digest_set(F.col("text")).alias("own"), digest_set(F.col("edited_text")).alias("edited"), "next")
 
 
-def compare(pairs: DataFrame, key: list[str]) -> DataFrame:
-    """key, differing: how many digests differ in each pair (key, a, b) of digest sets, by sketches alone."""
-    tried = pairs.withColumn("sa", sketch(F.col("a"))).withColumn("sb", sketch(F.col("b")))
-    tried = tried.select(*key, "a", "b", peel_in_row(F.col("sa"), F.col("sb")).alias("recovered"))
-    tried = stash(tried.withColumns({x: F.when(F.col("recovered").isNull(), F.col(x)) for x in ("a", "b")}), "base-peeled")
-    solved, open_pairs, scale = [tried.where("recovered is not null").select(*key, "recovered")], tried.where("recovered is null"), 1
+def compare(sets: DataFrame, key: list[str], own: str, others: list[str]) -> DataFrame:
+    """key and one column per other set: how many digests of ``own`` and of that set differ, by sketches alone."""
+    sketched = sets.withColumn("sketched", sketch(F.col(own)))
+    found = [peel_in_row(F.col("sketched"), sketch(F.col(x))).alias(x) for x in others]
+    base = stash(sketched.select(*key, *found), "base-peeled")
+    missing = F.array_compact(F.array(*[F.when(F.col(x).isNull(), F.lit(i)) for i, x in enumerate(others)]))
+    open_kinds, solved, scale = base.select(*key, missing.alias("kinds")).where(F.size("kinds") > 0), [], 1
     while True:
-        larger = stash(peel_larger(open_pairs.select(*key, "a", "b"), key, scale), "peeled")
+        # the join clusters the sets by key; nothing after it leaves its partition
+        held = sets.select(*key, own, *others).join(open_kinds.hint("shuffle_hash"), key)
+        pairs = held.withColumn("kind", F.explode_outer("kinds")).select(
+            *key, "kind", F.col(own).alias("a"), F.element_at(F.array(*others), F.col("kind") + 1).alias("b"))
+        larger = stash(peel_larger(pairs, [*key, "kind"], scale), "peeled")
         solved.append(larger.where("recovered is not null"))
-        rest = larger.where("recovered is null").select(*key)
+        rest = larger.where("recovered is null")
         if not rest.limit(1).count():
             break
-        open_pairs, scale = open_pairs.join(rest, key, "left_semi"), scale * 2
-    return reduce(DataFrame.unionByName, solved).withColumnRenamed("recovered", "differing")
+        open_kinds, scale = rest.groupBy(*key).agg(F.collect_list("kind").alias("kinds")), scale * 2
+    per = reduce(DataFrame.unionByName, solved).groupBy(*key).agg(
+        *[F.max(F.when(F.col("kind") == i, F.col("recovered"))).alias(f"larger_{x}") for i, x in enumerate(others)])
+    return base.join(per, key, "left").select(*key, *[F.coalesce(F.col(x), F.col(f"larger_{x}")).alias(x) for x in others])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
     made = stash(versions(docs), "versions")
-    key = ["did", "h", "kind"]
-    pairs = made.select("did", "h", F.col("own").alias("a"), F.explode(F.array(
-        F.struct(F.lit(0).alias("kind"), F.col("edited").alias("b")), F.struct(F.lit(1).alias("kind"), F.col("next").alias("b")))).alias("x"))
-    found = compare(pairs.select("did", "h", "x.kind", "a", "x.b"), key)
-    each = found.groupBy("did", "h").agg(F.max(F.when(F.col("kind") == 0, F.col("differing"))).alias("de"),
-                                         F.max(F.when(F.col("kind") == 1, F.col("differing"))).alias("dn"))
+    found = compare(made, ["did", "h"], "own", ["edited", "next"])
+    each = found.select("did", "h", F.col("edited").alias("de"), F.col("next").alias("dn"))
     sizes = {x: F.size(x) for x in ("own", "edited", "next")}
     return made.join(each, ["did", "h"]).select(
         "doc_id", "n_chars", "edited_sha256", written(sketch(F.col("own"))).alias("fingerprint"), written(sketch(F.col("edited"))).alias("edited_fingerprint"),
