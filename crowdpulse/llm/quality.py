@@ -100,7 +100,8 @@ def fit_space(counts: np.ndarray, labels: np.ndarray, dimensions: int = 48) -> S
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1500, modulus: int = 4, held: int = 2) -> Space:
     """The space of at most ``per_class`` labelled rows of each label, none of the held-out fold."""
-    sample = labelled_sample(docs, labels, "quality", remainder(modulus) != held, per_class).drop_duplicates("text")
+    sample = labelled_sample(docs, labels, "quality", remainder(modulus) != held, per_class)
+    sample = sample.toPandas().sort_values("doc_id").drop_duplicates("text")
     counts = np.array([term_counts(t) for t in sample["text"]], dtype=np.float32).reshape(-1, TERMS)
     return fit_space(counts, sample["y"].to_numpy())
 
