@@ -17,6 +17,7 @@ never trained on; repeated rows score alike. Whole texts are read, whatever thei
 from __future__ import annotations
 
 import math
+import pickle
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -197,31 +198,32 @@ def _context(token: str, near: list[str]) -> float:
     return 1.2 if any(w in ADDRESS for w in near) else 1.0
 
 
-def learn(toxic: list[str], clean: list[str], stem_lengths=(3, 4, 5, 6, 7, 8), least: float = 2.5, most_terms: int = 400,
+def learn(toxic: list[str], clean: list[str], stem_lengths=(3, 4, 5, 6, 7, 8), least: float | None = None, most_terms: int = 400,
           ratio: float = 12.0) -> Model:
     """The lexicon and curve that tell the toxic from the clean texts.
 
     A candidate is a word or a stem that at least three toxic texts hold, and ``ratio`` times as large a share of them
     as of the clean ones. Terms are taken greedily by how many toxic texts they explain, less the clean ones they would
     accuse; a text counts half for each term that it already has. Below ``least`` such texts a term may be an accident
-    of a few copies, and the search ends.
+    of a few copies, and the search ends (2.5 texts unless given, and one in 150 of the toxic ones).
     """
+    least = max(2.5, len(toxic) / 150) if least is None else least
     toxic, clean = list(dict.fromkeys(toxic)), list(dict.fromkeys(clean))
-    bad = [tokens_of(t) for t in toxic]
-    good = [tokens_of(t) for t in clean]
-    forms = [_forms(ws, stem_lengths) for ws in bad]
-    held: Counter[str] = Counter(f for fs in forms for f in fs)
+    # texts are read again where their forms are needed: only counts and the few candidates are held
+    held: Counter[str] = Counter()
+    for t in toxic:
+        held.update(_forms(tokens_of(t), stem_lengths))
     held = Counter({f: n for f, n in held.items() if n >= 3})
     against: Counter[str] = Counter()
-    for ws in good:
-        against.update(f for f in _forms(ws, stem_lengths) if f in held)
-    rate = len(good) / max(1, len(bad))
+    for t in clean:
+        against.update(f for f in _forms(tokens_of(t), stem_lengths) if f in held)
+    rate = len(clean) / max(1, len(toxic))
     where = {f: [] for f in held if held[f] * rate >= ratio * (against[f] + 0.1)}
-    own = [[f for f in fs if f in where] for fs in forms]
+    own = [[f for f in _forms(tokens_of(t), stem_lengths) if f in where] for t in toxic]
     for i, fs in enumerate(own):
         for f in fs:
             where[f].append(i)
-    share = [1.0] * len(bad)
+    share = [1.0] * len(toxic)
     # a clean text weighs ten times a toxic one: else a short stem of common words would swallow the precise terms below it
     gain = {f: len(at) - 10 * against[f] / max(rate, 1e-9) for f, at in where.items()}
     chosen: list[str] = []
@@ -237,7 +239,7 @@ def learn(toxic: list[str], clean: list[str], stem_lengths=(3, 4, 5, 6, 7, 8), l
             for f in own[i]:
                 if f in gain:
                     gain[f] -= share[i]
-    terms = _weighed(_with_edits(chosen, bad, good), toxic, clean)
+    terms = _weighed(_with_edits(chosen, toxic, clean), toxic, clean)
     return Model(terms, _curve(terms, toxic, clean))
 
 
@@ -252,14 +254,14 @@ def _forms(words: set[str], stem_lengths) -> set[str]:
     return words | {w[:n] + "*" for w in words for n in stem_lengths if len(w) > n}
 
 
-def _with_edits(chosen: list[str], bad: list[set[str]], good: list[set[str]]) -> list[Term]:
+def _with_edits(chosen: list[str], toxic: list[str], clean: list[str]) -> list[Term]:
     """Whole words of five letters and more may be misspelled; where clean texts then hit too, one edit less."""
     terms = [Term(f.rstrip("*"), f.endswith("*"), 0 if f.endswith("*") or len(f) < 5 else 1 if len(f) < 9 else 2, 1.0) for f in chosen]
     for _ in range(2):
         trie, wrong, right = FuzzyTrie(terms), Counter(), Counter()
-        for texts, into in ((good, wrong), (bad, right)):
-            for ws in texts:
-                into.update({m[1] for w in ws if (m := trie.match(w)) is not None and m[0] > 0})
+        for texts, into in ((clean, wrong), (toxic, right)):
+            for t in texts:
+                into.update({m[1] for w in tokens_of(t) if (m := trie.match(w)) is not None and m[0] > 0})
         terms = [t if t.edits == 0 or wrong[i] <= 0.02 * right[i] else Term(t.text, t.stem, t.edits - 1, 1.0)
                  for i, t in enumerate(terms)]
     return terms
@@ -297,23 +299,31 @@ def remainder(modulus: int, c: str = "doc_id") -> Column:
     return F.crc32(F.col(c).cast("string").cast("binary")) % modulus
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train: Column, per_class: int) -> pd.DataFrame:
-    """Texts and labels of at most ``per_class`` training rows of either class, chosen by a hash of the id.
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train: Column, per_class: int) -> DataFrame:
+    """doc_id, text, y of at most ``per_class`` training rows of either class, chosen by a hash of the id.
 
-    The bound makes the chosen ids safe to broadcast and the texts safe to bring to the driver.
+    The bound makes the chosen ids safe to broadcast and the texts safe to bring together in one place.
     """
     marked = labels.select(doc_key().alias("doc_id"), F.col(label).cast("int").alias("y")).where(F.col("doc_id").isNotNull())
     marked = marked.where(train).groupBy("doc_id").agg(F.max("y").alias("y"))
     order = F.xxhash64("doc_id", F.lit(17))
     picked = marked.where("y = 0").orderBy(order, "doc_id").limit(per_class).unionByName(
         marked.where("y = 1").orderBy(order, "doc_id").limit(per_class))
-    return fold_docs(docs).join(F.broadcast(picked), "doc_id").select("doc_id", "text", "y").toPandas().sort_values("doc_id")
+    return fold_docs(docs).join(F.broadcast(picked), "doc_id").select("doc_id", "text", "y")
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2000, modulus: int = 5, held: int = 0) -> Model:
-    """The model, learned from labelled rows outside the held-out fold."""
+    """The model, learned from labelled rows outside the held-out fold. The bounded sample meets in one task, and only
+    the model comes to the driver."""
+    def train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = sorted(r for b in batches for r in zip(b["doc_id"], b["y"], b["text"], strict=True))
+        if rows:
+            model = learn([t for _, y, t in rows if y == 1], [t for _, y, t in rows if y == 0])
+            yield pd.DataFrame({"model": [pickle.dumps(model)]})
+
     sample = labelled_sample(docs, labels, "toxic", remainder(modulus) != held, per_class)
-    return learn(list(sample.loc[sample["y"] == 1, "text"]), list(sample.loc[sample["y"] == 0, "text"]))
+    learned = sample.repartition(1).mapInPandas(train, "model binary").first()
+    return pickle.loads(learned["model"]) if learned else learn([], [])
 
 
 def judge(model: Model, docs: DataFrame):
