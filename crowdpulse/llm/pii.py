@@ -308,10 +308,13 @@ def all_spans(text: str, field: Field | None) -> tuple[list[Span], list[Span]]:
 
 
 def fit(docs: DataFrame, sample_rows: int = 300) -> Field | None:
-    """The field learned from at most ``sample_rows`` texts that hold digits or at-signs, chosen by a hash."""
-    rows = (fold_docs(docs).where(F.col("text").rlike("[0-9@]")).orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id")
-            .select("text").limit(sample_rows).collect())
-    texts = sorted({r["text"] for r in rows})
+    """The field learned from at most ``sample_rows`` documents with digits or at-signs, chosen by a hash of their ids.
+    Only ids are ranked; the texts of the chosen few are fetched by them."""
+    folded = fold_docs(docs).where("doc_id is not null")
+    order = F.xxhash64("doc_id", F.lit(7))
+    chosen = folded.where(F.col("text").rlike("[0-9@]")).select("doc_id").orderBy(order, "doc_id").limit(sample_rows).distinct()
+    rows = folded.join(F.broadcast(chosen), "doc_id").select("text").distinct().collect()
+    texts = sorted(r["text"] for r in rows)
     return learn(texts) if texts else None
 
 
