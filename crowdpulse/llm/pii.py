@@ -2,13 +2,16 @@
 
 The base patterns (email, ip, card, phone) are found first and always stay. The field then reads the regions of a text
 around digits and at-signs as units (digit runs, letter runs, marks) and scores whole candidate segments: features see
-the entire span - digit counts, Luhn sum, octets, separators, cut words, the word before. Dynamic programming over
-segments of at most ``longest`` units chooses boundaries and types together; the entity's length is bounded, the number of
-entities is not. Spans that the field finds beside the base ones are added.
+the entire span - digit counts, Luhn sum, octets, separators, cut words, the word before. A region ends only at a newline
+or where two words without digits or at-signs follow, however long it gets; its segments are scored block by block.
+Dynamic programming over segments of at most ``longest`` units chooses boundaries and types together for the whole
+region; the entity's length is bounded, the number of entities is not. Spans that the field finds beside the base ones
+are added.
 
 The field's weights maximise the conditional likelihood of weak labels - the base spans in a bounded sample of
 ``sample_rows`` texts, with copies whose phones lose their plus and whose numbers change their separators - by
-forward-backward over the same segments. Without any region to learn from, nothing is added.
+forward-backward over the same segments, in the first pieces of each text (long regions are cut between entities to
+learn from them, never to find). Without any region to learn from, nothing is added.
 
 Defined cases: null texts are empty and have no spans; positions are code points; repeated rows and null ids are
 reported row by row; whole texts are read, in time proportional to their length.
@@ -20,8 +23,11 @@ import hashlib
 import math
 import random
 import re
+from array import array
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -43,7 +49,10 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 HAS = re.compile(r"[0-9@]")
 UNIT = re.compile(r"[0-9]+|[^\W\d_]+|[^\w\s]|_")
-REGION = re.compile(r"(?<!\S)\S{0,80}?[0-9@][^\n]{0,60}?(?=(?:[ \t]+[^\s0-9@]+){2}|\s*\n|\s*$)")
+#: A token with a digit or at-sign, what joins it to the next one (at most one other word), and a line's last other word.
+LIVE = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+")
+JOIN = re.compile(r"[^\S\n]++(?:[^\s0-9@]++[^\S\n]++)?+")
+TAIL = re.compile(r"[^\S\n]++[^\s0-9@]++(?=[^\S\n]*+(?:\n|\Z))")
 
 Span = tuple[str, int, int]
 
@@ -124,19 +133,37 @@ def span_features(text: str, start: int, end: int, before: str) -> np.ndarray:
 
 @dataclass
 class Region:
-    """Units of a stretch of text, and its candidate segments (first unit, unit after the last)."""
+    """Units of a stretch of text, and candidate segments (first unit, unit after the last) in the order of their starts."""
     units: list[tuple[int, int]]
     segments: list[tuple[int, int]]
     features: np.ndarray
 
 
-def read_region(text: str, start: int, end: int, longest: int) -> Region:
-    units = [(m.start() + start, m.end() + start) for m in UNIT.finditer(text[start:end])]
+def regions(text: str) -> Iterator[tuple[int, int]]:
+    """Start and end of each region, in order; every digit and at-sign stands in one."""
+    start = end = -1
+    for m in LIVE.finditer(text):
+        if end >= 0 and not JOIN.fullmatch(text, end, m.start()):
+            yield start, end
+            end = -1
+        start, end = (start if end >= 0 else m.start()), m.end()
+    if end >= 0:
+        yield start, end
+
+
+def units_of(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    tail = TAIL.match(text, end)
+    return [m.span() for m in UNIT.finditer(text, start, tail.end() if tail else end)]
+
+
+def read_region(text: str, units: list[tuple[int, int]], longest: int, low: int = 0, high: int | None = None) -> Region:
+    """The segments that begin at the units from ``low`` to before ``high``, wherever they end."""
+    start = units[0][0] if units else 0
     words = re.findall(r"[^\W\d_]+(?:-[^\W\d_]+)*", text[max(0, start - 30):start].lower())
     first_word = words[-1] if words else ""
     segments, rows = [], []
-    number = [text[a].isdigit() for a, _ in units]
-    for i, (a, _) in enumerate(units):
+    for i in range(low, len(units) if high is None else min(high, len(units))):
+        a = units[i][0]
         if not (text[a].isalnum() or text[a] in "+("):
             continue
         before = next((text[x:y].lower() for x, y in reversed(units[max(0, i - 3):i]) if text[x].isalpha()), first_word)
@@ -145,7 +172,7 @@ def read_region(text: str, start: int, end: int, longest: int) -> Region:
             x, y = units[j]
             if j > i and x - units[j - 1][1] > 1:
                 break
-            digits += (y - x) * number[j]
+            digits += (y - x) * text[x].isdigit()
             mail, letters = mail or text[x] == "@", letters or text[x].isalpha()
             # letters stand in no number, and in an address only around its at-sign
             if (mail or not letters and (digits >= 7 or digits >= 4 and j - i >= 6)) and text[y - 1].isalnum():
@@ -170,29 +197,37 @@ class Field:
             at[j].append(k)
         return at
 
-    def decode(self, r: Region) -> list[tuple[int, int, int]]:
-        """(segment, kind, ...) of the best segmentation: a single unit outside any entity scores 0."""
-        scores, ending = self._scores(r), self._ending(r)
-        n = len(r.units)
-        best = np.full((n + 1, 2), -np.inf)       # by whether the last segment is an entity
-        back: dict[tuple[int, int], tuple] = {}
-        best[0, 0] = 0
-        for j in range(1, n + 1):
-            p = int(best[j - 1].argmax())
-            best[j, 0], back[j, 0] = best[j - 1, p], (j - 1, p, None)
-            for k in ending[j]:
-                i = r.segments[k][0]
-                kind = int(scores[k].argmax())
-                for p in (0, 1):
-                    v = best[i, p] + scores[k, kind] + self.adjacent * p
-                    if v > best[j, 1]:
-                        best[j, 1], back[j, 1] = v, (i, p, (k, kind))
-        out, at = [], (n, int(best[n].argmax()))
-        while at[0]:
-            i, p, found = back[at]
-            if found:
-                out.append(found)
-            at = (i, p)
+    def decode(self, text: str, units: list[tuple[int, int]], block: int = 256) -> list[Span]:
+        """The entities of the best segmentation of all units: a single unit outside any entity scores 0. Only the segments
+        of ``block`` starting units are held at a time, and one way back for each unit."""
+        n = len(units)
+        outside, entity = [-math.inf] * (n + 1), [-math.inf] * (n + 1)    # best score up to a unit, by its last segment
+        outside[0] = 0.0
+        after = bytearray(n + 1)                                            # whether an entity stands before the unit outside
+        first, kinds, follows = array("l", [0]) * (n + 1), bytearray(n + 1), bytearray(n + 1)
+        for low in range(0, n, block):
+            r = read_region(text, units, self.longest, low, low + block)
+            scores = self._scores(r)
+            top, kind, k = scores.max(axis=1, initial=-math.inf).tolist(), scores.argmax(axis=1).tolist(), 0
+            for i in range(low, min(n, low + block)):
+                p = entity[i] > outside[i]
+                outside[i + 1], after[i + 1] = max(outside[i], entity[i]), p
+                enter = entity[i] + self.adjacent
+                q = enter > outside[i]
+                enter = max(enter, outside[i])
+                while k < len(top) and r.segments[k][0] == i:
+                    j = r.segments[k][1]
+                    if enter + top[k] > entity[j]:
+                        entity[j], first[j], kinds[j], follows[j] = enter + top[k], i, kind[k], q
+                    k += 1
+        out, j, p = [], n, entity[n] > outside[n]
+        while j:
+            if p:
+                i = first[j]
+                out.append((KINDS[kinds[j]], units[i][0], units[j - 1][1]))
+                j, p = i, follows[j]
+            else:
+                j, p = j - 1, after[j]
         return out[::-1]
 
     def expected(self, r: Region) -> tuple[float, np.ndarray, float]:
@@ -249,6 +284,21 @@ def _varied(text: str, spans: list[Span], rng: random.Random) -> tuple[str, list
     return "".join([*out, text[at:]]), moved
 
 
+def _pieces(text: str, spans: list[Span], longest: int, most: int = 120) -> Iterator[list[tuple[int, int]]]:
+    """The units of each region, in pieces of about ``most`` that end outside the spans."""
+    inside = [(a, z) for _, a, z in spans]
+    for start, end in regions(text):
+        units, at = units_of(text, start, end), 0
+        while at < len(units):
+            cut = min(len(units), at + most)
+            for c in range(cut, min(len(units), cut + longest)):
+                if not any(a < units[c][0] < z for a, z in inside):
+                    cut = c
+                    break
+            yield units[at:cut]
+            at = cut
+
+
 def learn(texts: list[str], longest: int = 24, epochs: int = 12, rate: float = 0.3, ridge: float = 1e-3, seed: int = 3) -> Field:
     """Gradient ascent on the conditional likelihood of the base spans."""
     rng = random.Random(seed)
@@ -259,8 +309,8 @@ def learn(texts: list[str], longest: int = 24, epochs: int = 12, rate: float = 0
             if not t:
                 continue
             gold = {(a, z): KINDS.index(k) for k, a, z in reversed(spans)}
-            for m in list(REGION.finditer(t))[:40]:
-                r = read_region(t, *m.span(), longest)
+            for units in islice(_pieces(t, spans, longest), 40):
+                r = read_region(t, units, longest)
                 if not r.segments:
                     continue
                 picked, free = [], 0
@@ -288,6 +338,17 @@ def learn(texts: list[str], longest: int = 24, epochs: int = 12, rate: float = 0
     return field
 
 
+def _merged(spans: list[Span]) -> list[tuple[int, int]]:
+    """The stretches that the spans cover, in order and apart."""
+    out: list[tuple[int, int]] = []
+    for a, z in sorted((a, z) for _, a, z in spans):
+        if out and a < out[-1][1]:
+            out[-1] = (out[-1][0], max(z, out[-1][1]))
+        else:
+            out.append((a, z))
+    return out
+
+
 def all_spans(text: str, field: Field | None) -> tuple[list[Span], list[Span]]:
     """(base spans, added spans)."""
     if not HAS.search(text):
@@ -295,15 +356,12 @@ def all_spans(text: str, field: Field | None) -> tuple[list[Span], list[Span]]:
     base, added = base_spans(text), []
     if field is None:
         return base, added
-    for m in REGION.finditer(text):
-        r = read_region(text, *m.span(), field.longest)
-        if not r.segments:
-            continue
-        for k, kind in field.decode(r):
-            i, j = r.segments[k]
-            a, z = r.units[i][0], r.units[j - 1][1]
-            if not any(x < z and a < y for _, x, y in base):
-                added.append((KINDS[kind], a, z))
+    known = _merged(base)
+    for start, end in regions(text):
+        for kind, a, z in field.decode(text, units_of(text, start, end)):
+            at = bisect_left(known, (z,)) - 1       # the last base stretch that begins before the entity ends
+            if at < 0 or known[at][1] <= a:
+                added.append((kind, a, z))
     return base, added
 
 
