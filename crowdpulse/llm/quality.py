@@ -5,10 +5,10 @@ sentence mark, bar, exclamation, other mark) and binned shares of repeated words
 times inverse document frequency. A truncated singular value decomposition of a bounded sample of labelled texts gives
 the latent axes. The sample's vectors (``per_class`` rows of each label at most) are broadcast; every document is
 compared to all of them in blocked matrix products, exact, and its ``neighbours`` nearest vote with their cosines'
-power as weight.
+power as weight, times the number of labelled rows that each stands for (the sample does not keep the labels' ratio).
 
-Defined cases: a null or empty text has a zero vector, no neighbour is nearer than another, and the sample's mean label
-is its score; a null ``doc_id`` is in no fold; repeated rows score alike; without any label the score is 0.5.
+Defined cases: a null or empty text has a zero vector, no neighbour is nearer than another, and the mean label of all
+training rows is its score; a null ``doc_id`` is in no fold; repeated rows score alike; without any label the score is 0.5.
 """
 
 from __future__ import annotations
@@ -70,6 +70,7 @@ class Space:
     axes: np.ndarray        # terms x dimensions
     vectors: np.ndarray     # labelled texts x dimensions, of unit length
     labels: np.ndarray
+    weights: np.ndarray     # training rows that each labelled text stands for
 
     def embed(self, counts: np.ndarray) -> np.ndarray:
         v = (np.log1p(counts) * self.idf) @ self.axes
@@ -82,18 +83,21 @@ class Space:
         k = min(neighbours, len(self.labels))
         at = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
         w = np.maximum(np.take_along_axis(cosine, at, axis=1), 0) ** power
+        near = w.sum(axis=1)
+        w = w * self.weights[at]
         total = w.sum(axis=1)
         score = (w * self.labels[at]).sum(axis=1) / np.maximum(total, 1e-12)
-        return np.where(total > 1e-9, np.clip(score, 0, 1), self.labels.mean())
+        return np.where(near > 1e-9, np.clip(score, 0, 1), np.average(self.labels, weights=self.weights))
 
 
-def fit_space(counts: np.ndarray, labels: np.ndarray, dimensions: int = 48) -> Space:
+def fit_space(counts: np.ndarray, labels: np.ndarray, weights: np.ndarray, dimensions: int = 48) -> Space:
     """Latent axes: the leading right singular vectors of the weighted term matrix."""
     n = len(labels)
     idf = np.log((1 + n) / (1 + (counts > 0).sum(axis=0))).astype(np.float32) + 0.1 if n else np.ones(TERMS, dtype=np.float32)
     x = np.log1p(counts) * idf
     _, vecs = np.linalg.eigh(x.T @ x)
-    space = Space(idf, np.ascontiguousarray(vecs[:, ::-1][:, :dimensions]).astype(np.float32), np.zeros((0, dimensions)), np.asarray(labels, dtype=np.float64))
+    space = Space(idf, np.ascontiguousarray(vecs[:, ::-1][:, :dimensions]).astype(np.float32), np.zeros((0, dimensions)),
+                  np.asarray(labels, dtype=np.float64), np.asarray(weights, dtype=np.float64))
     space.vectors = space.embed(counts).astype(np.float32)
     return space
 
@@ -103,7 +107,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1500, modulus: int
     sample = labelled_sample(docs, labels, "quality", remainder(modulus) != held, per_class)
     sample = sample.toPandas().sort_values("doc_id").drop_duplicates("text")
     counts = np.array([term_counts(t) for t in sample["text"]], dtype=np.float32).reshape(-1, TERMS)
-    return fit_space(counts, sample["y"].to_numpy())
+    return fit_space(counts, sample["y"].to_numpy(), sample["weight"].to_numpy())
 
 
 def score_documents(docs: DataFrame, space: Space, threshold: float = 0.7, block: int = 256) -> DataFrame:

@@ -199,13 +199,14 @@ def _context(token: str, near: list[str]) -> float:
 
 
 def learn(toxic: list[str], clean: list[str], stem_lengths=(3, 4, 5, 6, 7, 8), least: float | None = None, most_terms: int = 400,
-          ratio: float = 12.0) -> Model:
+          ratio: float = 12.0, weights: tuple[float, float] = (1.0, 1.0)) -> Model:
     """The lexicon and curve that tell the toxic from the clean texts.
 
     A candidate is a word or a stem that at least three toxic texts hold, and ``ratio`` times as large a share of them
     as of the clean ones. Terms are taken greedily by how many toxic texts they explain, less the clean ones they would
     accuse; a text counts half for each term that it already has. Below ``least`` such texts a term may be an accident
-    of a few copies, and the search ends (2.5 texts unless given, and one in 150 of the toxic ones).
+    of a few copies, and the search ends (2.5 texts unless given, and one in 150 of the toxic ones). ``weights`` say how
+    many labelled texts each toxic and each clean one stands for.
     """
     least = max(2.5, len(toxic) / 150) if least is None else least
     toxic, clean = list(dict.fromkeys(toxic)), list(dict.fromkeys(clean))
@@ -239,8 +240,8 @@ def learn(toxic: list[str], clean: list[str], stem_lengths=(3, 4, 5, 6, 7, 8), l
             for f in own[i]:
                 if f in gain:
                     gain[f] -= share[i]
-    terms = _weighed(_with_edits(chosen, toxic, clean), toxic, clean)
-    return Model(terms, _curve(terms, toxic, clean))
+    terms = _weighed(_with_edits(chosen, toxic, clean, weights), toxic, clean)
+    return Model(terms, _curve(terms, toxic, clean, weights))
 
 
 def _says_again(f: str, chosen: str, held: Counter) -> bool:
@@ -254,7 +255,7 @@ def _forms(words: set[str], stem_lengths) -> set[str]:
     return words | {w[:n] + "*" for w in words for n in stem_lengths if len(w) > n}
 
 
-def _with_edits(chosen: list[str], toxic: list[str], clean: list[str]) -> list[Term]:
+def _with_edits(chosen: list[str], toxic: list[str], clean: list[str], weights: tuple[float, float]) -> list[Term]:
     """Whole words of five letters and more may be misspelled; where clean texts then hit too, one edit less."""
     terms = [Term(f.rstrip("*"), f.endswith("*"), 0 if f.endswith("*") or len(f) < 5 else 1 if len(f) < 9 else 2, 1.0) for f in chosen]
     for _ in range(2):
@@ -262,7 +263,7 @@ def _with_edits(chosen: list[str], toxic: list[str], clean: list[str]) -> list[T
         for texts, into in ((clean, wrong), (toxic, right)):
             for t in texts:
                 into.update({m[1] for w in tokens_of(t) if (m := trie.match(w)) is not None and m[0] > 0})
-        terms = [t if t.edits == 0 or wrong[i] <= 0.02 * right[i] else Term(t.text, t.stem, t.edits - 1, 1.0)
+        terms = [t if t.edits == 0 or wrong[i] * weights[1] <= 0.02 * right[i] * weights[0] else Term(t.text, t.stem, t.edits - 1, 1.0)
                  for i, t in enumerate(terms)]
     return terms
 
@@ -278,16 +279,19 @@ def _weighed(terms: list[Term], toxic: list[str], clean: list[str]) -> list[Term
     return [Term(t.text, t.stem, t.edits, max(0.1, min(8.0, math.log(rate[t.name])))) for t in terms]
 
 
-def _curve(terms: list[Term], toxic: list[str], clean: list[str], steps: int = 60, ridge: float = 0.05) -> list[float]:
-    """Logistic regression by Newton steps; both classes weigh as the sample has them."""
+def _curve(terms: list[Term], toxic: list[str], clean: list[str], weights: tuple[float, float], steps: int = 60,
+           ridge: float = 0.05) -> list[float]:
+    """Logistic regression by Newton steps; both classes weigh as all labelled rows have them (on average 1)."""
     scorer = Scorer(Model(terms, []))
     x = np.array([scorer.evidence(t)[0] for t in [*toxic, *clean]] or [[1.0, 0, 0, 0]])
     y = np.array([1.0] * len(toxic) + [0.0] * len(clean) or [0.0])
+    each = np.where(y == 1, *weights)
+    each /= each.mean()
     w = np.zeros(x.shape[1])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        hess = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
-        step = np.linalg.solve(hess, x.T @ (y - p) - ridge * w)
+        hess = (x * (each * p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
+        step = np.linalg.solve(hess, x.T @ (each * (y - p)) - ridge * w)
         w += np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-8:
             break
@@ -300,7 +304,8 @@ def remainder(modulus: int, c: str = "doc_id") -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train: Column, per_class: int) -> DataFrame:
-    """doc_id, text, y of at most ``per_class`` training rows of either class, chosen by a hash of the id.
+    """doc_id, text, y, weight of at most ``per_class`` training rows of either class, chosen by a hash of the id. A row's
+    weight is how many training rows of its class it stands for, so that the classes keep their ratio at any table size.
 
     The bound makes the chosen ids safe to broadcast and the texts safe to bring together in one place.
     """
@@ -309,16 +314,20 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train: Colum
     order = F.xxhash64("doc_id", F.lit(17))
     picked = marked.where("y = 0").orderBy(order, "doc_id").limit(per_class).unionByName(
         marked.where("y = 1").orderBy(order, "doc_id").limit(per_class))
-    return fold_docs(docs).join(F.broadcast(picked), "doc_id").select("doc_id", "text", "y")
+    counts = marked.where("y in (0, 1)").groupBy("y").agg(F.count(F.lit(1)).alias("n"))
+    picked = picked.join(F.broadcast(counts), "y").withColumn("weight", F.col("n") / F.least("n", F.lit(per_class)))
+    return fold_docs(docs).join(F.broadcast(picked), "doc_id").select("doc_id", "text", "y", "weight")
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = 2000, modulus: int = 5, held: int = 0) -> Model:
     """The model, learned from labelled rows outside the held-out fold. The bounded sample meets in one task, and only
     the model comes to the driver."""
     def train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = sorted(r for b in batches for r in zip(b["doc_id"], b["y"], b["text"], strict=True))
+        rows = sorted(r for b in batches for r in zip(b["doc_id"], b["y"], b["text"], b["weight"], strict=True))
         if rows:
-            model = learn([t for _, y, t in rows if y == 1], [t for _, y, t in rows if y == 0])
+            weight = {y: w for _, y, _, w in rows}
+            model = learn([t for _, y, t, _ in rows if y == 1], [t for _, y, t, _ in rows if y == 0],
+                          weights=(weight.get(1, 1.0), weight.get(0, 1.0)))
             yield pd.DataFrame({"model": [pickle.dumps(model)]})
 
     sample = labelled_sample(docs, labels, "toxic", remainder(modulus) != held, per_class)
