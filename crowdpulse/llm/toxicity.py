@@ -6,6 +6,10 @@ shares explains too little). The terms form a trie. The automaton of all strings
 (Levenshtein) is intersected with the trie and made deterministic state by state as words are read, so a word costs
 one table step per character and most words end in the dead state after a few.
 
+Words are what stands between blanks, less the marks at its edges, and also its parts between characters that are neither
+letter, mark nor digit ("you,idiot", "<p>idiot</p>"); of a word and its parts the reading with more evidence counts.
+Words have no length limit. In an unbroken run of letters a stem is found where the run begins, not inside it.
+
 Each hit is scored in a window of words around it: quotation marks, and words that speak about a word, mark a
 quotation and shrink the hit; address in the second person strengthens it. Each hit counts the logarithm of how much
 more often toxic than clean texts use its term; a logistic curve over the sum and the text's length gives the score.
@@ -18,6 +22,8 @@ from __future__ import annotations
 
 import math
 import pickle
+import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -34,6 +40,7 @@ ABOUT = frozenset("word words term called quote quoted said says wrote means mea
                   "wort begriff sagte zitat heißt mot terme disait citation signifie palabra término dijo cita significa".split())
 ADDRESS = frozenset("you your you're du dich dein ihr tu toi vous votre tú te usted".split())
 OPENING, CLOSING = "\"'“„«‘([", "\"'”“»’)]"
+BREAK = re.compile(r"[\W_]")
 EDGES = "\"'“”„«»‘’()[]{}<>.,;:!?*%&$#|_-+=~/\\"
 
 
@@ -141,8 +148,18 @@ class FuzzyTrie:
         return min((x for x in (stem, whole) if x is not None), default=None)
 
 
+def parts_of(word: str) -> list[str]:
+    """What stands between characters that are neither letter, mark nor digit; nothing if that is the whole word."""
+    if not BREAK.search(word):
+        return []
+    parts = "".join(c if c.isalnum() or unicodedata.category(c)[0] == "M" else " " for c in word).split()
+    return [] if parts == [word] else parts
+
+
 def tokens_of(text: str) -> set[str]:
-    return {w for w in (x.strip(EDGES) for x in set(text.lower().split())) if 2 < len(w) < 40}
+    words = {x.strip(EDGES) for x in set(text.lower().split())}
+    words.update(p for w in list(words) for p in parts_of(w))
+    return words - {""}
 
 
 @dataclass
@@ -170,12 +187,24 @@ class Scorer:
         raw = text.lower().split()
         out = []
         for at, token in enumerate(raw):
-            m = found.get(token.strip(EDGES))
-            if m is not None:
-                near = [x.strip(EDGES) for x in raw[max(0, at - self.window):at] + raw[at + 1:at + 1 + self.window]]
-                out.append((at, self.terms[m[1]].name, m[0], self.terms[m[1]].weight * 0.9 ** m[0] * _context(token, near)))
+            word = token.strip(EDGES)
+            parts = parts_of(word)
+            whole, inner = found.get(word), [(i, m) for i, p in enumerate(parts) if (m := found.get(p)) is not None]
+            if whole is None and not inner:
+                continue
+            near = [x.strip(EDGES) for x in raw[max(0, at - self.window):at] + raw[at + 1:at + 1 + self.window]]
+            readings = [[self._hit(at, whole, token, near)]] if whole is not None else []
+            if inner:
+                near += [p for x in near for p in parts_of(x)]
+                readings.append([self._hit(at, m, token, near + parts[max(0, i - self.window):i] + parts[i + 1:i + 1 + self.window])
+                                 for i, m in inner])
+            out += max(readings, key=lambda hits: sum(h[3] for h in hits))
         return out
 
+    def _hit(self, at: int, m: tuple[int, int], token: str, near: list[str]) -> tuple[int, str, int, float]:
+        term = self.terms[m[1]]
+        return at, term.name, m[0], term.weight * 0.9 ** m[0] * _context(token, near)
+
     def evidence(self, text: str) -> tuple[list[float], list[str]]:
         hits = self.hits(text)
         e = sum(h[3] for h in hits)
