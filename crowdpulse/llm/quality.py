@@ -103,10 +103,16 @@ def fit_space(counts: np.ndarray, labels: np.ndarray, weights: np.ndarray, dimen
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = 1500, modulus: int = 4, held: int = 2) -> Space:
-    """The space of at most ``per_class`` labelled rows of each label, none of the held-out fold."""
+    """The space of at most ``per_class`` labelled rows of each label, none of the held-out fold. Terms are counted in the
+    tasks: the driver gets their counts, not the texts."""
+    @F.pandas_udf("binary")
+    def counted(texts: pd.Series) -> pd.Series:
+        return pd.Series([term_counts(t).tobytes() for t in texts], dtype=object)
+
     sample = labelled_sample(docs, labels, "quality", remainder(modulus) != held, per_class)
-    sample = sample.toPandas().sort_values("doc_id").drop_duplicates("text")
-    counts = np.array([term_counts(t) for t in sample["text"]], dtype=np.float32).reshape(-1, TERMS)
+    sample = sample.select("doc_id", "y", "weight", F.sha2("text", 256).alias("digest"), counted("text").alias("counts"))
+    sample = sample.toPandas().sort_values("doc_id").drop_duplicates("digest")
+    counts = np.frombuffer(b"".join(sample["counts"]), dtype=np.float32).reshape(-1, TERMS)
     return fit_space(counts, sample["y"].to_numpy(), sample["weight"].to_numpy())
 
 
