@@ -1,7 +1,8 @@
 """Quality scores by a vote of the nearest labelled texts in a latent-semantic space.
 
 A text's terms are the trigrams of its character classes (space, newline, lower, upper, digit, letter beyond ASCII,
-sentence mark, bar, exclamation, other mark) and binned shares of repeated words; its term weights are sublinear counts
+sentence mark, bar, exclamation, other mark), binned shares of repeated words, and its words, hashed to a fixed number
+of slots; its term weights are sublinear counts
 times inverse document frequency. A truncated singular value decomposition of a bounded sample of labelled texts gives
 the latent axes. The sample's vectors (``per_class`` rows of each label at most) are broadcast; every document is
 compared to all of them in blocked matrix products, exact, and its ``neighbours`` nearest vote with their cosines'
@@ -16,6 +17,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from operator import eq
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -25,8 +27,9 @@ from pyspark.sql import functions as F
 from crowdpulse.llm.common import fold_docs
 from crowdpulse.llm.toxicity import labelled_sample, remainder
 
-KINDS, BINS = 10, 10
-TERMS = KINDS ** 3 + 4 * BINS
+KINDS, BINS, SLOTS = 10, 10, 512
+WORDS = KINDS ** 3 + 4 * BINS      # the first slot of the words
+TERMS = WORDS + SLOTS
 CONTINUED = bytes(range(0x80, 0xC0))
 
 
@@ -48,7 +51,7 @@ CLASSES = _class_table()
 
 
 def term_counts(text: str | None) -> np.ndarray:
-    """Counts of class trigrams per thousand characters, and one marked bin for each share."""
+    """Counts of class trigrams per thousand characters, one marked bin for each share, and hashed words per hundred."""
     out = np.zeros(TERMS, dtype=np.float32)
     raw = (text or "").encode("utf-8", "surrogatepass")
     kinds = np.frombuffer(raw.translate(CLASSES, CONTINUED), dtype=np.uint8).astype(np.int32)
@@ -61,6 +64,8 @@ def term_counts(text: str | None) -> np.ndarray:
               min(0.99, len(kinds) / n / 16), min(0.99, 10 * raw.count(b"\n") / len(raw)))
     for i, share in enumerate(shares):
         out[KINDS ** 3 + i * BINS + min(BINS - 1, int(share * BINS))] = 30
+    slots = np.fromiter(map(crc32, words), dtype=np.int64, count=len(words)) % SLOTS
+    out[WORDS:] = np.bincount(slots, minlength=SLOTS) * (100 / n)
     return out
 
 
