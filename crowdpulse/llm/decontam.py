@@ -12,7 +12,8 @@ The sketches are broadcast while their counted rows stay under a documented boun
 Candidates are pre-aggregated per document and item, so a passage in a third of all documents costs one row each.
 
 Defined cases: words are split at ASCII blanks and lower-cased; an item or text of fewer words than a shingle has the
-whole sequence as its one shingle; null or empty items match nothing, null or empty texts hold nothing; repeated
+whole sequence as its one shingle, so an item of fewer words matches only texts that consist of just its words, as in
+the operator's SQL, and is not found inside a longer text; null or empty items match nothing, null or empty texts hold nothing; repeated
 documents are reported once per id (rows with a null id under null), repeated items under each of their ids.
 """
 
