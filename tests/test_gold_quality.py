@@ -152,7 +152,7 @@ def test_gold_files_are_sorted(spark, tmp_path):
 
 
 def test_match_rate_counts_player_ad_events(spark):
-    from conftest import EVENT_DDL, MARKER_DDL, ev, mk
+    from media_rows import EVENT_DDL, MARKER_DDL, ev, mk
     from crowdpulse.operators.slo import slo_match_rate
     events = spark.createDataFrame([ev("a", 10, "ad_start"), ev("b", 500, "ad_start"), ev("c", 10), ev("d", 20, "ad_end")], EVENT_DDL)
     r = slo_match_rate(events, spark.createDataFrame([mk("m", 0), mk("n", 5)], MARKER_DDL)).first()

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import EVENT_DDL, MARKER_DDL, ev, mk, ts
+from media_rows import EVENT_DDL, MARKER_DDL, ev, mk, ts
 from crowdpulse.operators import joins, silver
 
 

@@ -3,7 +3,7 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import EVENT_DDL, MARKER_DDL, ev, mk, ts
+from media_rows import EVENT_DDL, MARKER_DDL, ev, mk, ts
 from crowdpulse.operators import sessions as SE
 from crowdpulse.operators.running import running_agg, time_bucket
 from crowdpulse.session import scratch_path

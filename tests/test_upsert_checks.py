@@ -1,7 +1,7 @@
 import pytest
 from pyspark.errors import StreamingQueryException
 
-from conftest import EVENT_DDL, MARKER_DDL, ev, mk
+from media_rows import EVENT_DDL, MARKER_DDL, ev, mk
 from crowdpulse.operators.quality import COMPLETENESS_KEYS
 from crowdpulse.operators.silver import silver_qoe
 from crowdpulse.session import scratch_path
