@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from crowdpulse.llm import chat, decontam, fingerprints, line_dedup, mixing, near_dedup, pii, quality, secrets, toxicity
+from crowdpulse.llm import chat, decontam, fingerprints, line_dedup, mixing, near_dedup, pii, quality, secrets, toxicity, vector_codes
 from crowdpulse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -126,6 +126,39 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def _codes_sql(positions: int = vector_codes.POSITIONS, rounds: int = vector_codes.ROUNDS) -> str:
+    """Lloyd's rounds one after the other: a(r) assigns parts to books b(r), which make b(r + 1)."""
+    gap = "list_sum(list_transform(range(1, len(p.v) + 1), lambda i: (p.v[i] - b.v[i]) * (p.v[i] - b.v[i])))"
+
+    def assign(r: int) -> str:
+        return f"a{r} AS MATERIALIZED (SELECT n, pos, x.e AS e, x.d AS d FROM (SELECT n, pos, min({{'d': {gap}, 'e': b.e}}) AS x FROM p JOIN b{r} b USING (pos) GROUP BY n, pos))"
+
+    def update(r: int) -> str:
+        return f"""m{r} AS (SELECT pos, e, i, sum(c) AS s, count(*) AS k FROM (SELECT pos, e, unnest(v) AS c, unnest(range(1, len(v) + 1)) AS i FROM a{r} JOIN p USING (n, pos)) GROUP BY pos, e, i),
+u{r} AS (SELECT pos, e, list(((s - ((s % k) + k) % k) // k)::BIGINT ORDER BY i) AS v FROM m{r} GROUP BY pos, e),
+b{r + 1} AS MATERIALIZED (SELECT pos, e, coalesce(u.v, b.v) AS v FROM b{r} b LEFT JOIN u{r} u USING (pos, e))"""
+
+    steps = ",\n".join(f"{assign(r)},\n{update(r)}" for r in range(rounds))
+    return f"""
+WITH t AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id) AS n, vec_id, label, list_transform(embedding, lambda x: floor({vector_codes.SCALE} * x::DOUBLE)::BIGINT) AS w
+      FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (SELECT n, pos, w[pos * (len(w) // {positions}) + 1 : (pos + 1) * (len(w) // {positions})] AS v FROM t, (SELECT unnest(range({positions})) AS pos)),
+b0 AS MATERIALIZED (SELECT pos, n - 1 AS e, v FROM p WHERE n <= {vector_codes.ENTRIES}),
+{steps},
+{assign(rounds)},
+c AS (SELECT n, string_agg(printf('%02x', e::INT), '' ORDER BY pos) AS code, sum(d)::BIGINT AS error FROM a{rounds} GROUP BY n),
+l AS (SELECT label, sum(error)::BIGINT AS label_error FROM c JOIN t USING (n) GROUP BY label),
+s AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY pos, e)) AS codebooks_sha256 FROM b{rounds})
+SELECT t.vec_id, c.code, c.error, l.label_error, s.codebooks_sha256, t.label
+FROM t JOIN c USING (n) JOIN l ON t.label IS NOT DISTINCT FROM l.label, s
+"""
+
+
+@register("op11_vector_codes", _codes_sql())
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.digests(table(spark, sf_dir, "embeddings"))
+
+
 @register("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
