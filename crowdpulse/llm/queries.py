@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from crowdpulse.llm import chat, decontam, fingerprints, line_dedup, mixing, near_dedup, pii, quality, secrets, toxicity, vector_codes
+from crowdpulse.llm import chat, decontam, fingerprints, line_dedup, mixing, near_dedup, pii, prefix_trie, quality, secrets, toxicity, vector_codes
 from crowdpulse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -159,6 +159,32 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.digests(table(spark, sf_dir, "embeddings"))
 
 
+CRC32 = """xor(list_reduce(list_concat([4294967295::UBIGINT], list_transform(range(1, length(c::VARCHAR) + 1), lambda i: ascii(substr(c::VARCHAR, i, 1))::UBIGINT)),
+lambda a, b: list_reduce(list_concat([xor(a, b)], list_transform(range(8), lambda j: j::UBIGINT)), lambda x, y: xor(x >> 1, 3988292384::UBIGINT * (x & 1)))), 4294967295::UBIGINT)"""
+TRIE_SQL = f"""
+WITH o AS (SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS t, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS i
+           FROM conversations WHERE conv_id IS NOT NULL),
+z AS (SELECT c, ({CRC32} % 9)::BIGINT AS h, c - c % 5 AS s FROM (SELECT DISTINCT c FROM o)),
+n AS MATERIALIZED (SELECT z.c, z.h, z.s, least(z.h, (SELECT count(*) FROM o WHERE o.c = z.s)) AS k FROM z),
+b AS (SELECT n.c, i AS d, r, t FROM n JOIN o ON o.c = n.s AND i <= h UNION ALL SELECT n.c, i - h + k, r, t FROM n JOIN o ON o.c = n.c AND i > h
+      UNION ALL SELECT c, 0, NULL, '' FROM n),
+m AS MATERIALIZED (SELECT c, d, strlen(t) AS bytes, string_agg(coalesce(sha256(length(r) || ':' || r || t), ''), '/') OVER (PARTITION BY c ORDER BY d) AS p,
+      max(d) OVER (PARTITION BY c) AS size FROM b),
+v AS MATERIALIZED (SELECT p, min(c) AS conv_id, any_value(d) AS depth, count(*) AS n_convs, (count(*) - 1) * any_value(bytes) AS own, bool_and(d = size) AS leaf,
+      sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE d = size), '')) AS ends_sha256 FROM m GROUP BY p),
+u AS (SELECT m.p, sum(v.leaf::INT)::BIGINT AS n_leaves, sum(v.own)::BIGINT AS saved_tokens FROM v JOIN m ON m.c = v.conv_id AND m.d <= v.depth GROUP BY m.p),
+f AS (SELECT v.p, w.p AS above, w.conv_id AS parent_conv_id FROM v JOIN m ON m.c = v.conv_id AND m.d = v.depth - 1 JOIN v w ON w.p = m.p),
+k AS (SELECT above AS p, count(*) AS n_children FROM f GROUP BY above)
+SELECT v.conv_id, v.depth, f.parent_conv_id, v.n_convs, coalesce(k.n_children, 0) AS n_children, u.n_leaves, u.saved_tokens, v.ends_sha256
+FROM v JOIN u USING (p) LEFT JOIN f USING (p) LEFT JOIN k USING (p)
+"""
+
+
+@register("op12_prefix_trie", TRIE_SQL)
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.nodes(table(spark, sf_dir, "conversations"))
+
+
 @register("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
