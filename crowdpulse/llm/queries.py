@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from crowdpulse.llm import chat, decontam, fingerprints, line_dedup, mixing, near_dedup, pii, prefix_trie, quality, secrets, toxicity, vector_codes
+from crowdpulse.llm import chat, decontam, fingerprints, licenses, line_dedup, mixing, near_dedup, pii, prefix_trie, quality, secrets, toxicity, vector_codes
 from crowdpulse.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -185,6 +185,11 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.nodes(table(spark, sf_dir, "conversations"))
 
 
+@register("op13_licenses")
+def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digests(table(spark, sf_dir, "documents"))
+
+
 @register("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
