@@ -194,11 +194,11 @@ def paths_of(turns: DataFrame, shards: int) -> DataFrame:
 
 def with_carry(paths: DataFrame) -> DataFrame:
     """c0, c1 beside each row: what the earlier fragments of its conversation add to the digest."""
-    two64 = F.lit(1 << 64).cast("decimal(38,0)")
+    two64, two63 = (F.lit(str(1 << n)).cast("decimal(38,0)") for n in (64, 63))
     ends = paths.where(F.col("length") >= CUT).groupBy("conv", "block").agg(*[F.max_by(c, "depth").cast("decimal(38,0)").alias(c) for c in ("l0", "l1")])
     earlier = Window.partitionBy("conv").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     wrapped = [F.pmod(F.coalesce(F.sum(f"l{i}").over(earlier), F.lit(0)).cast("decimal(38,0)"), two64) for i in range(2)]
-    carry = ends.select("conv", "block", *[F.when(x >= F.lit(1 << 63).cast("decimal(38,0)"), x - two64).otherwise(x).cast("long").alias(f"c{i}") for i, x in enumerate(wrapped)])
+    carry = ends.select("conv", "block", *[F.when(x >= two63, x - two64).otherwise(x).cast("long").alias(f"c{i}") for i, x in enumerate(wrapped)])
     zero = F.lit(0).cast("long")
     short = paths.where(F.col("length") < CUT).withColumns({"c0": zero, "c1": zero})
     return short.unionByName(paths.where(F.col("length") >= CUT).join(carry, ["conv", "block"]).select(*short.columns))
