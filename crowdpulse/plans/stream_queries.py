@@ -13,14 +13,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from crowdpulse.plans.oracle import CTES, with_ctes
-from crowdpulse.plans.registry import SPAN, WINDOW, register
+from crowdpulse.plans.registry import ORACLES, SPAN, WINDOW, register
 from crowdpulse.session import scratch_path
 from crowdpulse.operators.gold import stream_batch_reconcile
 from crowdpulse.sinks.writers import bronze_ingest, compact_upserts, read_upserted, silver_upsert
 from crowdpulse.sources import testmap as tm
 from crowdpulse.sources.parse import filter_required, parse_player_events
 from crowdpulse.sources.readers import read_marker_stream, read_raw_stream
-from crowdpulse.streaming.pipeline import backfill, dedupe_stream, late_rows, silver_stream, start_to_parquet
+from crowdpulse.operators.fragments import session_fragments, session_qoe, sessions_from_fragments
+from crowdpulse.operators.silver import rebuffer_rolling5
+from crowdpulse.streaming.markers import silver_with_fresh_markers
+from crowdpulse.streaming.pipeline import backfill, dedupe_stream, late_rows, silver_stream, silver_stream_salted, start_to_parquet
 
 SENTINEL = "sentinel"
 
@@ -218,6 +221,110 @@ def q_stream_batch_reconcile_live(spark, sf_dir):
     return both.agg(F.sum("cell").alias("cells"), F.sum("bad").alias("differing_rows"))
 
 
+def _delivered(spark, sf_dir, root, files: int = 3):
+    """The delivered feed as a stream of files, a sentinel event behind the last."""
+    feed = tm.player_events(spark, sf_dir)
+    feed.repartition(files).write.parquet(f"{root}/in")
+    last = feed.limit(1).withColumns({c: F.lit(SENTINEL) for c in ("event_id", "session_id", "cdn", "content_id")}).withColumn(
+        "timestamp", F.lit(_sentinel_time(feed).first()["t"]))
+    last.write.mode("append").parquet(f"{root}/in")
+    return spark.readStream.schema(feed.schema).parquet(f"{root}/in")
+
+
+@register("rebuffer_rolling5_stream", ORACLES["rebuffer_rolling5"])
+def q_rebuffer_rolling5_stream(spark, sf_dir):
+    """The sliding rebuffer share as a stream (ST5): dedupe, panes, windows over panes."""
+    root = scratch_path(spark, "rolling")
+    out = rebuffer_rolling5(dedupe_stream(_delivered(spark, sf_dir, root), "15 seconds"), "5 hours", "1 hour")
+    start_to_parquet(out, f"{root}/out", f"{root}/ckpt").awaitTermination()
+    return spark.read.parquet(f"{root}/out").where(F.col("cdn") != SENTINEL)
+
+
+@register("silver_stream_salted", with_ctes("""
+SELECT window_start, window_end, region, device, cdn, marker_id, avg_bitrate_kbps, avg_buffer_length_ms, error_rate, rebuffering_ratio,
+       event_count, error_count, TRUE AS ccv_near FROM silver_parsed""", "silver_parsed"))
+def q_silver_stream_salted(spark, sf_dir):
+    """The Silver stream with salted join state and two chained aggregates (ST4, J1): all measures equal the batch, and the
+    sketches' CCV lies within four standard errors (at least 1) of the exact count."""
+    root = scratch_path(spark, "silver-salted")
+    bronze, mk_dir = _bronze(spark, sf_dir, root)
+    events = filter_required(parse_player_events(read_raw_stream(spark, "parquet", {"path": bronze})))
+    markers = read_marker_stream(spark, "text", {"path": mk_dir})
+    start_to_parquet(silver_stream_salted(events, markers, WINDOW, SPAN, delay="15 seconds", salts=4), f"{root}/silver", f"{root}/ckpt").awaitTermination()
+    live = spark.read.parquet(f"{root}/silver").where(F.col("cdn") != SENTINEL)
+    mk = tm.markers(spark, sf_dir).withColumn("wallclock", F.date_trunc("millisecond", "wallclock"))
+    exact = backfill(spark, bronze, f"{root}/batch", mk, window=WINDOW, span=SPAN)
+    keys = ["window_start", "region", "device", "cdn", "marker_id"]
+    both = live.join(exact.select(*keys, F.col("ccv").alias("exact")), keys)
+    near = F.abs(F.col("ccv") - F.col("exact")) <= F.greatest(F.lit(1.0), 0.052 * F.col("exact"))
+    return both.select(*live.drop("ccv").columns, near.alias("ccv_near"))
+
+
+@register("silver_stream_fresh_markers", with_ctes("SELECT * FROM silver_parsed", "silver_parsed"))
+def q_silver_stream_fresh_markers(spark, sf_dir):
+    """Markers that arrive while the stream runs (J2, D12): the marker table is empty at the start, and each delivery of
+    events is followed by its markers, which the running query reads before it computes the windows. Equals the batch Silver."""
+    root = scratch_path(spark, "fresh-markers")
+    feed = filter_required(parse_player_events(tm.raw_player_events(spark, sf_dir))).drop("ingest_ts")
+    markers = tm.markers(spark, sf_dir).withColumn("wallclock", F.date_trunc("millisecond", "wallclock"))
+    markers.limit(0).write.parquet(f"{root}/markers")
+    feed.limit(0).write.parquet(f"{root}/in")
+    stream = dedupe_stream(spark.readStream.schema(feed.schema).parquet(f"{root}/in"), "15 seconds")
+    query = silver_with_fresh_markers(stream, lambda: spark.read.schema(markers.schema).parquet(f"{root}/markers"), f"{root}/silver", f"{root}/held",
+                                      f"{root}/ckpt", window=WINDOW, span=SPAN, hold="10 days", trigger={"processingTime": "0 seconds"})
+    try:
+        bounds = [None, "2024-01-11 00:00:00", "2024-01-21 00:00:00", None]
+        for start, end in zip(bounds[:-1], bounds[1:]):
+            for df, t, to in ((feed, "timestamp", "in"), (markers, "wallclock", "markers")):
+                part = df if start is None else df.where(F.col(t) >= F.lit(start).cast("timestamp"))
+                part = part if end is None else part.where(F.col(t) < F.lit(end).cast("timestamp"))
+                part.write.mode("append").parquet(f"{root}/{to}")
+                if to == "in":
+                    query.processAllAvailable()
+        last = feed.limit(1).withColumns({"event_id": F.lit(SENTINEL), "cdn": F.lit(SENTINEL), "timestamp": F.lit(_sentinel_time(feed).first()["t"])})
+        last.write.mode("append").parquet(f"{root}/in")
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return spark.read.parquet(f"{root}/silver").where(F.col("cdn") != SENTINEL).drop("batch_id")
+
+
+_NEXT = """
+SELECT session_id, "timestamp" AS t, event_type AS e, lead("timestamp") OVER w AS nt, lead(event_type) OVER w AS ne
+FROM ev_dedup WINDOW w AS (PARTITION BY session_id ORDER BY "timestamp", event_type)"""
+_QOE_SQL = f"""
+WITH b AS (SELECT session_id, MIN("timestamp") AS start_ts, MAX("timestamp") AS end_ts, COUNT(*) AS events,
+                  bool_or(event_type IN ('video_end', 'error')) AS closed,
+                  bool_or(event_type = 'video_start') AND NOT bool_or(event_type = 'heartbeat') AS exit_before_start FROM ev_dedup GROUP BY 1),
+s AS (SELECT session_id, COUNT(*) AS stalls, SUM((epoch_us(nt) - epoch_us(t)) / 1000.0) AS stall_ms
+      FROM ({_NEXT}) n WHERE e = 'buffer_start' AND ne = 'buffer_end' GROUP BY 1),
+v AS (SELECT session_id, MIN("timestamp") AS v FROM ev_dedup WHERE event_type = 'video_start' GROUP BY 1),
+u AS (SELECT v.session_id, (epoch_us(MIN(e."timestamp")) - epoch_us(v.v)) / 1000.0 AS startup_ms
+      FROM v JOIN ev_dedup e ON e.session_id = v.session_id AND e."timestamp" >= v.v AND e.event_type <> 'video_start' GROUP BY v.session_id, v.v)
+SELECT b.*, (epoch_us(end_ts) - epoch_us(start_ts)) / 1000.0 AS watch_ms, COALESCE(s.stalls, 0) AS stalls, COALESCE(s.stall_ms, 0.0) AS stall_ms,
+       CAST(ROUND(CAST(CASE WHEN end_ts > start_ts THEN COALESCE(s.stall_ms, 0.0) / ((epoch_us(end_ts) - epoch_us(start_ts)) / 1000.0) END
+            AS DECIMAL(38,10)), 8) AS DOUBLE) AS rebuffer_ratio, u.startup_ms
+FROM b LEFT JOIN s USING (session_id) LEFT JOIN u USING (session_id)"""
+
+
+@register("session_qoe_stream", with_ctes(_QOE_SQL, "ev_dedup"))
+def q_session_qoe_stream(spark, sf_dir):
+    """Quality of experience per session from a stream (SE1-SE4, W2): dedupe, then fragments closed by the watermark, merged
+    in the sink's table. Equals the batch figures."""
+    root = scratch_path(spark, "session-qoe")
+    parts = session_fragments(dedupe_stream(_delivered(spark, sf_dir, root), "15 seconds"), "6 hours")
+    start_to_parquet(parts, f"{root}/out", f"{root}/ckpt").awaitTermination()
+    qoe = session_qoe(spark.read.parquet(f"{root}/out").where(F.col("session_id") != SENTINEL))
+    return qoe.withColumn("rebuffer_ratio", F.round(F.col("rebuffer_ratio").cast("decimal(38,10)"), 8).cast("double"))
+
+
+@register("session_qoe", with_ctes(_QOE_SQL, "ev_dedup"))
+def q_session_qoe(spark, sf_dir):
+    """The same fragments in batch."""
+    qoe = session_qoe(session_fragments(tm.player_events(spark, sf_dir).dropDuplicates(["event_id", "timestamp"]), "1 hour"))
+    return qoe.withColumn("rebuffer_ratio", F.round(F.col("rebuffer_ratio").cast("decimal(38,10)"), 8).cast("double"))
+
+
 @register("bronze_ingest", with_ctes("""
 SELECT COUNT(*) + 1 AS records, COUNT(DISTINCT CASE WHEN k <> 13 THEN event_id END) + 1 AS event_ids
 FROM pe_feed""", "pe_feed"))
@@ -284,3 +391,13 @@ def q_sessionise_stream(spark, sf_dir):
     out = sessionise(dedupe_stream(s, "15 seconds"), "3 hours", keys=("session_id", "content_id"))
     start_to_parquet(out, f"{root}/out", f"{root}/ckpt").awaitTermination()
     return spark.read.parquet(f"{root}/out").where(F.col("session_id") != SENTINEL)
+
+
+@register("sessionise_fragments_stream", ORACLES["sessionise_stream"])
+def q_sessionise_fragments_stream(spark, sf_dir):
+    """Streaming sessions from bounded fragments (ST6): no session's whole history is one state row, as it is with
+    ``session_window``."""
+    root, keys = scratch_path(spark, "session-fragments"), ("session_id", "content_id")
+    parts = session_fragments(dedupe_stream(_delivered(spark, sf_dir, root), "15 seconds"), "6 hours", keys, gap="3 hours")
+    start_to_parquet(parts, f"{root}/out", f"{root}/ckpt").awaitTermination()
+    return sessions_from_fragments(spark.read.parquet(f"{root}/out").where(F.col("session_id") != SENTINEL), "3 hours", keys)

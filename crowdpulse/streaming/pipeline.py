@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from crowdpulse.functions.columns import REGULAR_CONTENT
 from crowdpulse.operators.joins import ad_interval_join, label_ad_marker
-from crowdpulse.operators.silver import aggregate_qoe, silver_qoe
+from crowdpulse.operators.silver import aggregate_qoe, aggregate_qoe_salted, silver_qoe
 from crowdpulse.sinks.writers import _trigger
 from crowdpulse.sources.parse import filter_required, parse_player_events
 from crowdpulse.sources.readers import read_bronze
@@ -58,6 +58,22 @@ def silver_stream(events: DataFrame, markers: DataFrame, window: str = "1 minute
                          rebuffer_types=rebuffer_types)
 
 
+def silver_stream_salted(events: DataFrame, markers: DataFrame, window: str = "1 minute", span: str = "2 minutes",
+                         delay: str = WATERMARK, salts: int = 16, lg_k: int = 12, rebuffer_types=("buffer_start",),
+                         bucket: str | None = None) -> DataFrame:
+    """``silver_stream`` for hot channels (J1, ST4): an event takes one of ``salts`` by its id, a marker (there are few) goes
+    to all of them, so join state is keyed by (channel, bucket, salt) and a channel's events lie in many partitions. The cube
+    is counted per salt and then merged, its CCV by sketches."""
+    ev = dedupe_stream(events, delay).select(
+        "event_id", "session_id", "timestamp", "event_type", "content_id", "region", "device", "cdn",
+        "bitrate_kbps", "buffer_length_ms", "error_code", F.pmod(F.xxhash64("event_id"), F.lit(salts)).cast("int").alias("salt"))
+    ev = ev.withColumn("salted", F.concat("salt", F.lit(":"), "content_id"))
+    mk = markers.select("marker_id", "channel", "wallclock", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("to"))
+    mk = mk.select("marker_id", F.concat("to", F.lit(":"), "channel").alias("channel"), "wallclock").withWatermark("wallclock", delay)
+    joined = ad_interval_join(ev, mk, span, key="salted", bucket=bucket, max_broadcast_rows=None)
+    return aggregate_qoe_salted(label_ad_marker(joined, REGULAR_CONTENT), window, lg_k=lg_k, rebuffer_types=rebuffer_types)
+
+
 def start_to_parquet(df: DataFrame, path: str, checkpoint: str, trigger: str | None = None,
                      output_mode: str = "append") -> StreamingQuery:
     """Run a streaming DataFrame into a Parquet sink (exactly-once file log)."""
