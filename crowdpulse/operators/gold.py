@@ -15,14 +15,15 @@ AD_KEY = ("marker_id", "channel")
 
 def dedupe_decisions(ads: DataFrame) -> DataFrame:
     """Replayed ad decisions are counted once (D22): of copies that differ, the one served first, then the one whose
-    other columns sort first, so a rerun keeps the same copy. Rows without an id are no replays of each other."""
+    other columns sort first, so a rerun keeps the same copy. Rows without an id are no replays of each other, and all
+    of them count, alike or not."""
     if "decision_id" not in ads.columns:
         return ads
     row = F.struct(*ads.columns)
     first = [c for c in ("served_ts", "slot_index") if c in ads.columns]
     order = F.struct(*first, *[c for c in ads.columns if c not in first])
-    anonymous = F.when(F.col("decision_id").isNull(), row)
-    return ads.groupBy("decision_id", anonymous.alias("_anonymous")).agg(F.min_by(row, order).alias("_row")).select("_row.*")
+    named = ads.where(F.col("decision_id").isNotNull()).groupBy("decision_id").agg(F.min_by(row, order).alias("_row")).select("_row.*")
+    return named.unionByName(ads.where(F.col("decision_id").isNull()))
 
 
 def ad_revenue_by_marker(ads: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from crowdpulse.sources.contracts import VARIANT_KINDS
@@ -147,14 +147,25 @@ def fail_if_any(report: DataFrame) -> None:
                                      for r in bad))
 
 
-def runtime_checks(batch_df: DataFrame, checks=None) -> None:
-    """In-stream checks of a micro-batch (DQ6): the five Silver keys not null by
-    default; raises so the batch is retried instead of lost."""
-    if checks is None:
-        missing = reduce(or_, [F.col(k).isNull() for k in COMPLETENESS_KEYS])
-        checks = [lambda d: _fail_count_check(d, "silver_keys", missing)]
-    for c in checks:
-        fail_if_any(c(batch_df))
+def key_rules(keys=COMPLETENESS_KEYS) -> dict[str, Column]:
+    """The default rule of a keyed sink (DQ6): none of the Silver keys is null. A rule is a condition that no row may meet."""
+    return {"silver_keys": reduce(or_, [F.col(k).isNull() for k in keys])}
+
+
+def observed(df: DataFrame, rules: dict[str, Column]) -> tuple[DataFrame, Observation]:
+    """``df`` with its row count and the rows that break each rule counted on the way to whatever action runs on it."""
+    seen = Observation()
+    counts = [_count_if(bad).alias(name) for name, bad in rules.items()]
+    return df.observe(seen, F.count(F.lit(1)).alias("_rows"), *counts), seen
+
+
+def fail_if_observed(seen: Observation) -> int:
+    """Rows of an observed DataFrame after its action; raises if a rule was broken."""
+    got = seen.get
+    broken = {k: v for k, v in got.items() if k != "_rows" and v}
+    if broken:
+        raise QualityError("; ".join(f"{k} failed ({v} rows)" for k, v in broken.items()))
+    return got["_rows"] or 0
 
 
 # ---- contracts (DQ8) -------------------------------------------------------

@@ -16,12 +16,14 @@ from crowdpulse.plans.oracle import CTES, with_ctes
 from crowdpulse.plans.registry import ORACLES, SPAN, WINDOW, register
 from crowdpulse.session import scratch_path
 from crowdpulse.operators.gold import stream_batch_reconcile
-from crowdpulse.sinks.writers import bronze_ingest, compact_upserts, read_upserted, silver_upsert
+from crowdpulse.sinks.writers import bronze_ingest, read_upserted, silver_upsert
 from crowdpulse.sources import testmap as tm
 from crowdpulse.sources.parse import filter_required, parse_player_events
 from crowdpulse.sources.readers import read_marker_stream, read_raw_stream
 from crowdpulse.operators.fragments import session_fragments, session_qoe, sessions_from_fragments
 from crowdpulse.operators.silver import rebuffer_rolling5
+from crowdpulse.operators.slo import slo_freshness
+from crowdpulse.plans.silver_queries import silver_table
 from crowdpulse.streaming.markers import silver_with_fresh_markers
 from crowdpulse.streaming.pipeline import backfill, dedupe_stream, late_rows, silver_stream, silver_stream_salted, start_to_parquet
 
@@ -183,20 +185,40 @@ def q_late_rows(spark, sf_dir):
     return late_rows(spark.read.parquet(f"{root}/feed"), spark.read.parquet(f"{root}/processed")).distinct()
 
 
-@register("silver_upsert", with_ctes("""
-SELECT event_id, MAX("timestamp") AS "timestamp" FROM pe_parsed GROUP BY event_id""", "pe_parsed"))
+def _two_deliveries(spark, sf_dir, root, **kw):
+    """Silver rows in two feeds that write one table in turn: stale rows of every cell, then an empty feed, then the true rows
+    of each half under the two checkpoints."""
+    keys = ["window_start", "region", "device", "cdn", "marker_id"]
+    given = silver_table(spark, sf_dir)
+    given.write.parquet(f"{root}/silver")
+    silver = spark.read.schema(given.schema).parquet(f"{root}/silver")
+    half = F.col("window_start") < F.lit("2024-01-15 00:00:00").cast("timestamp")
+    stale = silver.withColumns({"ccv": F.lit(0).cast("long"), "event_count": F.lit(0).cast("long")})
+    for feed, part in (("a", stale), ("b", silver.limit(0)), ("b", silver.where(half)), ("a", silver.where(~half))):
+        part.write.mode("append").parquet(f"{root}/feed-{feed}")
+        stream = spark.readStream.schema(given.schema).parquet(f"{root}/feed-{feed}")
+        silver_upsert(stream, f"{root}/table", f"{root}/ckpt-{feed}", keys, trigger="availableNow", parts=8, **kw).awaitTermination()
+    return read_upserted(spark, f"{root}/table")
+
+
+@register("silver_upsert", with_ctes("SELECT * FROM silver", "silver"))
 def q_silver_upsert(spark, sf_dir):
-    """Keyed upsert (SK3-SK5, ST11): in-batch copies of a key, a replay of the whole feed under a second checkpoint, and a
-    compaction between them; the newest version per event remains."""
-    root = scratch_path(spark, "upsert")
-    feed = filter_required(parse_player_events(tm.raw_player_events(spark, sf_dir))).select("event_id", "timestamp")
-    feed.write.parquet(f"{root}/feed")
-    stream = spark.readStream.schema(feed.schema).parquet(f"{root}/feed")
-    for run in ("first", "second"):
-        silver_upsert(stream, f"{root}/table", f"{root}/ckpt-{run}", ["event_id"], checks=[], trigger="availableNow",
-                      version=["timestamp"]).awaitTermination()
-        compact_upserts(spark, f"{root}/table", ["event_id"])
-    return read_upserted(spark, f"{root}/table", ["event_id"])
+    """Keyed upsert of Silver rows by their five keys (SK3-SK5, DQ6): two feeds in turn, the default checks, an empty
+    delivery; the row written last for a cell remains."""
+    return _two_deliveries(spark, sf_dir, scratch_path(spark, "upsert"))
+
+
+@register("slo_freshness_silver", with_ctes("""
+SELECT COUNT(*) AS rows, CAST(SUM(CASE WHEN lag <= 120 THEN 1 ELSE 0 END) AS BIGINT) AS within, MAX(lag) AS max_lag_s,
+       CAST(SUM(CASE WHEN lag <= 120 THEN 1 ELSE 0 END) AS DOUBLE) / COUNT(*) AS share, 'freshness' AS slo,
+       CAST(SUM(CASE WHEN lag <= 120 THEN 1 ELSE 0 END) AS DOUBLE) / COUNT(*) >= 0.999 AS met
+FROM (SELECT 30.0 * (event_count % 6) AS lag FROM silver) t""", "silver"))
+def q_slo_freshness_silver(spark, sf_dir):
+    """Freshness of Silver at emission (SL1): the sink stamps each row as it is written, and the level is measured from a
+    window's end to that. The feed is replayed, so its clock runs with the data: 30 s a step of event_count modulo 6."""
+    clock = F.col("window_end") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), 30 * (F.col("event_count") % 6))
+    table = _two_deliveries(spark, sf_dir, scratch_path(spark, "freshness"), stamp="emitted_at", clock=clock)
+    return slo_freshness(table, "window_end", "emitted_at", 120)
 
 
 @register("stream_batch_reconcile_live", with_ctes("""

@@ -8,13 +8,12 @@ so a replayed batch overwrites itself instead of adding rows. Failures raise
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from crowdpulse.operators.quality import fail_if_any, gold_quality_report, runtime_checks
+from crowdpulse.operators.quality import fail_if_any, fail_if_observed, gold_quality_report, key_rules, observed
 from crowdpulse.sources.readers import read_jdbc_table
 
 
@@ -43,27 +42,9 @@ def _write_batch(batch_df: DataFrame, path: str, batch_id: int) -> None:
         f"{path.rstrip('/')}/batch_id={batch_id}")
 
 
-def _folders(spark: SparkSession, path: str) -> list[str]:
-    """Names of the folders in ``path`` (none if it doesn't exist), on whatever file system it names."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return sorted(x.getPath().getName() for x in fs.listStatus(folder) if x.isDirectory()) if fs.exists(folder) else []
-
-
-COMPACTED = "compacted"
-
-
-def _run_folder(spark: SparkSession, path: str, checkpoint: str) -> str:
-    """The folder of this checkpoint's batches: ``run=<sequence>-<checkpoint>``. A restart goes on in its folder; a new
-    checkpoint, or one that was compacted since, gets the next sequence number, so its batches overwrite nobody's."""
-    name = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:12]
-    runs = [x[4:].split("-") for x in _folders(spark, path) if x.startswith("run=")]
-    own = [n for n, who in runs if who == name]
-    sealed = max([n for n, who in runs if who == COMPACTED], default="")
-    if own and max(own) > sealed:
-        return f"run={max(own)}-{name}"
-    return f"run={1 + max([int(n) for n, _ in runs], default=0):08d}-{name}"
+def create_table(spark: SparkSession, path: str, columns, partition_by=()) -> None:
+    """An empty Parquet table with the given columns (DDL or schema) (SK4); a table that is there already stays as it is."""
+    spark.createDataFrame([], columns).write.mode("ignore").partitionBy(*partition_by).parquet(path)
 
 
 def latest_per_key(df: DataFrame, keys, version) -> DataFrame:
@@ -73,53 +54,54 @@ def latest_per_key(df: DataFrame, keys, version) -> DataFrame:
     return df.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("_row")).select(*keys, "_row.*")
 
 
-def silver_upsert(stream: DataFrame, path: str, checkpoint: str, keys, checks=None,
-                  trigger: str | None = "5 seconds", output_mode: str = "append", version=()) -> StreamingQuery:
-    """Keyed upsert without a transactional table format (SK3-SK5, DQ6): each
-    micro-batch is evaluated once, skipped if empty, checked, reduced to one
-    row per key (the greatest by ``version``) and written to
-    ``run=R/batch_id=N`` (a replay overwrites it); readers take the latest
-    version per key with ``read_upserted``."""
-    keys, run = list(keys), _run_folder(stream.sparkSession, path, checkpoint)
+PART, FRESH = "key_part", "_fresh"
 
-    def process(batch_df: DataFrame, batch_id: int) -> None:
-        kept = batch_df.persist()
-        try:
-            if kept.isEmpty():
-                return
-            runtime_checks(kept, checks)
-            latest_per_key(kept, keys, list(version)).write.mode("overwrite").parquet(
-                f"{path.rstrip('/')}/{run}/batch_id={batch_id}")
-        finally:
-            kept.unpersist()
 
-    w = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint).outputMode(output_mode)
-    return _trigger(w, trigger).start()
+def _key_part(keys, parts: int):
+    return F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int")
 
 
-def _current_batches(spark: SparkSession, path: str) -> DataFrame:
-    """All batches since the last compaction, with ``run`` and ``batch_id``."""
-    runs = [x for x in _folders(spark, path) if x.startswith("run=")]
-    sealed = max([x for x in runs if x.endswith(f"-{COMPACTED}")], default="")
-    return spark.read.option("basePath", path).parquet(*[f"{path.rstrip('/')}/{x}" for x in runs if x >= sealed])
+def silver_upsert(stream: DataFrame, path: str, checkpoint: str, keys, rules: dict | None = None,
+                  trigger: str | None = "5 seconds", output_mode: str = "append", version=(), parts: int = 32,
+                  stamp: str | None = None, clock=None) -> StreamingQuery:
+    """Keyed upsert into Parquet (SK3-SK5, DQ6). The table is partitioned by a hash of the key; a micro-batch rewrites only the
+    partitions that its keys fall in, by Spark's dynamic partition overwrite.
 
+    The batch is evaluated once: reduced to one row per key (the greatest by ``version``) and staged, while its rows and the
+    rows that break a rule are observed (by default, the five Silver keys must not be null). A broken rule raises before the
+    table is touched; an empty batch ends there. Then staged and current rows of the touched partitions are merged (the
+    greatest by ``version``, the batch's row on a tie) beside the table and written over. A replayed batch merges to the same
+    rows. One writer at a time, readers after it: a plain Parquet table has no snapshots. ``stamp`` names a column for the time
+    of emission (``clock``, by default the current time)."""
+    keys, version, spark = list(keys), list(version), stream.sparkSession
+    rules = key_rules() if rules is None else rules
+    stamped = stream.withColumn(stamp, F.current_timestamp() if clock is None else clock) if stamp else stream
+    columns = stamped.schema
+    create_table(spark, path, T.StructType([*columns, T.StructField(PART, T.IntegerType())]), [PART])
+    base = f"{checkpoint.rstrip('/')}-staged"
 
-def read_upserted(spark: SparkSession, path: str, keys) -> DataFrame:
-    """Latest version of each key over all upsert runs and batches."""
-    return latest_per_key(_current_batches(spark, path), list(keys), ["run", "batch_id"]).drop("run", "batch_id")
+    def process(batch_df: DataFrame, batch_id: int) -> None:
+        seen_rows, seen = observed(batch_df, rules)
+        staged, merged = f"{base}/batch", f"{base}/merged"
+        keyed = latest_per_key(seen_rows, keys, version).withColumn(PART, _key_part(keys, parts))
+        keyed.write.mode("overwrite").partitionBy(PART).parquet(staged)
+        if not fail_if_observed(seen):
+            return
+        spark = batch_df.sparkSession
+        fresh = spark.read.schema(keyed.schema).parquet(staged)
+        touched = [r[0] for r in fresh.select(PART).distinct().collect()]       # at most ``parts`` numbers
+        current = spark.read.schema(keyed.schema).parquet(path).where(F.col(PART).isin(touched))
+        both = current.withColumn(FRESH, F.lit(0)).unionByName(fresh.withColumn(FRESH, F.lit(1)))
+        latest_per_key(both, [*keys, PART], [*version, FRESH]).select(*keyed.columns).write.mode("overwrite").partitionBy(PART).parquet(merged)
+        spark.read.schema(keyed.schema).parquet(merged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART).parquet(path)
+
+    w = stamped.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint).outputMode(output_mode)
+    return _trigger(w, trigger).start()
 
 
-def compact_upserts(spark: SparkSession, path: str, keys) -> None:
-    """Retire the batches so far: the latest-per-key view becomes a run of its own, which readers start from. It is
-    written beside and moved into place whole, so a reader sees either state. Run it while no stream writes here; a
-    stream started later goes on in a new run."""
-    runs = [x for x in _folders(spark, path) if x.startswith("run=")]
-    number = 1 + max(int(x[4:].split("-")[0]) for x in runs)
-    staged, final = f"{path.rstrip('/')}/_staged-{number:08d}", f"{path.rstrip('/')}/run={number:08d}-{COMPACTED}"
-    read_upserted(spark, path, keys).write.mode("overwrite").parquet(f"{staged}/batch_id=0")
-    jvm = spark.sparkContext._jvm
-    source = jvm.org.apache.hadoop.fs.Path(staged)
-    source.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).rename(source, jvm.org.apache.hadoop.fs.Path(final))
+def read_upserted(spark: SparkSession, path: str) -> DataFrame:
+    """The table that ``silver_upsert`` keeps: a row per key."""
+    return spark.read.parquet(path).drop(PART)
 
 
 def gold_write_partitioned(gold: DataFrame, path: str, partition: str = "event_date",

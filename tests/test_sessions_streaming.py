@@ -7,7 +7,6 @@ from media_rows import EVENT_DDL, MARKER_DDL, ev, mk, ts
 from crowdpulse.operators import sessions as SE
 from crowdpulse.operators.running import running_agg, time_bucket
 from crowdpulse.session import scratch_path
-from crowdpulse.sinks.writers import compact_upserts, read_upserted, silver_upsert
 from crowdpulse.streaming.pipeline import backfill, dedupe_stream, late_rows, silver_stream, start_to_parquet
 from crowdpulse.operators.silver import silver_qoe
 
@@ -129,34 +128,6 @@ def test_silver_stream_goes_on_after_a_restart(spark):
     assert sorted(got.collect()) == sorted(want.collect())
 
 
-def test_upsert_copies_second_checkpoint_and_compaction(spark):
-    up = scratch_path(spark, "t-upsert")
-
-    def feed(rows):
-        spark.createDataFrame(rows, "key string, v int").write.mode("append").parquet(f"{up}/src")
-
-    def run(checkpoint):
-        s = spark.readStream.schema("key string, v int").parquet(f"{up}/src")
-        silver_upsert(s, f"{up}/t", f"{up}/{checkpoint}", ["key"], checks=[], trigger=None, version=["v"]).awaitTermination()
-
-    def held():
-        return {r.key: r.v for r in read_upserted(spark, f"{up}/t", ["key"]).collect()}
-
-    feed([("k1", 2), ("k1", 1), ("k2", 2)])     # two rows of one key in a batch: the greater version stays
-    run("ck")
-    assert held() == {"k1": 2, "k2": 2}
-    feed([("k1", 10), ("k3", 3)])
-    run("ck")
-    assert held() == {"k1": 10, "k2": 2, "k3": 3}
-    compact_upserts(spark, f"{up}/t", ["key"])
-    assert held() == {"k1": 10, "k2": 2, "k3": 3}
-    feed([("k4", 4)])
-    run("ck")                                   # the old checkpoint goes on after compaction
-    assert held() == {"k1": 10, "k2": 2, "k3": 3, "k4": 4}
-    run("other")                                # a new checkpoint replays everything and overwrites nobody's batches
-    assert held() == {"k1": 10, "k2": 2, "k3": 3, "k4": 4}
-
-
 def test_backfill_of_two_hours_keeps_the_day(spark):
     import json
     from datetime import timedelta
