@@ -72,20 +72,77 @@ def ad_interval_join(events: DataFrame, markers: DataFrame, span: str = "2 minut
                                max_buckets=span_s // bucket_s + 1)
 
 
+#: A node of one level has 2^BITS nodes of the level below; so many levels cover all timestamps in buckets of a second.
+BITS, LEVELS = 4, 11
+#: Longest span that is told from an endless one, in seconds (126,000 years).
+MAX_SPAN_S = 4 * 10 ** 12
+
+
+def span_pieces(start: str, end: str) -> Column:
+    """array<struct<level, node>> of the aligned intervals that make up the buckets ``start`` to ``end`` (names of long columns,
+    both included): node n of level l is buckets n * 16^l to (n + 1) * 16^l - 1, as in dyadic intervals, but sixteenfold. At
+    most 30 a level and 11 levels, whatever the length; a span of a few buckets is just these. Empty if end < start."""
+    def low(l: str) -> str:
+        return f"-shiftright(-`{start}`, {BITS} * ({l}))"
+
+    def high(l: str) -> str:
+        return f"shiftright(`{end}` + 1, {BITS} * ({l}))"
+
+    none, up, top = "CAST(array() AS array<bigint>)", f"({low('l + 1')}) * {1 << BITS}", f"({high('l + 1')}) * {1 << BITS}"
+    nodes = f"""CASE WHEN {low('l')} >= {high('l')} THEN {none} WHEN {low('l + 1')} >= {high('l + 1')} THEN sequence({low('l')}, {high('l')} - 1)
+        ELSE concat(CASE WHEN {low('l')} < {up} THEN sequence({low('l')}, {up} - 1) ELSE {none} END,
+                    CASE WHEN {top} < {high('l')} THEN sequence({top}, {high('l')} - 1) ELSE {none} END) END"""
+    return F.expr(f"flatten(transform(sequence(0, {LEVELS - 1}), l -> transform({nodes}, n -> struct(l AS level, n AS node))))")
+
+
+def span_left_join(events: DataFrame, spans: DataFrame, start: Column, end: Column, *, ts: str, key: Column, span_key: Column,
+                   bucket_s: int, max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """events LEFT JOIN spans ON key = span_key AND start <= ts < end (``start`` and ``end`` in microseconds), for spans of any
+    length. The columns of ``spans`` come in a struct ``_span``, null where nothing matches.
+
+    A span is cut into aligned intervals of buckets (``span_pieces``), at most 30 on each of 11 levels whatever its length; the
+    spans of a (key, interval) are one row. An event looks its bucket up once on each level that occurs among the spans
+    (the levels are read first), so it is never copied before it matches; short spans need one level."""
+    us = bucket_s * 1_000_000
+    s = spans.select(span_key.alias("_sk"), start.cast("long").alias("_s"), end.cast("long").alias("_e"), F.struct(*spans.columns).alias("_row"))
+    s = s.where("_s < _e AND _sk IS NOT NULL").withColumns({"_a": F.expr(f"(_s - pmod(_s, {us})) div {us}"), "_z": F.expr(f"(_e - 1 - pmod(_e - 1, {us})) div {us}")})
+    cells = s.select("_sk", F.struct("_s", "_e", "_row").alias("_m"), F.inline(span_pieces("_a", "_z"))).groupBy("_sk", "level", "node").agg(
+        F.collect_list("_m").alias("_in"))
+    levels = sorted(r[0] for r in cells.select("level").distinct().collect())
+    t = F.unix_micros(ts)
+    out = events.withColumns({"_k": key, "_t": t}).withColumn("_b", F.expr(f"(_t - pmod(_t, {us})) div {us}"))
+    found = []
+    for n in levels:
+        side = cells.where(F.col("level") == n).select(F.col("_sk").alias(f"_k{n}"), F.col("node").alias(f"_n{n}"), F.col("_in").alias(f"_in{n}"))
+        side = broadcast_if_small(side, max_broadcast_rows, size_of=spans, expansion=30 * len(levels))
+        out = out.join(side, (F.col("_k") == F.col(f"_k{n}")) & (F.shiftright("_b", BITS * n) == F.col(f"_n{n}")), "left")
+        found.append(F.coalesce(f"_in{n}", F.array().cast(cells.schema["_in"].dataType)))
+    if not levels:
+        return events.withColumn("_span", F.lit(None).cast(s.schema["_row"].dataType))
+    held = F.filter(F.concat(*found), lambda m: (m["_s"] <= F.col("_t")) & (F.col("_t") < m["_e"]))
+    return out.select(*[F.col(f"`{c}`") for c in events.columns], F.explode_outer(held).alias("_m")).select(
+        *[F.col(f"`{c}`") for c in events.columns], F.col("_m._row").alias("_span"))
+
+
+def span_us(seconds: Column) -> Column:
+    """A duration in microseconds: null and negative ones are empty, those beyond ``MAX_SPAN_S`` are cut to it."""
+    whole = F.least(F.greatest(F.coalesce(seconds.cast("double"), F.lit(0.0)), F.lit(0.0)), F.lit(float(MAX_SPAN_S)))
+    return F.round(whole * 1_000_000).cast("long")
+
+
 def ad_break_join(events: DataFrame, markers: DataFrame, *, ts: str = "timestamp", key: str = "content_id",
                   bucket: str = "5 minutes", break_types: tuple[str, ...] | None = ("commercial",),
-                  max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
-                  max_break_s: int = 3600) -> DataFrame:
-    """Interval bounded by each marker's own break length (J3):
-    ``wallclock <= ts < wallclock + duration_s``; a zero-length break matches
-    nothing. Only ``break_types`` markers count (default commercial, D4).
-    ``max_break_s`` bounds the explode factor used by the broadcast size check."""
+                  max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Interval bounded by each marker's own break length (J3): ``wallclock <= ts < wallclock + duration_s``, whatever the
+    length. A null, negative or zero duration matches nothing, one of over 126,000 years counts as that. Only ``break_types``
+    markers count (default commercial, D4). Markers are a batch table."""
     if break_types is not None:
         markers = markers.where(F.col("break_type").isin(list(break_types)))
-    end = F.col("wallclock") + _seconds(F.coalesce(F.col("duration_s"), F.lit(0)).cast("decimal(18,6)"))
-    bucket_s = interval_seconds(bucket)
-    return _bucketed_left_join(events, markers, end, bucket_s, ts=ts, key=key, end_inclusive=False,
-                               max_broadcast_rows=max_broadcast_rows, max_buckets=max_break_s // bucket_s + 1)
+    start = F.unix_micros("wallclock")
+    joined = span_left_join(events, markers, start, start + span_us(F.col("duration_s")), ts=ts, key=F.col(key), span_key=F.col("channel"),
+                            bucket_s=interval_seconds(bucket), max_broadcast_rows=max_broadcast_rows)
+    added = ["channel", *[c for c in markers.columns if c not in events.columns and c != "channel"]]
+    return joined.select(*events.columns, *[F.col(f"_span.`{c}`").alias(c) for c in added])
 
 
 def asof_marker_join(events: DataFrame, markers: DataFrame, span: str = "2 minutes", *,

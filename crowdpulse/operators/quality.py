@@ -237,6 +237,30 @@ def schema_drift(raw: DataFrame, known_keys, value_col: str = "value") -> DataFr
         "known", F.col("key").isin(list(known_keys)))
 
 
+def nested_drift(raw: DataFrame, known_paths, value_col: str = "value") -> DataFrame:
+    """Every path of the payloads with its JSON types (F18): path (``device.type``, ``items[]`` for array elements), type,
+    rows that have it (an element counts each), share of all readable payloads, and whether the contract knows the path.
+
+    Payloads are parsed into variants, and each level of objects and arrays is exploded until nothing nested is left, so the
+    number of jobs is the depth of the deepest payload. A malformed payload has no paths; the top level has none itself."""
+    spark = raw.sparkSession
+    top = raw.select(F.try_parse_json(F.col(value_col).cast("string")).alias("v")).where(F.col("v").isNotNull())
+    payloads = top.count()
+    rows, levels = top.select(F.lit("").alias("path"), "v", F.regexp_extract(F.schema_of_variant("v"), "^[A-Z]+", 0).alias("type")), []
+    while True:
+        nested = rows.where(F.col("type").isin("OBJECT", "ARRAY"))
+        if nested.limit(1).count() == 0:
+            break
+        inner = nested.select("path", "v").lateralJoin(spark.tvf.variant_explode(F.col("v").outer()))
+        dot = F.when((F.col("path") == "") | F.col("key").isNull(), F.lit("")).otherwise(F.lit("."))
+        rows = inner.select(F.concat("path", dot, F.coalesce("key", F.lit("[]"))).alias("path"), F.col("value").alias("v"),
+                            F.regexp_extract(F.schema_of_variant("value"), "^[A-Z]+", 0).alias("type"))
+        levels.append(rows.groupBy("path", "type").agg(F.count(F.lit(1)).alias("rows")))
+    none = spark.createDataFrame([], "path string, type string, rows long")
+    every = reduce(DataFrame.unionByName, levels, none)
+    return every.select("path", "type", "rows", (F.col("rows").cast("double") / payloads).alias("share"), F.col("path").isin(list(known_paths)).alias("known"))
+
+
 def injection_audit(events: DataFrame) -> DataFrame:
     """Rows, event_ids seen more than once, v2 rows."""
     per_id = events.groupBy("event_id").agg(

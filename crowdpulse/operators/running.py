@@ -25,7 +25,8 @@ def running_agg(df: DataFrame, partition, order, value: Column | str, bucket: Co
     partition = list(partition)
     order = list(order)
     v = F.col(value) if isinstance(value, str) else value
-    b = df.withColumn("_v", v).withColumn(_B, bucket)
+    # dealt once by (partition, bucket): the window and the per-bucket aggregate share one exchange of the input
+    b = df.withColumn("_v", v).withColumn(_B, bucket).repartition(*partition, _B)
     hi = -1 if exclusive else 0
     w_local = Window.partitionBy(*partition, _B).orderBy(*order).rowsBetween(Window.unboundedPreceding, hi)
     b = b.withColumn("_local", agg("_v").over(w_local))

@@ -124,11 +124,12 @@ def stall_intervals(events: DataFrame, key: str = "session_id", ts: str = "times
 
 def rebuffer_ratio(events: DataFrame, key: str = "session_id", ts: str = "timestamp",
                    bucket: str = "1 hour") -> DataFrame:
-    """Stall time over watch time per session (SE4)."""
-    stalls = stall_intervals(events, key, ts, bucket).groupBy(key).agg(F.sum("stall_ms").alias("stall_ms"))
-    watch = session_summary(events, key, ts).select(key, (F.col("duration_s") * 1000).alias("watch_ms"))
-    j = watch.join(stalls, key, "left").fillna(0.0, ["stall_ms"])
-    return j.withColumn("rebuffer_ratio", F.when(F.col("watch_ms") > 0, F.col("stall_ms") / F.col("watch_ms")))
+    """Stall time over watch time per session (SE4), both from the same fragments: one pass over the events."""
+    from crowdpulse.operators.fragments import session_fragments, session_qoe
+    q = session_qoe(session_fragments(events, bucket, key, ts), key)
+    watch = (F.unix_micros("end_ts") - F.unix_micros("start_ts")) / F.lit(1_000_000.0) * 1000
+    return q.select(key, watch.alias("watch_ms"), "stall_ms").withColumn(
+        "rebuffer_ratio", F.when(F.col("watch_ms") > 0, F.col("stall_ms") / F.col("watch_ms")))
 
 
 def weighted_bitrate(events: DataFrame, key: str = "session_id", ts: str = "timestamp",
@@ -160,9 +161,11 @@ def ccv_sweep(sessions: DataFrame, key: str = "content_id", start: str = "sessio
     running sum per ``key`` over time (ends before starts at one instant).
     The running sum runs per (key, hour) with a carried offset. Returns each
     change point with the concurrency after it."""
-    deltas = _deltas(sessions, key, start, end)
-    return running_agg(deltas, [key], [F.col("t"), F.col("delta")], "delta",
-                       time_bucket("t", interval_seconds(bucket)), "concurrent")
+    # equal starts (or ends) at one instant are one row in the window, and come apart again behind it
+    net = _deltas(sessions, key, start, end).groupBy(key, "t", "delta").agg(F.count(F.lit(1)).alias("n"))
+    run = running_agg(net, [key], [F.col("t"), F.col("delta")], F.col("delta") * F.col("n"), time_bucket("t", interval_seconds(bucket)), "after")
+    each = run.select(key, "t", "delta", "after", "n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("i"))
+    return each.select(key, "t", "delta", (F.col("after") - F.col("delta") * (F.col("n") - F.col("i"))).alias("concurrent"))
 
 
 def _deltas(sessions: DataFrame, key: str, start: str, end: str) -> DataFrame:

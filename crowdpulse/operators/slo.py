@@ -29,10 +29,12 @@ def slo_freshness(df: DataFrame, event_col: str, emitted_col: str, max_s: float
 def slo_uniqueness(events: DataFrame, delay_s: int = 15, ts: str = "timestamp", key: str = "event_id") -> DataFrame:
     """Event ids seen again within the watermark delay of an earlier copy; the
     target is zero (SL2). The gap to the copy before decides, so no window edge
-    can part two copies; ids are many, each with a few rows."""
+    can part two copies. Copies at one instant are counted before the shuffle
+    and are near at once, so that a hot id is as many rows as it has times."""
+    times = events.groupBy(key, ts).agg((F.count(F.lit(1)) > 1).alias("again"))
     earlier = F.lag(ts).over(Window.partitionBy(key).orderBy(ts))
     near = (F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(earlier.cast("timestamp"))) <= int(delay_s * 1_000_000)
-    per = events.select(key, ts).withColumn("near", near).groupBy(key).agg(F.max("near").alias("near"))
+    per = times.withColumn("near", (F.col("again") & F.col(ts).isNotNull()) | F.coalesce(near, F.lit(False))).groupBy(key).agg(F.max("near").alias("near"))
     agg = per.agg(F.coalesce(F.sum(F.col("near").cast("long")), F.lit(0)).alias("duplicated_ids"))
     return _slo(agg, "uniqueness", F.col("duplicated_ids") == 0)
 

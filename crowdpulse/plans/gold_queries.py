@@ -9,7 +9,7 @@ from crowdpulse.operators import gold as G
 from crowdpulse.operators import serving as V
 from crowdpulse.operators import silver as S
 from crowdpulse.plans.oracle import CTES, SPAN_SQL, WINDOW_SQL, with_ctes
-from crowdpulse.plans.registry import SPAN, WINDOW, register
+from crowdpulse.plans.registry import ORACLES, SPAN, WINDOW, register
 from crowdpulse.plans.silver_queries import silver_table
 from crowdpulse.session import scratch_path
 from crowdpulse.sources import testmap as tm
@@ -187,6 +187,24 @@ def q_ccv_grouping_sets(spark, sf_dir):
     return V.ccv_grouping_sets(_events(spark, sf_dir), WINDOW)
 
 
+@register("ccv_grouping_sets_cells", ORACLES["ccv_grouping_sets"])
+def q_ccv_grouping_sets_cells(spark, sf_dir):
+    """The same figures from stored bitmap cells (A3, A21, A22): exact, with the cells alone."""
+    root = scratch_path(spark, "ccv-cells")
+    events = _events(spark, sf_dir)
+    V.ccv_cells(events, V.session_dictionary(events, f"{root}/sessions"), WINDOW).write.parquet(f"{root}/cells")
+    return V.ccv_grouping_sets_from_cells(spark.read.parquet(f"{root}/cells"))
+
+
+@register("ccv_by_region_cells", ORACLES["ccv_by_region"])
+def q_ccv_by_region_cells(spark, sf_dir):
+    """Sessions per (window, region) rolled up from cells of finer grain."""
+    root = scratch_path(spark, "ccv-cells")
+    events = _events(spark, sf_dir)
+    V.ccv_cells(events, V.session_dictionary(events, f"{root}/sessions"), WINDOW).write.parquet(f"{root}/cells")
+    return V.roll_up_cells(spark.read.parquet(f"{root}/cells"), ["window_start", "region"])
+
+
 @register("marker_impact", with_ctes(f"""
 WITH pw AS (SELECT window_start, CAST(SUM(ccv) AS BIGINT) AS ccv_all FROM silver GROUP BY 1),
 d AS (SELECT marker_id, MIN(window_start) AS first_window, MAX(window_start) AS last_window,
@@ -330,6 +348,31 @@ def q_idempotence_diff(spark, sf_dir):
                  F.coalesce(F.sum(F.when(F.col("side") == "only_b", F.col("copies"))), F.lit(0)).alias("only_b"))
 
 
+@register("idempotence_digest", with_ctes("""
+WITH m AS (SELECT MIN(marker_id) AS id FROM gold),
+c AS (SELECT COUNT(*) AS n FROM gold, m WHERE marker_id = m.id)
+SELECT side, CAST(n AS BIGINT) AS copies FROM c, (SELECT unnest(['only_a', 'only_b']) AS side) s""", "gold"))
+def q_idempotence_digest(spark, sf_dir):
+    """Two runs of Gold, the second with one marker's revenue changed (U4, J10, SK8): the digests name the dates, and the
+    comparison of those finds exactly its rows."""
+    root = scratch_path(spark, "digests")
+    gold_table(spark, sf_dir).write.parquet(f"{root}/first")
+    first = spark.read.parquet(f"{root}/first")
+    changed = F.col("marker_id") == F.lit(first.agg(F.min("marker_id")).first()[0])
+    raised = F.when(changed, F.coalesce("total_revenue_brl", F.lit(0.0)) + 1).otherwise(F.col("total_revenue_brl"))
+    first.withColumn("total_revenue_brl", raised).repartition(5, "region").write.parquet(f"{root}/second")
+    return G.digest_diff(first, spark.read.parquet(f"{root}/second")).groupBy("side").agg(F.sum("copies").alias("copies"))
+
+
+@register("check_ad_revenue", with_ctes("""
+SELECT 'ad_revenue_positive' AS "check", COUNT(*) FILTER (WHERE bad) = 0 AS passed, COUNT(*) FILTER (WHERE bad) AS failed_rows
+FROM (SELECT advertiser_name IS NOT NULL AND NOT COALESCE(total_revenue_brl > 0, FALSE) AS bad FROM gold) t""", "gold"))
+def q_check_ad_revenue(spark, sf_dir):
+    """Gold rows with an advertiser earn something (DQ7)."""
+    from crowdpulse.operators.quality import check_ad_revenue
+    return check_ad_revenue(gold_table(spark, sf_dir)).select("check", "passed", "failed_rows")
+
+
 @register("union_versions", with_ctes("""
 SELECT COALESCE(schema_version, 'v1') AS schema_version, COALESCE(network_type, 'unknown') AS network_type,
        COUNT(*) AS n_events

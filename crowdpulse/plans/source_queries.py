@@ -139,6 +139,31 @@ def q_schema_drift(spark, sf_dir):
     return Q.schema_drift(tm.raw_player_events(spark, sf_dir), KNOWN_EVENT_KEYS)
 
 
+_PATHS_SQL = """
+WITH f AS (SELECT * FROM pe_feed WHERE k <> 13),
+p AS (
+  SELECT unnest(['event_id', 'session_id', 'user_id', 'timestamp', 'event_type', 'content_id', 'device.model', 'device.os', 'device.app_version',
+                 'geo.state', 'geo.city', 'geo.isp']) AS path, 'STRING' AS type FROM f
+  UNION ALL SELECT unnest(['device', 'geo']), 'OBJECT' FROM f
+  UNION ALL SELECT 'is_live', 'BOOLEAN' FROM f
+  UNION ALL SELECT unnest(['buffer_length_ms', 'playhead_position_s']), 'BIGINT' FROM f
+  UNION ALL SELECT 'bitrate_kbps', CASE WHEN k = 19 THEN 'STRING' ELSE 'BIGINT' END FROM f
+  UNION ALL SELECT 'cdn', CASE WHEN cdn IS NULL THEN 'VOID' ELSE 'STRING' END FROM f WHERE k <> 17
+  UNION ALL SELECT 'error_code', CASE WHEN error_code IS NULL THEN 'VOID' ELSE 'STRING' END FROM f
+  UNION ALL SELECT 'geo.region', CASE WHEN region IS NULL THEN 'VOID' ELSE 'STRING' END FROM f
+  UNION ALL SELECT 'device.type', CASE WHEN device IS NULL THEN 'VOID' ELSE 'STRING' END FROM f
+  UNION ALL SELECT 'schema_version', 'STRING' FROM f WHERE schema_version IS NOT NULL
+  UNION ALL SELECT 'network_type', CASE WHEN network_type IS NULL THEN 'VOID' ELSE 'STRING' END FROM f WHERE schema_version IS NOT NULL)
+SELECT path, type, COUNT(*) AS rows, CAST(COUNT(*) AS DOUBLE) / (SELECT COUNT(*) FROM f) AS share,
+       path IN ('event_id', 'device', 'device.type', 'geo.region') AS known FROM p GROUP BY path, type"""
+
+
+@register("nested_drift", with_ctes(_PATHS_SQL, "pe_feed"))
+def q_nested_drift(spark, sf_dir):
+    """Every path of the wire payloads with its types (F18), against a contract of four paths."""
+    return Q.nested_drift(tm.raw_player_events(spark, sf_dir), ("event_id", "device", "device.type", "geo.region"))
+
+
 @register("injection_audit", with_ctes("""
 SELECT CAST(SUM(n) AS BIGINT) AS rows, CAST(SUM(CASE WHEN n > 1 THEN 1 ELSE 0 END) AS BIGINT) AS duplicated_ids,
        CAST(SUM(v2) AS BIGINT) AS v2_rows

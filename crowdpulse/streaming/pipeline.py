@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from crowdpulse.functions.columns import REGULAR_CONTENT
 from crowdpulse.operators.joins import ad_interval_join, label_ad_marker
 from crowdpulse.operators.silver import aggregate_qoe, aggregate_qoe_salted, silver_qoe
-from crowdpulse.sinks.writers import _trigger
+from crowdpulse.sinks.writers import _trigger, create_table
 from crowdpulse.sources.parse import filter_required, parse_player_events
 from crowdpulse.sources.readers import read_bronze
 
@@ -89,17 +89,51 @@ def late_rows(bronze_events: DataFrame, processed: DataFrame, keys=("event_id",
     return bronze_events.join(known, list(keys), "left_anti")
 
 
+ZONES = "event_date date, first_ts timestamp, last_ts timestamp"
+
+
+def zone_map(spark: SparkSession, bronze_path: str, zones_path: str, partition: str = "event_date") -> DataFrame:
+    """The least and greatest event time of each ingest date of Bronze (ST12, IO8), kept at ``zones_path``. Dates that the map
+    lacks are read, and those from its newest date on, which may have grown; ingest time only moves on, so older ones have
+    not. Only the payload's time is parsed."""
+    create_table(spark, zones_path, ZONES, [partition])
+    known = spark.read.schema(ZONES).parquet(zones_path)
+    dates = [r[0] for r in spark.read.parquet(bronze_path).select(partition).distinct().collect()]     # a row a day
+    held = {r[0] for r in known.select(partition).collect()}
+    todo = [d for d in dates if d not in held or d >= max(held)]
+    if todo:
+        raw = read_bronze(spark, bronze_path).where(F.col(partition).isin(todo))
+        times = raw.select(partition, F.try_to_timestamp(F.get_json_object(F.col("value").cast("string"), "$.timestamp")).alias("ts"))
+        zones = times.groupBy(partition).agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+        zones.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(zones_path)
+    return spark.read.schema(ZONES).parquet(zones_path)
+
+
+def dates_of(zones: DataFrame, start=None, end=None, partition: str = "event_date") -> list:
+    """Ingest dates that hold events of the days from ``start`` to ``end``."""
+    hit = zones.where("first_ts IS NOT NULL")
+    if start is not None:
+        hit = hit.where(F.col("last_ts") >= F.date_trunc("day", F.lit(start).cast("timestamp")))
+    if end is not None:
+        hit = hit.where(F.date_trunc("day", F.col("first_ts")) < F.lit(end).cast("timestamp"))
+    return sorted(r[0] for r in hit.select(partition).collect())
+
+
 def backfill(spark: SparkSession, bronze_path: str, silver_path: str, markers: DataFrame, start=None, end=None,
              window: str = "1 minute", span: str = "2 minutes", partition: str = "event_date",
-             ingested_from=None) -> DataFrame:
+             ingested_from=None, zones_path: str | None = None) -> DataFrame:
     """Recompute Silver from Bronze for the dates that event time ``[start, end)`` touches (ST12, ST11): exact CCV,
     then a dynamic overwrite of those date partitions.
 
     A partition is replaced whole, so it is also recomputed whole: a range inside a day covers that day. Events are chosen
     by their own time alone - however late they came, and also if a device clock ran ahead of ingest. A rerun is
-    idempotent. A caller that knows how early such events can have come may prune Bronze with ``ingested_from``.
-    Returns the Silver table."""
-    events = filter_required(parse_player_events(read_bronze(spark, bronze_path, ingested_from)))
+    idempotent. With ``zones_path`` a zone map is kept there, and only the ingest dates that hold events of the range are
+    read, without any assumption on lateness; a caller that knows how early such events can have come may prune Bronze
+    with ``ingested_from`` instead. Returns the Silver table."""
+    bronze = read_bronze(spark, bronze_path, ingested_from)
+    if zones_path is not None:
+        bronze = bronze.where(F.col("event_date").isin(dates_of(zone_map(spark, bronze_path, zones_path), start, end)))
+    events = filter_required(parse_player_events(bronze))
     day = F.date_trunc("day", F.col("timestamp"))
     if start is not None:
         events = events.where(day >= F.date_trunc("day", F.lit(start).cast("timestamp")))
