@@ -6,10 +6,10 @@ of digests and XOR of their checks. The sketch of ``BASE`` cells per subtable, w
 
 Subtracting two sketches cancels what the texts share. Peeling then recovers the differing digests: a cell with a count of
 plus or minus one whose check fits holds a single digest, which is taken out of its other cells, until nothing is left. The
-number recovered, with both set sizes, gives the likeness (shared over distinct digests). Where the base sketch
-is too small for the difference, the pair is tried again with a larger one, sized by the sets and doubled until
-every pair is solved. Base sketches are peeled inside the row; the larger ones as rows (pair, cell) that never leave
-their partition: each round takes the single digests of one subtable, so no digest is taken out twice.
+recovered digests are returned; their number, with both set sizes, gives the likeness (shared over distinct digests). Where
+the base sketch is too small for the difference, the pair is tried again with one of twice the size, hashed anew, until it
+comes out. A sketch is kept as its cells that hold something, in order, so that building, subtracting and peeling take time
+in proportion to the digests, and all of it happens inside the pair's row: no task holds more than its current row.
 
 ``versions`` pairs each text with its edited text and the next document. The order of documents comes from a table of
 ids only: range-partitioned, numbered inside each partition, and linked across the partitions' borders by a small table.
@@ -21,8 +21,6 @@ document; a single document is its own next one; an empty table gives an empty r
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,11 +30,12 @@ PIECE = 128
 BASE = 8            # cells per subtable of the written fingerprint
 SUBTABLES = 3
 FIRST = -(1 << 63)  # stands for a null id (no document has it)
-ROUNDS = 12         # peeling rounds before a larger sketch is tried
+ROUNDS = 60         # peeling rounds before a larger sketch is tried; a sketch that comes out needs far fewer
+ATTEMPTS = 26       # the last one has room for any array's digests
 
 
 def digest_set(text: Column) -> Column:
-    """Distinct 32-bit digests of the text's pieces."""
+    """Distinct 31-bit digests of the text's pieces."""
     return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(f"[^\\n]{{1,{PIECE}}}"), F.lit(0)),
                                         lambda p: F.xxhash64(p).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")))
 
@@ -45,88 +44,105 @@ def check(k: Column) -> Column:
     return F.xxhash64(k.cast("long"), F.lit(101))
 
 
-def cell_of(k: Column, t: int, size: Column | int, attempt: int = 0) -> Column:
+def cell_of(k: Column, t: Column | int, size: Column | int, attempt: Column | int = 0) -> Column:
     """The digest's cell in subtable t of ``size`` cells, counted over all subtables. Each attempt hashes anew, so that
     digests which shared their cells in one sketch part in the next."""
     size = F.lit(size) if isinstance(size, int) else size
-    return (F.pmod(F.xxhash64(k.cast("long"), F.lit(t + SUBTABLES * attempt)), size.cast("long")) + size * t).cast("int")
+    attempt = F.lit(attempt) if isinstance(attempt, int) else attempt
+    seed = (F.lit(t) if isinstance(t, int) else t) + SUBTABLES * attempt
+    return (F.pmod(F.xxhash64(k.cast("long"), seed.cast("int")), size.cast("long")) + size * t).cast("int")
 
 
-def sketch(digests: Column, size: int = BASE) -> Column:
-    """array<struct<c, k, s>> of the three subtables."""
-    marked = F.transform(digests, lambda k: F.struct(k.cast("long").alias("k"), check(k).alias("s"), F.array(*[cell_of(k, t, size) for t in range(SUBTABLES)]).alias("at")))
-    zero = F.struct(F.lit(0).alias("c"), F.lit(0).cast("long").alias("k"), F.lit(0).cast("long").alias("s"))
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once: an array of one element stands in for a local variable."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
-    def put(cells: Column, x: Column) -> Column:
-        return F.transform(cells, lambda y, i: F.when(F.array_contains(x["at"], i), F.struct(
-            (y["c"] + 1).alias("c"), y["k"].bitwiseXOR(x["k"]).alias("k"), y["s"].bitwiseXOR(x["s"]).alias("s"))).otherwise(y))
 
-    # the digests are the folded side, so each is hashed once
-    return F.aggregate(marked, F.array_repeat(zero, SUBTABLES * size), put)
+def _folded(entries: Column) -> Column:
+    """Entries struct<cell, c, k, s> summed by cell, in the order of the cells; cells that come to nothing are left out."""
+    def runs(e: Column) -> Column:
+        # places at which a cell begins, then the sum of each stretch: linear in the sorted entries
+        first = F.filter(F.sequence(F.lit(1), F.size(e)), lambda i: (i == 1) | (F.element_at(e, i)["cell"] != F.element_at(e, F.greatest(i - 1, F.lit(1)))["cell"]))
 
+        def stretches(f: Column) -> Column:
+            return F.zip_with(f, F.concat(F.slice(f, 2, F.size(f)), F.array(F.size(e) + 1)), lambda i, j: _let(F.slice(e, i, j - i), total))
 
-def written(cells: Column) -> Column:
-    """The sketch as a string: count.digests.checks in hexadecimal, a comma after each cell."""
-    return F.array_join(F.transform(cells, lambda x: F.when(x["c"] == 0, F.lit("")).otherwise(
-        F.concat_ws(".", F.hex(x["c"]), F.hex(x["k"]), F.hex(x["s"])))), ",")
+        return _let(first, stretches)
 
+    def total(own: Column) -> Column:
+        start = F.element_at(own, 1)
+        return F.aggregate(F.slice(own, 2, F.size(own)), start, lambda x, y: F.struct(
+            x["cell"].alias("cell"), (x["c"] + y["c"]).alias("c"), x["k"].bitwiseXOR(y["k"]).alias("k"), x["s"].bitwiseXOR(y["s"]).alias("s")))
 
-def _single(x: Column) -> Column:
-    return (F.abs(x["c"]) == 1) & (x["s"] == check(x["k"]))
+    summed = F.when(F.size(entries) > 0, _let(F.sort_array(entries), runs)).otherwise(entries)
+    return F.filter(summed, lambda x: (x["c"] != 0) | (x["k"] != 0) | (x["s"] != 0))
 
 
-def peel_in_row(a: Column, b: Column, size: int = BASE) -> Column:
-    """Digests recovered from the difference of two base sketches, or null if it does not come out."""
-    left = F.zip_with(a, b, lambda x, y: F.struct((x["c"] - y["c"]).alias("c"), x["k"].bitwiseXOR(y["k"]).alias("k"), x["s"].bitwiseXOR(y["s"]).alias("s")))
+def _entry(cell: Column, c: Column, k: Column, s: Column) -> Column:
+    return F.struct(cell.cast("int").alias("cell"), c.cast("int").alias("c"), k.cast("long").alias("k"), s.alias("s"))
 
-    def step(state: Column, _: Column) -> Column:
-        found = F.slice(F.filter(state["cells"], _single), 1, 1)
 
-        def without(p: Column) -> Column:
-            gone = F.array(*[cell_of(p["k"], t, size) for t in range(SUBTABLES)])
-            return F.transform(state["cells"], lambda x, i: F.when(F.array_contains(gone, i), F.struct(
-                (x["c"] - p["c"]).alias("c"), x["k"].bitwiseXOR(p["k"]).alias("k"), x["s"].bitwiseXOR(p["s"]).alias("s"))).otherwise(x))
+def sketch(digests: Column, size: Column | int = BASE, attempt: Column | int = 0) -> Column:
+    """array<struct<cell, c, k, s>> of the three subtables' cells that hold something, in order."""
+    def marked(k: Column) -> Column:
+        return F.array(*[_entry(cell_of(k, t, size, attempt), F.lit(1), k, check(k)) for t in range(SUBTABLES)])
 
-        # one element or none: the array stands in for a local variable
-        next_state = F.transform(found, lambda p: F.struct(without(p).alias("cells"), (state["n"] + 1).alias("n"), F.lit(False).alias("stuck")))
-        stuck = F.struct(state["cells"].alias("cells"), state["n"].alias("n"), F.lit(True).alias("stuck"))
-        return F.when(state["stuck"], state).otherwise(F.coalesce(F.try_element_at(next_state, F.lit(1)), stuck))
+    return _folded(F.flatten(F.transform(digests, marked)))
 
-    def result(state: Column) -> Column:
-        return F.when(~F.exists(state["cells"], lambda x: (x["c"] != 0) | (x["k"] != 0)), state["n"])
 
-    start = F.struct(left.alias("cells"), F.lit(0).alias("n"), F.lit(False).alias("stuck"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(SUBTABLES * size)), start, step, result)
+def subtracted(a: Column, b: Column) -> Column:
+    """The difference of two sketches of one size: what both sets hold is gone."""
+    return _folded(F.concat(a, F.transform(b, lambda x: _entry(x["cell"], -x["c"], x["k"], x["s"]))))
 
 
-def peel_larger(pairs: DataFrame, key: list[str], scale: int) -> DataFrame:
-    """key and ``recovered`` (null: not solved) of pairs (key, a, b), by sketches with room for ``scale`` times half the
-    sets' digests. ``pairs`` is clustered by (a part of) the key, and all rows of a pair stay in their partition."""
-    size = F.pow(F.lit(2), F.ceil(F.log2(F.greatest((F.size("a") + F.size("b")) * (0.6 * scale), F.lit(16))))).cast("int")
-    rows = pairs.withColumn("size", size)
-    signed = F.concat(F.transform("a", lambda k: F.struct(k.cast("long").alias("k"), F.lit(1).alias("c"))),
-                      F.transform("b", lambda k: F.struct(k.cast("long").alias("k"), F.lit(-1).alias("c"))))
-    rows = rows.select(*key, "size", F.explode_outer(signed).alias("x")).where("x is not null")
-    cells = F.array(*[F.struct(cell_of(F.col("x.k"), t, F.col("size"), scale).alias("cell"), F.col("x.c").alias("c"), F.col("x.k").alias("k"), check(F.col("x.k")).alias("s"))
-                      for t in range(SUBTABLES)])
-    state = rows.select(*key, "size", F.inline_outer(cells))
+def written(cells: Column) -> Column:
+    """The base sketch as a string: count.digests.checks in hexadecimal, a comma after each cell."""
+    text = F.map_from_entries(F.transform(cells, lambda x: F.struct(x["cell"], F.concat_ws(".", F.hex(x["c"]), F.hex(x["k"]), F.hex(x["s"])))))
+    return _let(text, lambda m: F.array_join(F.transform(F.sequence(F.lit(0), F.lit(SUBTABLES * BASE - 1)), lambda i: F.coalesce(F.try_element_at(m, i), F.lit(""))), ","))
+
 
-    def summed(df: DataFrame) -> DataFrame:
-        # a cell of -1 counts what was recovered
-        return (df.groupBy(*key, "size", "cell").agg(F.sum("c").cast("int").alias("c"), F.bit_xor("k").alias("k"), F.bit_xor("s").alias("s"))
-                .where("c <> 0 or k <> 0 or s <> 0"))
+def peeled(difference: Column, size: Column | int, attempt: Column | int = 0) -> Column:
+    """array<struct<k, c>> of the digests recovered from a difference (c: 1 only in the first set, -1 only in the second), or
+    null if it does not come out. A round takes the single digests of one subtable at once, each of which stands in one
+    cell there, out of the other two."""
+    size_c = F.lit(size) if isinstance(size, int) else size
+    none = F.array().cast("array<struct<k:bigint,c:int>>")
 
-    state = summed(state)
-    for r in range(ROUNDS):
+    def step(state: Column, r: Column) -> Column:
         t = r % SUBTABLES
-        row = F.struct("cell", "c", "k", "s")
-        single = (F.col("cell") >= F.col("size") * t) & (F.col("cell") < F.col("size") * (t + 1)) & (F.abs("c") == 1) & (F.col("s") == check(F.col("k")))
-        zero = F.lit(0).cast("long")
-        taken = [F.struct(F.lit(-1).alias("cell"), F.lit(1).alias("c"), zero.alias("k"), zero.alias("s"))]
-        taken += [F.struct(cell_of(F.col("k"), u, F.col("size"), scale).alias("cell"), (-F.col("c")).alias("c"), F.col("k").alias("k"), F.col("s").alias("s"))
-                  for u in range(SUBTABLES) if u != t]
-        state = summed(state.select(*key, "size", F.inline_outer(F.when(single, F.array(*taken)).otherwise(F.array(row)))))
-    return state.groupBy(*key).agg(F.when(F.max("cell") < 0, F.sum("c")).cast("int").alias("recovered"))
+
+        def single(x: Column) -> Column:
+            return (x["cell"] >= size_c * t) & (x["cell"] < size_c * (t + 1)) & (F.abs(x["c"]) == 1) & (x["s"] == check(x["k"]))
+
+        def out(p: Column) -> Column:
+            cells = F.filter(F.array(*[cell_of(p["k"], u, size, attempt) for u in range(SUBTABLES)]), lambda at: at != p["cell"])
+            return F.transform(cells, lambda at: _entry(at, -p["c"], p["k"], p["s"]))
+
+        def taken(found: Column) -> Column:
+            left = _folded(F.concat(F.filter(state["cells"], lambda x: ~single(x)), F.flatten(F.transform(found, out))))
+            return F.when(F.size(found) == 0, F.struct(state["cells"].alias("cells"), state["found"].alias("found"), (state["idle"] + 1).alias("idle"))).otherwise(
+                F.struct(left.alias("cells"), F.concat(state["found"], F.transform(found, lambda p: F.struct(p["k"].alias("k"), p["c"].alias("c")))).alias("found"),
+                         F.lit(0).alias("idle")))
+
+        ended = (F.size(state["cells"]) == 0) | (state["idle"] >= SUBTABLES)
+        return F.when(ended, state).otherwise(_let(F.filter(state["cells"], single), taken))
+
+    start = F.struct(difference.alias("cells"), none.alias("found"), F.lit(0).alias("idle"))
+    return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, step, lambda st: F.when(F.size(st["cells"]) == 0, st["found"]))
+
+
+def recovered(a: Column, b: Column, base_a: Column, base_b: Column) -> Column:
+    """array<struct<k, c>> of the digests in which two sets differ, by their sketches: first the base ones, then sketches of
+    twice the size (at least with room for the difference of the two counts), hashed anew, until one comes out."""
+    least = F.abs(F.size(a) - F.size(b)) * 0.45      # three subtables of 0.45 cells a digest peel well
+
+    def larger(state: Column, attempt: Column) -> Column:
+        size = F.greatest(state["size"] * 2, F.ceil(least).cast("int"))
+        tried = _let(size, lambda n: F.struct(n.alias("size"), peeled(subtracted(sketch(a, n, attempt), sketch(b, n, attempt)), n, attempt).alias("found")))
+        return F.when(state["found"].isNotNull(), state).otherwise(tried)
+
+    start = F.struct(F.lit(BASE).alias("size"), peeled(subtracted(base_a, base_b), BASE).alias("found"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(ATTEMPTS)), start, larger, lambda st: st["found"])
 
 
 def likeness(a: Column, b: Column, differing: Column) -> Column:
@@ -168,35 +184,27 @@ def versions(docs: DataFrame) -> DataFrame:
                        digest_set(F.col("text")).alias("own"), digest_set(F.col("edited_text")).alias("edited"), "next")
 
 
-def compare(sets: DataFrame, key: list[str], own: str, others: list[str]) -> DataFrame:
-    """key and one column per other set: how many digests of ``own`` and of that set differ, by sketches alone."""
-    sketched = sets.withColumn("sketched", sketch(F.col(own)))
-    found = [peel_in_row(F.col("sketched"), sketch(F.col(x))).alias(x) for x in others]
-    base = stash(sketched.select(*key, *found), "base-peeled")
-    missing = F.array_compact(F.array(*[F.when(F.col(x).isNull(), F.lit(i)) for i, x in enumerate(others)]))
-    open_kinds, solved, scale = base.select(*key, missing.alias("kinds")).where(F.size("kinds") > 0), [], 1
-    while True:
-        # the join clusters the sets by key; nothing after it leaves its partition
-        held = sets.select(*key, own, *others).join(open_kinds.hint("shuffle_hash"), key)
-        pairs = held.withColumn("kind", F.explode_outer("kinds")).select(
-            *key, "kind", F.col(own).alias("a"), F.element_at(F.array(*others), F.col("kind") + 1).alias("b"))
-        larger = stash(peel_larger(pairs, [*key, "kind"], scale), "peeled")
-        solved.append(larger.where("recovered is not null"))
-        rest = larger.where("recovered is null")
-        if not rest.limit(1).count():
-            break
-        open_kinds, scale = rest.groupBy(*key).agg(F.collect_list("kind").alias("kinds")), scale * 2
-    per = reduce(DataFrame.unionByName, solved).groupBy(*key).agg(
-        *[F.max(F.when(F.col("kind") == i, F.col("recovered"))).alias(f"larger_{x}") for i, x in enumerate(others)])
-    return base.join(per, key, "left").select(*key, *[F.coalesce(F.col(x), F.col(f"larger_{x}")).alias(x) for x in others])
+def compare(sets: DataFrame, own: str, others: list[str]) -> DataFrame:
+    """``sets`` with the base sketch of each of its sets (sketch_<set>), and for each other set the digests in which it
+    differs from ``own``: only_<own>_<set>, only_<set>. Sketches of one row are compared in that row, without a shuffle."""
+    names = [own, *others]
+    sketched = sets.withColumns({f"sketch_{x}": sketch(F.col(x)) for x in names})
+    found = sketched.withColumns({f"_{x}": recovered(F.col(own), F.col(x), F.col(f"sketch_{own}"), F.col(f"sketch_{x}")) for x in others})
+
+    def side(x: str, c: int) -> Column:
+        return F.transform(F.filter(f"_{x}", lambda p: p["c"] == c), lambda p: p["k"].cast("int"))
+
+    return found.select(*sets.columns, *[f"sketch_{x}" for x in names],
+                        *[col for x in others for col in (side(x, 1).alias(f"only_{own}_{x}"), side(x, -1).alias(f"only_{x}"))])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
-    made = stash(versions(docs), "versions")
-    found = compare(made, ["did", "h"], "own", ["edited", "next"])
-    each = found.select("did", "h", F.col("edited").alias("de"), F.col("next").alias("dn"))
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, and the digests that the edit
+    took away and brought (removed, added)."""
+    made = compare(stash(versions(docs), "versions"), "own", ["edited", "next"])
     sizes = {x: F.size(x) for x in ("own", "edited", "next")}
-    return made.join(each, ["did", "h"]).select(
-        "doc_id", "n_chars", "edited_sha256", written(sketch(F.col("own"))).alias("fingerprint"), written(sketch(F.col("edited"))).alias("edited_fingerprint"),
-        likeness(sizes["own"], sizes["edited"], F.col("de")).alias("near_edited"), likeness(sizes["own"], sizes["next"], F.col("dn")).alias("near_next"))
+    differ = {x: F.size(f"only_own_{x}") + F.size(f"only_{x}") for x in ("edited", "next")}
+    return made.select(
+        "doc_id", "n_chars", "edited_sha256", written(F.col("sketch_own")).alias("fingerprint"), written(F.col("sketch_edited")).alias("edited_fingerprint"),
+        likeness(sizes["own"], sizes["edited"], differ["edited"]).alias("near_edited"), likeness(sizes["own"], sizes["next"], differ["next"]).alias("near_next"),
+        F.sort_array("only_own_edited").alias("removed"), F.sort_array("only_edited").alias("added"))
