@@ -7,9 +7,10 @@ of digests and XOR of their checks. The sketch of ``BASE`` cells per subtable, w
 Subtracting two sketches cancels what the texts share. Peeling then recovers the differing digests: a cell with a count of
 plus or minus one whose check fits holds a single digest, which is taken out of its other cells, until nothing is left. The
 recovered digests are returned; their number, with both set sizes, gives the likeness (shared over distinct digests). Where
-the base sketch is too small for the difference, the pair is tried again with one of twice the size, hashed anew, until it
-comes out. A sketch is kept as its cells that hold something, in order, so that building, subtracting and peeling take time
-in proportion to the digests, and all of it happens inside the pair's row: no task holds more than its current row.
+the base sketch is too small for the difference, the pair is tried again with a larger one, hashed anew, until it comes out:
+first with room for the difference that the base sketch lets expect (its counts' squares estimate it), then doubled. Base
+sketches are peeled inside the row; the larger ones as rows (pair, cell), only cells that hold something, that never leave
+their partition; partitions are as many as the digests need.
 
 ``versions`` pairs each text with its edited text and the next document. The order of documents comes from a table of
 ids only: range-partitioned, numbered inside each partition, and linked across the partitions' borders by a small table.
@@ -21,6 +22,8 @@ document; a single document is its own next one; an empty table gives an empty r
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,8 +33,11 @@ PIECE = 128
 BASE = 8            # cells per subtable of the written fingerprint
 SUBTABLES = 3
 FIRST = -(1 << 63)  # stands for a null id (no document has it)
-ROUNDS = 60         # peeling rounds before a larger sketch is tried; a sketch that comes out needs far fewer
-ATTEMPTS = 26       # the last one has room for any array's digests
+ROUNDS = 12         # peeling rounds of a base sketch
+LARGER_ROUNDS = 5   # and of a larger one, which is retried at twice the size if they don't do
+ROOM = 4            # cells a subtable that a larger sketch has for each digest thought to differ
+ATTEMPTS = 20       # doublings
+PARTITION_CELLS = 1 << 20   # entries of larger sketches in a partition
 
 
 def digest_set(text: Column) -> Column:
@@ -58,36 +64,62 @@ def _let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _folded(entries: Column) -> Column:
-    """Entries struct<cell, c, k, s> summed by cell, in the order of the cells; cells that come to nothing are left out."""
+def _by_cell(entries: Column, cell, total) -> Column:
+    """``total`` of each stretch of entries with one cell, in the order of the cells; linear in the sorted entries."""
     def runs(e: Column) -> Column:
-        # places at which a cell begins, then the sum of each stretch: linear in the sorted entries
-        first = F.filter(F.sequence(F.lit(1), F.size(e)), lambda i: (i == 1) | (F.element_at(e, i)["cell"] != F.element_at(e, F.greatest(i - 1, F.lit(1)))["cell"]))
+        first = F.filter(F.sequence(F.lit(1), F.size(e)), lambda i: (i == 1) | (cell(F.element_at(e, i)) != cell(F.element_at(e, F.greatest(i - 1, F.lit(1))))))
 
         def stretches(f: Column) -> Column:
             return F.zip_with(f, F.concat(F.slice(f, 2, F.size(f)), F.array(F.size(e) + 1)), lambda i, j: _let(F.slice(e, i, j - i), total))
 
         return _let(first, stretches)
 
-    def total(own: Column) -> Column:
-        start = F.element_at(own, 1)
-        return F.aggregate(F.slice(own, 2, F.size(own)), start, lambda x, y: F.struct(
-            x["cell"].alias("cell"), (x["c"] + y["c"]).alias("c"), x["k"].bitwiseXOR(y["k"]).alias("k"), x["s"].bitwiseXOR(y["s"]).alias("s")))
+    summed = _let(F.sort_array(entries), runs)
+    return F.when(F.size(entries) > 0, F.filter(summed, lambda x: (x["c"] != 0) | (x["k"] != 0) | (x["s"] != 0))).otherwise(F.array().cast(CELLS))
 
-    summed = F.when(F.size(entries) > 0, _let(F.sort_array(entries), runs)).otherwise(entries)
-    return F.filter(summed, lambda x: (x["c"] != 0) | (x["k"] != 0) | (x["s"] != 0))
+
+CELLS = "array<struct<cell:int,c:int,k:bigint,s:bigint>>"
 
 
 def _entry(cell: Column, c: Column, k: Column, s: Column) -> Column:
     return F.struct(cell.cast("int").alias("cell"), c.cast("int").alias("c"), k.cast("long").alias("k"), s.alias("s"))
 
 
-def sketch(digests: Column, size: Column | int = BASE, attempt: Column | int = 0) -> Column:
-    """array<struct<cell, c, k, s>> of the three subtables' cells that hold something, in order."""
-    def marked(k: Column) -> Column:
-        return F.array(*[_entry(cell_of(k, t, size, attempt), F.lit(1), k, check(k)) for t in range(SUBTABLES)])
+def _sum(x: Column, c: Column, k: Column, s: Column) -> Column:
+    return _entry(x["cell"], x["c"] + c, x["k"].bitwiseXOR(k), x["s"].bitwiseXOR(s))
+
+
+def _folded(entries: Column) -> Column:
+    """Entries struct<cell, c, k, s> summed by cell; cells that come to nothing are left out."""
+    def total(own: Column) -> Column:
+        return F.aggregate(F.slice(own, 2, F.size(own)), F.element_at(own, 1), lambda x, y: _sum(x, y["c"], y["k"], y["s"]))
+
+    return _by_cell(entries, lambda x: x["cell"], total)
+
 
-    return _folded(F.flatten(F.transform(digests, marked)))
+def difference(a: Column, b: Column | None, size: Column | int = BASE, attempt: Column | int = 0) -> Column:
+    """array<struct<cell, c, k, s>>: the sketch of ``a`` less that of ``b``. Cells are sums, so both are added up at once. An
+    entry is sorted as one number: cell, digest and side."""
+    def marks(digests: Column, side: int) -> Column:
+        def of(k: Column) -> Column:
+            low = F.shiftleft(k.cast("long"), 1).bitwiseOR(F.lit(side).cast("long"))
+            return F.array(*[F.shiftleft(cell_of(k, t, size, attempt).cast("long"), 32).bitwiseOR(low) for t in range(SUBTABLES)])
+        return F.flatten(F.transform(digests, of))
+
+    def total(own: Column) -> Column:
+        def add(x: Column, y: Column) -> Column:
+            return _let(F.shiftright(y, 1).bitwiseAND(F.lit(0x7FFFFFFF).cast("long")),
+                        lambda k: _sum(x, F.lit(1) - 2 * y.bitwiseAND(F.lit(1).cast("long")).cast("int"), k, check(k)))
+        zero = F.lit(0).cast("long")
+        return F.aggregate(own, _entry(F.shiftright(F.element_at(own, 1), 32), F.lit(0), zero, zero), add)
+
+    entries = marks(a, 0) if b is None else F.concat(marks(a, 0), marks(b, 1))
+    return _by_cell(entries, lambda y: F.shiftright(y, 32), total)
+
+
+def sketch(digests: Column, size: Column | int = BASE, attempt: Column | int = 0) -> Column:
+    """The three subtables' cells that hold something, in order."""
+    return difference(digests, None, size, attempt)
 
 
 def subtracted(a: Column, b: Column) -> Column:
@@ -131,18 +163,41 @@ def peeled(difference: Column, size: Column | int, attempt: Column | int = 0) ->
     return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, step, lambda st: F.when(F.size(st["cells"]) == 0, st["found"]))
 
 
-def recovered(a: Column, b: Column, base_a: Column, base_b: Column) -> Column:
-    """array<struct<k, c>> of the digests in which two sets differ, by their sketches: first the base ones, then sketches of
-    twice the size (at least with room for the difference of the two counts), hashed anew, until one comes out."""
-    least = F.abs(F.size(a) - F.size(b)) * 0.45      # three subtables of 0.45 cells a digest peel well
+def estimate(difference: Column, a: Column, b: Column) -> Column:
+    """About how many digests differ, from the counts of a base difference: the mean over the subtables of the sum of their
+    squares, less what the difference of the two set sizes adds to it (standard error about 0.3 of the value)."""
+    squares = F.aggregate(difference, F.lit(0.0), lambda acc, x: acc + x["c"] * x["c"]) / SUBTABLES
+    gap = (F.size(a) - F.size(b)).cast("double")
+    return F.greatest((squares - gap * gap / BASE) * BASE / (BASE - 1), F.abs(gap))
 
-    def larger(state: Column, attempt: Column) -> Column:
-        size = F.greatest(state["size"] * 2, F.ceil(least).cast("int"))
-        tried = _let(size, lambda n: F.struct(n.alias("size"), peeled(subtracted(sketch(a, n, attempt), sketch(b, n, attempt)), n, attempt).alias("found")))
-        return F.when(state["found"].isNotNull(), state).otherwise(tried)
 
-    start = F.struct(F.lit(BASE).alias("size"), peeled(subtracted(base_a, base_b), BASE).alias("found"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(ATTEMPTS)), start, larger, lambda st: st["found"])
+def peel_larger(pairs: DataFrame, key: list[str], attempt: int) -> DataFrame:
+    """key, ``open`` (cells left) and ``found`` (array<struct<k, c>>) of pairs (key, size, a, b), by sketches of ``size`` cells a
+    subtable in rows (pair, cell), kept where they hold something. All rows of a pair stay in their partition.
+
+    At a quarter of a digest a cell nearly all are single somewhere, so that a few rounds solve nearly all pairs; a round
+    moves the single digests of one subtable out of the other two, into rows of their own (cells below 0)."""
+    def signed(c: str, sign: int) -> Column:
+        return F.transform(c, lambda k: F.struct(k.cast("long").alias("k"), F.lit(sign).alias("c")))
+
+    rows = pairs.select(*key, "size", F.explode(F.concat(signed("a", 1), signed("b", -1))).alias("x")).select(*key, "size", "x.k", "x.c")
+    rows = rows.withColumn("s", check(F.col("k")))
+    cells = [F.struct(cell_of(F.col("k"), t, F.col("size"), attempt).alias("cell"), "c", "k", "s") for t in range(SUBTABLES)]
+
+    def summed(df: DataFrame) -> DataFrame:
+        return (df.groupBy(*key, "size", "cell").agg(F.sum("c").cast("int").alias("c"), F.bit_xor("k").alias("k"), F.bit_xor("s").alias("s"))
+                .where("c <> 0 or k <> 0 or s <> 0"))
+
+    state = summed(rows.select(*key, "size", F.inline(F.array(*cells))))
+    for r in range(LARGER_ROUNDS):
+        t = r % SUBTABLES
+        single = (F.col("cell") >= F.col("size") * t) & (F.col("cell") < F.col("size") * (t + 1)) & (F.abs("c") == 1) & (F.col("s") == check(F.col("k")))
+        taken = [F.struct((-1 - F.col("k")).cast("int").alias("cell"), "c", "k", "s")]
+        taken += [F.struct(cell_of(F.col("k"), u, F.col("size"), attempt).alias("cell"), (-F.col("c")).alias("c"), F.col("k").alias("k"), F.col("s").alias("s"))
+                  for u in range(SUBTABLES) if u != t]
+        state = summed(state.select(*key, "size", F.inline(F.when(single, F.array(*taken)).otherwise(F.array(F.struct("cell", "c", "k", "s"))))))
+    return state.groupBy(*key).agg(F.sum((F.col("cell") >= 0).cast("int")).alias("open"),
+                                   F.collect_list(F.when(F.col("cell") < 0, F.struct("k", "c"))).alias("found"))
 
 
 def likeness(a: Column, b: Column, differing: Column) -> Column:
@@ -184,24 +239,47 @@ def versions(docs: DataFrame) -> DataFrame:
                        digest_set(F.col("text")).alias("own"), digest_set(F.col("edited_text")).alias("edited"), "next")
 
 
-def compare(sets: DataFrame, own: str, others: list[str]) -> DataFrame:
-    """``sets`` with the base sketch of each of its sets (sketch_<set>), and for each other set the digests in which it
-    differs from ``own``: only_<own>_<set>, only_<set>. Sketches of one row are compared in that row, without a shuffle."""
-    names = [own, *others]
+def compare(sets: DataFrame, key: list[str], own: str, others: list[str]) -> DataFrame:
+    """``sets`` with the base sketch of each of its sets (sketch_<set>), and for each other set the digests in which it differs
+    from ``own``: only_<own>_<set>, only_<set>. Base sketches are subtracted and peeled in their row; pairs that differ too
+    much for that go on with larger ones."""
+    spark, names = sets.sparkSession, [own, *others]
     sketched = sets.withColumns({f"sketch_{x}": sketch(F.col(x)) for x in names})
-    found = sketched.withColumns({f"_{x}": recovered(F.col(own), F.col(x), F.col(f"sketch_{own}"), F.col(f"sketch_{x}")) for x in others})
+    less = sketched.withColumns({f"_{x}": subtracted(F.col(f"sketch_{own}"), F.col(f"sketch_{x}")) for x in others})
+    about = less.withColumns({f"about_{x}": estimate(F.col(f"_{x}"), F.col(own), F.col(x)) for x in others})
+    # a base sketch can't give back more digests than it has cells
+    tried = {f"found_{x}": F.when(F.col(f"about_{x}") <= 1.5 * SUBTABLES * BASE, peeled(F.col(f"_{x}"), BASE)) for x in others}
+    base = stash(about.withColumns(tried).drop(*[f"_{x}" for x in others]), "base-peeled")
+    size = F.pow(F.lit(2), F.ceil(F.log2(F.greatest(F.col("about") * ROOM, F.lit(4.0 * BASE))))).cast("int")
+    kinds = F.array_compact(F.array(*[F.when(F.col(f"found_{x}").isNull(), F.struct(F.lit(i).alias("kind"), F.col(f"about_{x}").alias("about"))) for i, x in enumerate(others)]))
+    asked = base.select(*key, F.inline(kinds)).select(*key, "kind", size.alias("size"))
+    entries = base.agg(F.sum(sum(F.size(x).cast("long") for x in names))).first()[0] or 0
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-entries * SUBTABLES // PARTITION_CELLS))
+    solved = []
+    for attempt in range(1, ATTEMPTS):
+        # one exchange deals the pairs out; nothing after it leaves its partition
+        held = base.select(*key, *names).join(asked, key)
+        pairs = held.select(*key, "kind", "size", F.col(own).alias("a"), F.element_at(F.array(*others), F.col("kind") + 1).alias("b"))
+        larger = stash(peel_larger(pairs.repartition(partitions, *key, "kind"), [*key, "kind"], attempt), "peeled")
+        solved.append(larger.where("open = 0").select(*key, "kind", "found"))
+        rest = larger.where("open > 0").select(*key, "kind")
+        if not rest.limit(1).count():
+            break
+        asked = rest.join(asked, [*key, "kind"]).withColumn("size", F.col("size") * 2)
+    per = reduce(DataFrame.unionByName, solved).groupBy(*key).agg(
+        *[F.first(F.when(F.col("kind") == i, F.col("found")), ignorenulls=True).alias(f"larger_{x}") for i, x in enumerate(others)])
 
     def side(x: str, c: int) -> Column:
-        return F.transform(F.filter(f"_{x}", lambda p: p["c"] == c), lambda p: p["k"].cast("int"))
+        return F.transform(F.filter(F.coalesce(f"found_{x}", f"larger_{x}"), lambda p: p["c"] == c), lambda p: p["k"].cast("int"))
 
-    return found.select(*sets.columns, *[f"sketch_{x}" for x in names],
-                        *[col for x in others for col in (side(x, 1).alias(f"only_{own}_{x}"), side(x, -1).alias(f"only_{x}"))])
+    return base.join(per, key, "left").select(*sets.columns, *[f"sketch_{x}" for x in names],
+                                              *[col for x in others for col in (side(x, 1).alias(f"only_{own}_{x}"), side(x, -1).alias(f"only_{x}"))])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, and the digests that the edit
     took away and brought (removed, added)."""
-    made = compare(stash(versions(docs), "versions"), "own", ["edited", "next"])
+    made = compare(versions(docs), ["did", "h"], "own", ["edited", "next"])
     sizes = {x: F.size(x) for x in ("own", "edited", "next")}
     differ = {x: F.size(f"only_own_{x}") + F.size(f"only_{x}") for x in ("edited", "next")}
     return made.select(
