@@ -37,7 +37,7 @@ ROUNDS = 12         # peeling rounds of a base sketch
 LARGER_ROUNDS = 5   # and of a larger one, which is retried at twice the size if they don't do
 ROOM = 4            # cells a subtable that a larger sketch has for each digest thought to differ
 ATTEMPTS = 20       # doublings
-PARTITION_CELLS = 1 << 20   # entries of larger sketches in a partition
+PARTITION_CELLS = 1 << 19   # entries of larger sketches in a partition
 
 
 def digest_set(text: Column) -> Column:
@@ -172,7 +172,7 @@ def estimate(difference: Column, a: Column, b: Column) -> Column:
 
 
 def peel_larger(pairs: DataFrame, key: list[str], attempt: int) -> DataFrame:
-    """key, ``open`` (cells left) and ``found`` (array<struct<k, c>>) of pairs (key, size, a, b), by sketches of ``size`` cells a
+    """key, size, ``open`` (cells left) and ``found`` (array<struct<k, c>>) of pairs (key, size, a, b), by sketches of ``size`` cells a
     subtable in rows (pair, cell), kept where they hold something. All rows of a pair stay in their partition.
 
     At a quarter of a digest a cell nearly all are single somewhere, so that a few rounds solve nearly all pairs; a round
@@ -196,7 +196,7 @@ def peel_larger(pairs: DataFrame, key: list[str], attempt: int) -> DataFrame:
         taken += [F.struct(cell_of(F.col("k"), u, F.col("size"), attempt).alias("cell"), (-F.col("c")).alias("c"), F.col("k").alias("k"), F.col("s").alias("s"))
                   for u in range(SUBTABLES) if u != t]
         state = summed(state.select(*key, "size", F.inline(F.when(single, F.array(*taken)).otherwise(F.array(F.struct("cell", "c", "k", "s"))))))
-    return state.groupBy(*key).agg(F.sum((F.col("cell") >= 0).cast("int")).alias("open"),
+    return state.groupBy(*key, "size").agg(F.sum((F.col("cell") >= 0).cast("int")).alias("open"),
                                    F.collect_list(F.when(F.col("cell") < 0, F.struct("k", "c"))).alias("found"))
 
 
@@ -252,20 +252,19 @@ def compare(sets: DataFrame, key: list[str], own: str, others: list[str]) -> Dat
     base = stash(about.withColumns(tried).drop(*[f"_{x}" for x in others]), "base-peeled")
     size = F.pow(F.lit(2), F.ceil(F.log2(F.greatest(F.col("about") * ROOM, F.lit(4.0 * BASE))))).cast("int")
     kinds = F.array_compact(F.array(*[F.when(F.col(f"found_{x}").isNull(), F.struct(F.lit(i).alias("kind"), F.col(f"about_{x}").alias("about"))) for i, x in enumerate(others)]))
-    asked = base.select(*key, F.inline(kinds)).select(*key, "kind", size.alias("size"))
+    asked = base.select(*key, *names, F.inline(kinds)).withColumn("size", size)
     entries = base.agg(F.sum(sum(F.size(x).cast("long") for x in names))).first()[0] or 0
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-entries * SUBTABLES // PARTITION_CELLS))
     solved = []
     for attempt in range(1, ATTEMPTS):
         # one exchange deals the pairs out; nothing after it leaves its partition
-        held = base.select(*key, *names).join(asked, key)
-        pairs = held.select(*key, "kind", "size", F.col(own).alias("a"), F.element_at(F.array(*others), F.col("kind") + 1).alias("b"))
+        pairs = asked.select(*key, "kind", "size", F.col(own).alias("a"), F.element_at(F.array(*others), F.col("kind") + 1).alias("b"))
         larger = stash(peel_larger(pairs.repartition(partitions, *key, "kind"), [*key, "kind"], attempt), "peeled")
         solved.append(larger.where("open = 0").select(*key, "kind", "found"))
-        rest = larger.where("open > 0").select(*key, "kind")
+        rest = larger.where("open > 0").select(*key, "kind", "size")
         if not rest.limit(1).count():
             break
-        asked = rest.join(asked, [*key, "kind"]).withColumn("size", F.col("size") * 2)
+        asked = base.select(*key, *names).join(rest.withColumn("size", F.col("size") * 2), key)
     per = reduce(DataFrame.unionByName, solved).groupBy(*key).agg(
         *[F.first(F.when(F.col("kind") == i, F.col("found")), ignorenulls=True).alias(f"larger_{x}") for i, x in enumerate(others)])
 
