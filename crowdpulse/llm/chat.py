@@ -2,8 +2,10 @@
 
 A conversation's turns are read in order; running sums of their token counts decide where a window ends: as many whole
 turns as fit the budget beside the system turn and the repeated history. Each further window opens with the system turn and
-at most ``history`` of the latest turns, as far as they fit; those repeats carry no loss, so each assistant text is
-learned exactly once. A turn larger than the budget has a window of its own and is kept whole.
+at most ``history`` of the latest turns, as far as they fit into half of what the system turn leaves; those repeats carry no
+loss, so each assistant text is learned exactly once. A turn larger than the budget has a window of its own and is kept whole. A system turn of more than
+half the budget would leave its windows little room: there a window goes on past the budget until its other turns have as
+many tokens as the system turn. So the output stays within eight times the input, marks apart, and mostly far below.
 
 Turns are marked ``<|turn:ROLE|>`` ... ``<|end|>``. Control strings inside texts (this template's and other common ones)
 are broken by a backslash, and backslashes doubled, so that a text can neither open nor close a turn and comes back exactly.
@@ -69,7 +71,7 @@ class Windows:
     def add(self, role: str, text: str) -> list[tuple]:
         turn = (role, text, tokens(text))
         out = []
-        if len(self.open) > self.repeated and self.sum + turn[2] > self.budget:
+        if len(self.open) > self.repeated and self.sum + turn[2] > self.budget and self._worth_closing():
             out.append(self.close())
         if not self.number and not self.open and role == "system":
             self.system = turn
@@ -81,13 +83,18 @@ class Windows:
             self.recent = [*self.recent, turn][-self.history:]
         return out
 
+    def _worth_closing(self) -> bool:
+        """The next window repeats the system turn; where that takes over half the budget, this one holds as much besides."""
+        system = self.system[2] if self.system else 0
+        return 2 * system <= self.budget or self.sum >= 2 * system
+
     def _reopen(self, needed: int) -> None:
         """Begin a window: the system turn, and the latest turns while they and the next turn fit."""
         self.open = [self.system] if self.system else []
         self.sum = sum(t[2] for t in self.open)
-        repeat = []
+        repeat, most = [], self.sum + (self.budget - self.sum) // 2
         for t in reversed(self.recent):
-            if self.sum + t[2] + needed > self.budget:
+            if self.sum + t[2] > most or self.sum + t[2] + needed > self.budget:
                 break
             repeat.insert(0, t)
             self.sum += t[2]

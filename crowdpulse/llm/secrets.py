@@ -53,6 +53,9 @@ FURTHER = (
 )
 RULES = BASE + FURTHER
 
+#: Matches of a text that are added up in one growing array.
+RUN = 256
+
 SCANNED = "blob string, rule string"
 FINDINGS = "blob string, rule string, kind string, start int, stop int"
 
@@ -90,8 +93,18 @@ def match_spans(text: Column, rule: Rule) -> Column:
         found = F.when(m["tested"] >= rule.least, F.concat(state["found"], F.array(span))).otherwise(state["found"])
         return F.struct((start + m["size"]).alias("at"), found.alias("found"))
 
-    spans = F.aggregate(cells, F.struct(F.lit(0).alias("at"), none.alias("found")), step, lambda s: s["found"])
-    return F.when(text.rlike(rule.pattern), spans).otherwise(none)
+    # an array that grows is copied at each match, so matches are taken in runs, and only the runs' arrays are put together
+    def run(state: Column, own: Column) -> Column:
+        done = F.aggregate(own, F.struct(state["at"].alias("at"), none.alias("found")), step)
+        return F.element_at(F.transform(F.array(done), lambda d: F.struct(d["at"].alias("at"), F.concat(state["runs"], F.array(d["found"])).alias("runs"))), 1)
+
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<array<struct<rule:string,kind:string,start:int,stop:int>>>").alias("runs"))
+
+    def spans(own: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(own) - 1) / RUN).cast("int")), lambda i: F.slice(own, i * RUN + 1, RUN))
+        return F.aggregate(runs, begin, run, lambda state: F.flatten(state["runs"]))
+
+    return F.when(text.rlike(rule.pattern), F.element_at(F.transform(F.array(cells), spans), 1)).otherwise(none)
 
 
 def scan_texts(texts: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
