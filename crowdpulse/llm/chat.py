@@ -4,8 +4,8 @@ A conversation's turns are read in order; running sums of their token counts dec
 turns as fit the budget beside the system turn and the repeated history. Each further window opens with the system turn and
 at most ``history`` of the latest turns, as far as they fit into half of what the system turn leaves; those repeats carry no
 loss, so each assistant text is learned exactly once. A turn larger than the budget has a window of its own and is kept whole. A system turn of more than
-half the budget would leave its windows little room: there a window goes on past the budget until its other turns have as
-many tokens as the system turn. So the output stays within eight times the input, marks apart, and mostly far below.
+half the budget would leave its windows little room: there (``stretch``) a window goes on past the budget until its other
+turns have as many tokens as the system turn. So the output stays within eight times the input, marks apart, and mostly far below.
 
 Turns are marked ``<|turn:ROLE|>`` ... ``<|end|>``. Control strings inside texts (this template's and other common ones)
 are broken by a backslash, and backslashes doubled, so that a text can neither open nor close a turn and comes back exactly.
@@ -57,10 +57,11 @@ def tokens(text: str) -> int:
 
 
 class Windows:
-    """The windows of one conversation, fed turn by turn."""
+    """The windows of one conversation, fed turn by turn. ``stretch`` lets a window that a large system turn opens go on past
+    the budget; without it only a single turn can exceed the budget."""
 
-    def __init__(self, budget: int, history: int):
-        self.budget, self.history = budget, history
+    def __init__(self, budget: int, history: int, stretch: bool = False):
+        self.budget, self.history, self.stretch = budget, history, stretch
         self.system: tuple[str, str, int] | None = None
         self.recent: list[tuple[str, str, int]] = []
         self.open: list[tuple[str, str, int]] = []
@@ -86,7 +87,7 @@ class Windows:
     def _worth_closing(self) -> bool:
         """The next window repeats the system turn; where that takes over half the budget, this one holds as much besides."""
         system = self.system[2] if self.system else 0
-        return 2 * system <= self.budget or self.sum >= 2 * system
+        return not self.stretch or 2 * system <= self.budget or self.sum >= 2 * system
 
     def _reopen(self, needed: int) -> None:
         """Begin a window: the system turn, and the latest turns while they and the next turn fit."""
@@ -120,7 +121,7 @@ COLUMNS = ["conv", "nothing", "window", "text", "repeated", "starts", "ends"]
 WINDOW_DDL = "conv long, nothing boolean, window int, text string, repeated int, starts array<int>, ends array<int>"
 
 
-def _format(budget: int, history: int, rows: int = 256):
+def _format(budget: int, history: int, stretch: bool, rows: int = 256):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, state, out = None, None, []
         for b in batches:
@@ -128,7 +129,7 @@ def _format(budget: int, history: int, rows: int = 256):
                 if (conv, nothing) != key:
                     if state is not None:
                         out.append((*key, *state.close()))
-                    key, state = (conv, nothing), Windows(budget, history)
+                    key, state = (conv, nothing), Windows(budget, history, stretch)
                 out += [(*key, *w) for w in state.add(role, text)]
                 if len(out) >= rows:
                     yield pd.DataFrame(out, columns=COLUMNS)
@@ -140,14 +141,14 @@ def _format(budget: int, history: int, rows: int = 256):
     return run
 
 
-def windows(conversations: DataFrame, budget: int = 1024, history: int = 2) -> DataFrame:
+def windows(conversations: DataFrame, budget: int = 1024, history: int = 2, stretch: bool = True) -> DataFrame:
     """conv_id, window, text, repeated, starts, ends: the formatted windows and their loss spans (code points)."""
     turns = conversations.select(
         F.coalesce(F.col("conv_id").cast("long"), F.lit(0)).alias("conv"), F.col("conv_id").isNull().alias("nothing"),
         F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     made = (turns.repartition("conv", "nothing").sortWithinPartitions("conv", "nothing", "turn", "role", "text")
-            .select("conv", "nothing", "role", "text").mapInPandas(_format(budget, history), WINDOW_DDL))
+            .select("conv", "nothing", "role", "text").mapInPandas(_format(budget, history, stretch), WINDOW_DDL))
     return made.select(F.when(~F.col("nothing"), F.col("conv")).alias("conv_id"), "window", "text", "repeated", "starts", "ends")
 
 
