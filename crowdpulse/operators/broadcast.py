@@ -1,11 +1,8 @@
 """Size-checked broadcast.
 
-A side is broadcast only when its size is proven small: first by the
-optimizer's own size estimate of the plan (no job runs; without CBO a filter or
-aggregate never lowers it, so it is an upper bound for scans, projections,
-filters and aggregates), else, when asked, by a bounded row count. Otherwise
-the plan keeps Spark's shuffle join; AQE may still switch to a broadcast from
-measured shuffle sizes, and splits skewed partitions.
+A side is broadcast only when the optimizer's size estimate of its plan (no job runs; without CBO a filter or aggregate
+never lowers it), times a factor for what compressed files hold in memory, fits the limit. Otherwise the plan keeps Spark's
+shuffle join; AQE may still switch to a broadcast from measured shuffle sizes, and splits skewed partitions.
 """
 
 from __future__ import annotations
@@ -15,8 +12,10 @@ from pyspark.sql import functions as F
 
 # ~64 MB: well inside an executor, and far below the driver's collect limit.
 DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-# Row cap used by the (optional) counting check.
-DEFAULT_MAX_BROADCAST_ROWS = 500_000
+# Any positive value asks for the size check; None or 0 turns the hint off.
+DEFAULT_MAX_BROADCAST_ROWS = 1
+# The estimate of a file scan is the files' size; a hashed relation of their rows takes several times that.
+IN_MEMORY_FACTOR = 5.0
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -27,37 +26,22 @@ def estimated_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows. Each partition stops
-    after ``max_rows + 1`` rows, so the check is bounded on a big input."""
-    if df.isStreaming:
-        return False
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def is_small(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES, expansion: float = 1.0,
-             count_rows: int | None = None) -> bool:
-    """``df`` times ``expansion`` fits in ``max_bytes`` by the static
-    estimate, or (if ``count_rows``) has at most that many rows."""
+def is_small(df: DataFrame, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES, expansion: float = 1.0) -> bool:
+    """``df`` times ``expansion`` fits in ``max_bytes`` of memory by the static estimate."""
     if df.isStreaming:
         return False
     est = estimated_bytes(df)
-    if est is not None and est * expansion <= max_bytes:
-        return True
-    return bool(count_rows) and row_count_at_most(df, count_rows)
+    return est is not None and est * IN_MEMORY_FACTOR * expansion <= max_bytes
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS, *,
                        max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES, size_of: DataFrame | None = None,
-                       expansion: float = 1.0, count: bool = False) -> DataFrame:
+                       expansion: float = 1.0) -> DataFrame:
     """``broadcast(df)`` if proven small, else ``df`` unchanged.
 
     ``size_of``/``expansion`` check a source before a bounded expansion (e.g.
     markers before each is exploded into at most ``expansion`` buckets).
-    ``count=True`` adds the bounded row count when the estimate is too large.
-    ``max_rows=None`` disables the hint."""
-    if max_rows is None or max_rows <= 0:
+    ``max_rows=None`` (or 0) disables the hint."""
+    if not max_rows:
         return df
-    probe = size_of if size_of is not None else df
-    ok = is_small(probe, max_bytes, expansion, max_rows if count else None)
-    return F.broadcast(df) if ok else df
+    return F.broadcast(df) if is_small(size_of if size_of is not None else df, max_bytes, expansion) else df
