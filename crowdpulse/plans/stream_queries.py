@@ -19,7 +19,7 @@ from crowdpulse.operators.gold import stream_batch_reconcile
 from crowdpulse.sinks.writers import bronze_ingest, read_upserted, silver_upsert
 from crowdpulse.sources import testmap as tm
 from crowdpulse.sources.parse import filter_required, parse_player_events
-from crowdpulse.sources.readers import read_marker_stream, read_raw_stream
+from crowdpulse.sources.readers import read_event_stream, read_marker_stream, read_raw_stream
 from crowdpulse.operators.fragments import session_fragments, session_qoe, sessions_from_fragments
 from crowdpulse.operators.silver import rebuffer_rolling5
 from crowdpulse.operators.slo import slo_freshness
@@ -377,6 +377,41 @@ def q_bronze_ingest(spark, sf_dir):
     return b.agg(F.count(F.lit(1)).alias("records"), F.count_distinct(eid).alias("event_ids"))
 
 
+@register("event_stream_batches", with_ctes("""
+SELECT COUNT(*) AS n_rows, COUNT(DISTINCT event_id) AS n_ids, MIN("timestamp") AS first_ts, MAX("timestamp") AS last_ts, TRUE AS several_batches
+FROM pe_parsed""", "pe_parsed"))
+def q_event_stream_batches(spark, sf_dir):
+    """The parsed event source with a rate limit (IO1, IO4): one landing file a micro-batch, so the feed takes several."""
+    root = scratch_path(spark, "event-stream")
+    ev_dir, _ = _land(spark, sf_dir, root)
+    events = read_event_stream(spark, "text", {"path": ev_dir}, max_per_trigger=1).select("event_id", "timestamp")
+
+    def process(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{root}/out/batch_id={batch_id}")
+
+    events.writeStream.foreachBatch(process).option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start().awaitTermination()
+    out = spark.read.parquet(f"{root}/out").where(F.col("event_id") != SENTINEL)
+    return out.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("event_id").alias("n_ids"), F.min("timestamp").alias("first_ts"),
+                   F.max("timestamp").alias("last_ts"), (F.count_distinct("batch_id") > 1).alias("several_batches"))
+
+
+@register("bronze_restart", with_ctes("""
+SELECT COUNT(*) AS records, COUNT(DISTINCT CASE WHEN k <> 13 THEN event_id END) AS event_ids FROM pe_feed""", "pe_feed"))
+def q_bronze_restart(spark, sf_dir):
+    """Bronze stopped and started again under its checkpoint (ST10, ST11): the second run takes only what came since, and a third
+    with nothing new adds nothing."""
+    root = scratch_path(spark, "bronze-restart")
+    lines = tm.raw_player_events(spark, sf_dir).select(F.col("value").cast("string").alias("value"))
+    first = F.pmod(F.xxhash64("value"), F.lit(2)) == 0
+    for part in (lines.where(first), lines.where(~first), None):
+        if part is not None:
+            part.repartition(3).write.mode("append").text(f"{root}/landing")
+        raw = read_raw_stream(spark, "text", {"path": f"{root}/landing"}, "player_events", max_per_trigger=2)
+        bronze_ingest(raw, f"{root}/bronze", f"{root}/ckpt", trigger="availableNow").awaitTermination()
+    eid = F.get_json_object(F.col("value").cast("string"), "$.event_id")
+    return spark.read.parquet(f"{root}/bronze").agg(F.count(F.lit(1)).alias("records"), F.count_distinct(eid).alias("event_ids"))
+
+
 @register("gold_write_partitioned", with_ctes("SELECT * FROM gold", "gold"))
 def q_gold_write_partitioned(spark, sf_dir):
     """Gold written twice with dynamic partition overwrite and read back: the
