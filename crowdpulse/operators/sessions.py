@@ -206,11 +206,26 @@ def lateness_profile(raw: DataFrame, ts: str = "event_ts", seq: str = "offset",
 
 
 def clock_skew(events: DataFrame, key: str = "session_id", ts: str = "timestamp", ingest: str = "ingest_ts",
-               accuracy: int = 100_000) -> DataFrame:
-    """Per-session clock offset estimate: the median of
-    ingest time minus event time, in ms. ``percentile_approx`` keeps memory
-    bounded on a hot session; it is exact while a session has fewer than
-    ``accuracy`` events."""
-    lag_ms = (F.unix_micros(ingest) - F.unix_micros(ts)) / F.lit(1000.0)
-    return events.groupBy(key).agg(F.percentile_approx(lag_ms, 0.5, accuracy).alias("offset_ms"),
-                                   F.count(F.lit(1)).alias("events"))
+               bucket: str = "1 second") -> DataFrame:
+    """Per-session clock offset estimate: the exact lower median
+    of ingest time minus event time, in ms, at any size. Equal lags are counted
+    before the shuffle; the counts per lag bucket tell which bucket holds a
+    session's median, and only that bucket's lags are ranked. Null lags count
+    as events but take no part in the median (null if there is no other);
+    events without a session form one group."""
+    lag = F.unix_micros(ingest) - F.unix_micros(ts)
+    counts = (events.groupBy(F.col(key).alias("_k"), lag.alias("_lag")).agg(F.count(F.lit(1)).alias("_n"))
+              .withColumn("_b", F.floor(F.col("_lag") / F.lit(interval_seconds(bucket) * 1_000_000))))
+    per = counts.groupBy("_k", "_b").agg(F.sum("_n").alias("_all"), F.sum(F.when(F.col("_lag").isNotNull(), F.col("_n"))
+                                                                          .otherwise(0)).alias("_timed"))
+    whole = Window.partitionBy("_k")
+    upto = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    per = per.select(F.col("_k").alias("_s"), F.col("_b").alias("_at"), (F.sum("_timed").over(upto) - F.col("_timed")).alias("_before"),
+                     "_timed", F.ceil(F.sum("_timed").over(whole) / 2).alias("_rank"), F.sum("_all").over(whole).alias("_events"))
+    # one bucket a session; where no lag is known, that of the nulls
+    middle = per.where("_rank > _before and _rank <= _before + _timed or _rank = 0")
+    held = counts.join(middle, F.col("_k").eqNullSafe(F.col("_s")) & F.col("_b").eqNullSafe(F.col("_at")))
+    run = F.col("_before") + F.sum("_n").over(Window.partitionBy("_k").orderBy("_lag").rowsBetween(Window.unboundedPreceding, 0))
+    return (held.withColumn("_run", run).groupBy(F.col("_k").alias(key))
+            .agg((F.min(F.when(F.col("_run") >= F.col("_rank"), F.col("_lag"))) / F.lit(1000.0)).alias("offset_ms"),
+                 F.first("_events").alias("events")))

@@ -162,3 +162,27 @@ def test_batch_sessionise_equals_session_window_on_hot_key(spark):
     want = sw.select("session_id", F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"),
                      "events", "closed")
     assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_clock_offset_is_the_exact_lower_median(spark):
+    rnd = random.Random(9)
+    lags = {"hot": [rnd.randint(-5_000_000, 5_000_000) for _ in range(3000)] + [7] * 1500,
+            "even": [1, 2, 3_000_000, 4_000_000], "one": [-12], "ties": [5, 5, 5, 9], "none": [None, None], None: [1_000_000, None, 2_000_000]}
+    rows = [(s, n) for s, values in lags.items() for n in values]
+    df = spark.createDataFrame(rows, "session_id string, lag long").select(
+        "session_id", F.timestamp_micros(F.lit(1_700_000_000_000_000)).alias("timestamp"),
+        F.timestamp_micros(F.lit(1_700_000_000_000_000) + F.col("lag")).alias("ingest_ts"))
+    got = {r.session_id: (r.offset_ms, r.events) for r in SE.clock_skew(df).collect()}
+    known = {s: sorted(n for n in values if n is not None) for s, values in lags.items()}
+    assert got == {s: (v[(len(v) - 1) // 2] / 1000 if v else None, len(lags[s])) for s, v in known.items()}
+    assert SE.clock_skew(df.limit(0)).count() == 0
+
+
+def test_clock_offset_reads_its_input_once(spark, tmp_path):
+    path = str(tmp_path / "lags")
+    spark.range(2000).select((F.col("id") % 7).cast("string").alias("session_id"), F.timestamp_micros("id").alias("timestamp"),
+                             F.timestamp_micros(F.col("id") * 3).alias("ingest_ts")).write.parquet(path)
+    skew = SE.clock_skew(spark.read.parquet(path))
+    skew.collect()
+    assert "percentile" not in skew._jdf.queryExecution().optimizedPlan().toString()
+    assert "ReusedExchange" in skew._jdf.queryExecution().executedPlan().toString()
