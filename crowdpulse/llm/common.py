@@ -30,9 +30,23 @@ def row_count(df: DataFrame) -> int:
     return df.agg(F.count(F.lit(1))).first()[0]
 
 
-def small(df: DataFrame, rows: int, limit: int) -> DataFrame:
-    """Mark ``df`` for broadcast if its counted ``rows`` are at most ``limit``; Spark chooses the join otherwise."""
-    return F.broadcast(df) if rows <= limit else df
+#: What one broadcast side may take in memory, on the driver and on each executor.
+BROADCAST_BYTES = 64 << 20
+
+
+def held_bytes(df: DataFrame) -> int:
+    """Measured bound of what ``df`` takes as a broadcast hash table: per row 64 bytes of headers and slots and 24 a
+    column (value, null bit, key copy), and the bytes of its texts twice, as row and as key. Columns are of fixed width
+    or texts."""
+    texts = [f.name for f in df.schema.fields if f.dataType.typeName() in ("string", "binary")]
+    text_bytes = sum((F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)).cast("long") for c in texts), F.lit(0).cast("long"))
+    rows, held = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(text_bytes), F.lit(0))).first()
+    return rows * (64 + 24 * len(df.columns)) + 2 * held
+
+
+def small(df: DataFrame, size: int, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast if its measured ``size`` is at most ``limit``; Spark chooses the join otherwise."""
+    return F.broadcast(df) if size <= limit else df
 
 
 def text_or_empty(c: str = "text") -> Column:

@@ -8,7 +8,8 @@ them must stand in any document that holds enough of the item, so the search mis
 Documents probe with all their shingle hashes; hits are (document, item) candidates, and exact containment on the
 shingles' texts decides.
 
-The sketches are broadcast while their counted rows stay under a documented bound; beyond it Spark joins by shuffle.
+The items' side and the suspects' ids are broadcast while their measured bytes (as hash tables) stay within 64 MB; beyond
+that Spark joins by shuffle, with the same result.
 Candidates are pre-aggregated per document and item, so a passage in a third of all documents costs one row each.
 
 Defined cases: words are split at ASCII blanks and lower-cased; an item or text of fewer words than a shingle has the
@@ -22,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from crowdpulse.llm.common import doc_key, fold_docs, row_count, small, stash, text_or_empty, without_ids
+from crowdpulse.llm.common import BROADCAST_BYTES, doc_key, fold_docs, held_bytes, small, stash, text_or_empty, without_ids
 
 
 def with_words(df: DataFrame) -> DataFrame:
@@ -69,24 +70,23 @@ def sketches(shingles: DataFrame, percent: int) -> DataFrame:
     return shingles.withColumn("place", place).where(F.col("place") <= length).select("item_id", "version", "h")
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, k: int = 5, percent: int = 80, broadcast_rows: int = 2_000_000) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, k: int = 5, percent: int = 80, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """(doc_id, item_id, n_shingles, n_shared, containment) of every item that leaked into a document."""
     # explode_outer: the filter that explode() implies would be pushed below the projections and compute them again
     shingles = stash(item_shingles(benchmark, k), "items")
-    n_rows = row_count(shingles)
+    item_bytes = held_bytes(shingles)
     folded = fold_docs(docs)
     probes = with_hashes(with_words(folded), k).select("doc_id", F.explode_outer("hs").alias("h")).where("h is not null")
-    found = (probes.join(small(sketches(shingles, percent).distinct(), n_rows, broadcast_rows), "h")
+    found = (probes.join(small(sketches(shingles, percent).distinct(), item_bytes, broadcast_bytes), "h")
              .groupBy("doc_id", "item_id", "version").agg(F.count(F.lit(1)).alias("hits")))
     candidates = stash(found.select("doc_id", "item_id", "version"), "candidates")
-    suspects = candidates.select("doc_id").distinct()
-    n_docs = row_count(suspects)
-    # a null id is its own value: the key tells null from any number
-    key = F.struct(F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0)))
-    texts = folded.withColumn("key", key).join(small(suspects.select(key.alias("key")), n_docs, 4 * broadcast_rows), "key", "left_semi")
+    # null shares its key with the least long: that can only bring a text too many, which the last join drops
+    key = F.coalesce("doc_id", F.lit(-2**63))
+    suspects = stash(candidates.select(key.alias("key")).distinct(), "suspects")
+    texts = folded.withColumn("key", key).join(small(suspects, held_bytes(suspects), broadcast_bytes), "key", "left_semi")
     held = with_texts(with_words(texts.drop("key")), k).select("doc_id", F.explode_outer("ss").alias("shingle")).where("shingle is not null")
     own = shingles.select("item_id", "version", "shingle", "size")
-    shared = (held.join(small(own, n_rows, broadcast_rows), "shingle")
+    shared = (held.join(small(own, item_bytes, broadcast_bytes), "shingle")
               .groupBy("doc_id", "item_id", "version", "size").agg(F.countDistinct("shingle").alias("n_shared")))
     exact = shared.where(F.col("n_shared") * 100 >= F.col("size") * percent)
     best = (exact.join(candidates.select(F.col("doc_id").alias("d"), F.col("item_id").alias("i"), F.col("version").alias("v")),

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from crowdpulse.llm.common import WORD, doc_key, row_count, small, stash, text_or_empty
+from crowdpulse.llm.common import BROADCAST_BYTES, WORD, doc_key, held_bytes, small, stash, text_or_empty
 
 CAP = 3     # no source, and so no block, is used more often
 
@@ -157,12 +157,12 @@ def slots(sources: DataFrame, block: int, shards: int, seed: int, chunk: int = 1
         _slots(block, shards, seed, chunk), "sid int, block long, shard int, slot long, take long")
 
 
-def mix(docs: DataFrame, block: int = 128, shards: int = 64, seed: int = 5, broadcast_rows: int = 100_000):
+def mix(docs: DataFrame, block: int = 128, shards: int = 64, seed: int = 5, broadcast_bytes: int = BROADCAST_BYTES):
     """(sizes, sources, mixture). The mixture has one row per piece of a document in a block of a shard: shard, sid,
     slot, at, doc_id, rid, start, from_word, words."""
     sizes = stash(sized(docs), "sizes")
     sources = stash(targets(sizes), "sources")
-    few = small(sources, row_count(sources), broadcast_rows)
+    few = small(sources, held_bytes(sources), broadcast_bytes)
     cut = pieces(placed(sizes, few), block)
     # slots are made from the few rows of sources, which would make Spark believe that they are few too
     got = cut.join(slots(sources, block, shards, seed).hint("merge"), ["sid", "block"])

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from crowdpulse.llm.common import fold_docs, row_count, small, stash, without_ids, words_of
+from crowdpulse.llm.common import BROADCAST_BYTES, fold_docs, held_bytes, small, stash, without_ids, words_of
 
 MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
@@ -260,7 +260,7 @@ def _cross_pairs(rows: DataFrame, p: Params) -> DataFrame:
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, p: Params = Params(), broadcast_rows: int = 4_000_000) -> DataFrame:
+def near_duplicates(docs: DataFrame, p: Params = Params(), broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every document."""
     folded = fold_docs(docs)
     signed = stash(folded.select("doc_id", signatures(p)("text").alias("s")).select("doc_id", "s.*"), "signatures")
@@ -275,7 +275,7 @@ def near_duplicates(docs: DataFrame, p: Params = Params(), broadcast_rows: int =
 
     def texts_of(ids: DataFrame) -> DataFrame:
         ids = stash(ids, "ids")
-        one = folded.where("doc_id is not null").join(small(ids, row_count(ids), broadcast_rows), F.col("doc_id") == F.col("id"), "left_semi")
+        one = folded.where("doc_id is not null").join(small(ids, held_bytes(ids), broadcast_bytes), F.col("doc_id") == F.col("id"), "left_semi")
         return one.select(F.col("doc_id").alias("id"), "text")
 
     both_ids = near.select(F.explode(F.array("a", "b")).alias("id")).distinct()

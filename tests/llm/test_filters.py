@@ -33,7 +33,7 @@ def test_leaks_against_brute_force(spark):
             if q and 100 * len(q & s) >= 80 * len(q):
                 want.add((i, j, len(q), len(q & s)))
     assert got == sorted(want, key=str) and len(want) >= 10
-    by_shuffle = decontam.leaks(frame(spark, data), bench, broadcast_rows=0)
+    by_shuffle = decontam.leaks(frame(spark, data), bench, broadcast_bytes=0)
     assert sorted({(r.doc_id, r.item_id, r.n_shingles, r.n_shared) for r in by_shuffle.collect()}, key=str) == got
     df = frame(spark, data)
     clean = decontam.clean(df, bench)
