@@ -11,7 +11,10 @@ letter, mark nor digit ("you,idiot", "<p>idiot</p>"); of a word and its parts th
 Words have no length limit. In an unbroken run of letters a stem is found where the run begins, not inside it.
 
 Each hit is scored in a window of words around it: quotation marks, and words that speak about a word, mark a
-quotation and shrink the hit; address in the second person strengthens it. Each hit counts the logarithm of how much
+quotation and shrink the hit; address in the second person strengthens it. Quotations of several words are found by
+pairing opening and closing marks within a line: what is said about them stands around the whole quotation (its window
+begins at the marks, and the words of reporting count too), and address inside it is the quoted speaker's, so it does
+not strengthen. A mark without its partner on the line quotes nothing. Each hit counts the logarithm of how much
 more often toxic than clean texts use its term; a logistic curve over the sum and the text's length gives the score.
 
 Defined cases: null and empty texts have no hits; a null ``doc_id`` is in no fold (not held out) and
@@ -24,6 +27,7 @@ import math
 import pickle
 import re
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
@@ -39,7 +43,13 @@ from crowdpulse.llm.common import doc_key, fold_docs
 ABOUT = frozenset("word words term called quote quoted said says wrote means meaning definition slur insult "
                   "wort begriff sagte zitat heißt mot terme disait citation signifie palabra término dijo cita significa".split())
 ADDRESS = frozenset("you your you're du dich dein ihr tu toi vous votre tú te usted".split())
+# Words that report what somebody else said, read around quotations of several words (en, de, fr, es).
+REPORT = frozenset("reported report reports told tells heard shouted yelled screamed cited according court judge witness testified "
+                   "berichtete laut schrie rief gericht zeuge rapporté selon tribunal juge témoin crié "
+                   "según informó tribunal juez testigo gritó".split())
 OPENING, CLOSING = "\"'“„«‘([", "\"'”“»’)]"
+# Marks that enclose several words, and what closes each. Apostrophes stay out: they end words.
+PAIRS = {'"': '"', "“": "”", "„": "“”", "«": "»", "»": "«", "‘": "’", "”": "”"}
 BREAK = re.compile(r"[\W_]")
 EDGES = "\"'“”„«»‘’()[]{}<>.,;:!?*%&$#|_-+=~/\\"
 
@@ -185,6 +195,8 @@ class Scorer:
         if not found:
             return []
         raw = text.lower().split()
+        spans = quotations(text.lower())
+        starts = [a for a, _ in spans]
         out = []
         for at, token in enumerate(raw):
             word = token.strip(EDGES)
@@ -193,17 +205,22 @@ class Scorer:
             if whole is None and not inner:
                 continue
             near = [x.strip(EDGES) for x in raw[max(0, at - self.window):at] + raw[at + 1:at + 1 + self.window]]
-            readings = [[self._hit(at, whole, token, near)]] if whole is not None else []
+            k = bisect_right(starts, at) - 1
+            around = None
+            if k >= 0 and at <= spans[k][1]:
+                a, z = spans[k]
+                around = [x.strip(EDGES) for x in raw[max(0, a - self.window):a] + raw[z + 1:z + 1 + self.window]]
+            readings = [[self._hit(at, whole, token, near, around)]] if whole is not None else []
             if inner:
                 near += [p for x in near for p in parts_of(x)]
-                readings.append([self._hit(at, m, token, near + parts[max(0, i - self.window):i] + parts[i + 1:i + 1 + self.window])
+                readings.append([self._hit(at, m, token, near + parts[max(0, i - self.window):i] + parts[i + 1:i + 1 + self.window], around)
                                  for i, m in inner])
             out += max(readings, key=lambda hits: sum(h[3] for h in hits))
         return out
 
-    def _hit(self, at: int, m: tuple[int, int], token: str, near: list[str]) -> tuple[int, str, int, float]:
+    def _hit(self, at: int, m: tuple[int, int], token: str, near: list[str], around: list[str] | None) -> tuple[int, str, int, float]:
         term = self.terms[m[1]]
-        return at, term.name, m[0], term.weight * 0.9 ** m[0] * _context(token, near)
+        return at, term.name, m[0], term.weight * 0.9 ** m[0] * _context(token, near, around)
 
     def evidence(self, text: str) -> tuple[list[float], list[str]]:
         hits = self.hits(text)
@@ -216,8 +233,39 @@ class Scorer:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z)))), names
 
 
-def _context(token: str, near: list[str]) -> float:
-    """How much a hit counts, by the words around it."""
+def quotations(text: str) -> list[tuple[int, int]]:
+    """(first, last) word of each quotation of several words, in order, disjoint. Marks pair within a line: a mark at a
+    word's end closes what the latest fitting mark at a word's start opened; a quotation takes in those inside it."""
+    out: list[tuple[int, int]] = []
+    at = 0
+    for line in text.splitlines():
+        words = line.split()
+        opened: dict[str, int] = {}      # closing mark -> the word that opened what it closes
+        for i, w in enumerate(words):
+            core = w.strip(EDGES)
+            if w[0] in EDGES:
+                for c in w[:len(w) - len(w.lstrip(EDGES))]:
+                    for end in PAIRS.get(c, ""):
+                        if core or end not in opened:       # a mark alone closes, if it can
+                            opened[end] = i
+            if opened and w[-1] in EDGES:
+                for c in w[len(w.rstrip(EDGES)):]:
+                    begin = opened.get(c, i)
+                    if begin < i:
+                        opened = {end: b for end, b in opened.items() if b < begin}
+                        while out and out[-1][0] >= at + begin:
+                            out.pop()
+                        out.append((at + begin, at + i))
+                    elif core:
+                        opened.pop(c, None)                 # one word in marks
+        at += len(words)
+    return out
+
+
+def _context(token: str, near: list[str], around: list[str] | None = None) -> float:
+    """How much a hit counts, by the words around it; ``around`` are those beside the quotation of several words it is in."""
+    if around is not None:
+        return 0.2 if any(w in ABOUT or w in REPORT for w in around) else 0.7
     quoted = token[0] in OPENING and token.rstrip(".,;:!?")[-1:] in CLOSING
     about = any(w in ABOUT for w in near)
     if quoted and about:
