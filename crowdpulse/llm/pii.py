@@ -3,14 +3,15 @@
 The base patterns (email, ip, card, phone) are found first and always stay. The field then reads the regions of a text
 around digits and at-signs as units (digit runs, letter runs, marks) and scores whole candidate segments: features see
 the entire span - digit counts, Luhn sum, octets, separators, cut words, the word before. A region ends only at a newline
-or where two words without digits or at-signs follow, however long it gets; its segments are scored block by block.
+or where two words without digits or at-signs follow, however long it gets (an at-sign at its edge brings the word beyond the blank); its segments are scored block by block.
 Dynamic programming over segments of at most ``longest`` units chooses boundaries and types together for the whole
 region; the entity's length is bounded, the number of entities is not. Spans that the field finds beside the base ones
 are added.
 
 The field's weights maximise the conditional likelihood of weak labels - the base spans in a bounded sample of
-``sample_rows`` texts, with copies whose phones lose their plus and whose numbers change their separators - by
-forward-backward over the same segments, in the first pieces of each text (long regions are cut between entities to
+``sample_rows`` texts, with copies in which they are written differently (phones without plus, country code or brackets,
+numbers with other separators, blanks around at-signs), and copies in which dates, amounts, order numbers and the like
+stand in their places, labelled as nothing - by forward-backward over the same segments, in the first pieces of each text (long regions are cut between entities to
 learn from them, never to find). Without any region to learn from, nothing is added.
 
 Defined cases: null texts are empty and have no spans; positions are code points; repeated rows and null ids are
@@ -50,9 +51,11 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 HAS = re.compile(r"[0-9@]")
 UNIT = re.compile(r"[0-9]+|[^\W\d_]+|[^\w\s]|_")
-#: A token with a digit or at-sign, what joins it to the next one (at most one other word), and a line's last other word.
+#: A token with a digit or at-sign, what joins it to the next one (at most one other word), the word a blank after, and a
+#: line's last other word.
 LIVE = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+")
 JOIN = re.compile(r"[^\S\n]++(?:[^\s0-9@]++[^\S\n]++)?+")
+NEXT = re.compile(r"\x20[^\s0-9@]++")
 TAIL = re.compile(r"[^\S\n]++[^\s0-9@]++(?=[^\S\n]*+(?:\n|\Z))")
 
 Span = tuple[str, int, int]
@@ -96,7 +99,8 @@ def base_spans(text: str) -> list[Span]:
     return spans
 
 
-FEATURES = 30
+FEATURES = 37
+DATE = re.compile(r"(?<![0-9])(?:(?:1[89]|20)[0-9]{2}[-/.][01]?[0-9][-/.][0-3]?[0-9]|[0-3]?[0-9][-/.][0-3]?[0-9][-/.](?:1[89]|20)[0-9]{2})(?![0-9])")
 
 
 def span_features(text: str, start: int, end: int, before: str) -> np.ndarray:
@@ -114,7 +118,7 @@ def span_features(text: str, start: int, end: int, before: str) -> np.ndarray:
     at = s.count("@")
     x[9], x[10] = at == 1, at > 1
     x[11] = at == 1 and bool(re.fullmatch(r"[A-Za-z0-9._%+-]+ ?@ ?[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", s))
-    quad = len(groups) == 4 and s.count(".") == 3 and not letters
+    quad = len(groups) == 4 and s.count(".") == 3 and " " not in s and not letters
     x[12] = quad and all(len(g) <= 3 and int(g) <= 255 for g in groups)
     x[13] = quad and not x[12]
     x[14], x[15] = s[0] == "+", "(" in s and ")" in s
@@ -129,6 +133,14 @@ def span_features(text: str, start: int, end: int, before: str) -> np.ndarray:
     x[25] = end + 1 < len(text) and text[end] in ".-" and text[end + 1].isalnum()
     for i, kind in enumerate(KINDS):
         x[26 + i] = before in ANNOUNCE[kind]
+    number = not letters and not at
+    x[30] = number and ("," in s or ":" in s)
+    x[31] = number and bool(DATE.search(s))
+    x[32] = number and s.count(".") == 1 and len(groups) == 2        # a decimal number
+    x[33] = number and ("/" in s or "_" in s)
+    x[34] = number and len(groups) >= 3 and n in (10, 11, 12) and len(groups[-1]) == 4
+    x[35] = number and len(groups) == 2
+    x[36] = number and s.startswith("00")
     return x
 
 
@@ -147,13 +159,23 @@ def regions(text: str) -> Iterator[tuple[int, int]]:
         if end >= 0 and not JOIN.fullmatch(text, end, m.start()):
             yield start, end
             end = -1
-        start, end = (start if end >= 0 else m.start()), m.end()
+        start, end = (start if end >= 0 else _lead(text, m.start())), m.end()
     if end >= 0:
         yield start, end
 
 
+def _lead(text: str, start: int) -> int:
+    """Where the word before an at-sign begins, one blank away; else ``start``."""
+    if text[start] != "@" or start < 2 or text[start - 1] != " " or text[start - 2].isspace():
+        return start
+    at = start - 2
+    while at and not text[at - 1].isspace():
+        at -= 1
+    return at
+
+
 def units_of(text: str, start: int, end: int) -> list[tuple[int, int]]:
-    tail = TAIL.match(text, end)
+    tail = TAIL.match(text, end) or text[end - 1] == "@" and NEXT.match(text, end)
     return [m.span() for m in UNIT.finditer(text, start, tail.end() if tail else end)]
 
 
@@ -264,8 +286,8 @@ class Field:
         return float(z), prob, pairs
 
 
-def _varied(text: str, spans: list[Span], rng: random.Random) -> tuple[str, list[Span]]:
-    """The text with phones that lose their plus and numbers that change their separators; spans follow."""
+def _rewritten(text: str, spans: list[Span], write) -> tuple[str, list[Span]]:
+    """The text with each span's text as ``write`` (kind, text) gives it; the spans follow."""
     out, at, moved = [], 0, []
     size = 0
     for kind, a, z in sorted(spans, key=lambda s: s[1]):
@@ -273,11 +295,7 @@ def _varied(text: str, spans: list[Span], rng: random.Random) -> tuple[str, list
             continue
         out.append(text[at:a])
         size += a - at
-        s = text[a:z]
-        if kind == "phone":
-            s = s.lstrip("+")
-        if kind in ("phone", "card"):
-            s = s.replace(" ", rng.choice([" ", "-", "."] if kind == "phone" else [" ", "-"]))
+        s = write(kind, text[a:z])
         moved.append((kind, size, size + len(s)))
         out.append(s)
         size += len(s)
@@ -285,6 +303,42 @@ def _varied(text: str, spans: list[Span], rng: random.Random) -> tuple[str, list
     return "".join([*out, text[at:]]), moved
 
 
+def _other_form(rng: random.Random):
+    """The same data, written in another way."""
+    def write(kind: str, s: str) -> str:
+        if kind == "phone":
+            s = rng.choice(["", "", "00"]) + s.lstrip("+")
+            if rng.random() < 0.5:
+                s = re.sub(r"^[0-9]{1,4}[ -](?=[(0-9])", "", s)
+            if rng.random() < 0.6:
+                s = s.replace("(", "").replace(")", "")
+            if rng.random() < 0.8:
+                s = re.sub(r"[ -]", rng.choice(" -./"), s)
+        elif kind == "card":
+            d = digits_of(s)
+            s = rng.choice([" ", "-", "."]).join(d[i:i + 4] for i in range(0, len(d), 4)) if rng.random() < 0.5 else s.replace(" ", "-")
+        elif kind == "email":
+            s = s.replace("@", rng.choice(["@", " @ ", "@ ", " @"]))
+        return s
+    return write
+
+
+def _nobodys(rng: random.Random):
+    """Numbers of other kinds."""
+    def n(digits: int) -> int:
+        return rng.randint(10 ** (digits - 1), 10 ** digits - 1)
+
+    def write(kind: str, s: str) -> str:
+        year, month, day = rng.randint(1900, 2040), rng.randint(1, 12), rng.randint(1, 28)
+        date = rng.choice([f"{year}-{month:02d}-{day:02d}", f"{day:02d}.{month:02d}.{year}", f"{month}/{day}/{year}"])
+        return rng.choice([
+            date, f"{date} {rng.randint(0, 23):02d}:{rng.randint(0, 59):02d}", f"{date} {n(2)}", f"{date} - {day + 1}.{month}.{year + 1}",
+            f"{n(rng.randint(7, 11)):,}", f"{n(rng.randint(7, 11)):,}".replace(",", "."), f"{n(rng.randint(1, 6))}.{n(rng.randint(4, 12))}",
+            f"order {n(rng.randint(7, 12))}", f"no. {n(rng.randint(7, 12))}", f"{n(8)}-{n(rng.randint(1, 5))}", f"{n(4)}-{n(4)}",
+            f"{n(3)}-{n(3)} {n(2)}", f"{n(1)}.{n(1)}.{n(rng.randint(1, 5))}", f"978-{n(1)}-{n(2)}-{n(6)}-{n(1)}", f"{n(1)}. {n(2)}. {n(3)}. {n(4)}."])
+    return write
+
+
 def _pieces(text: str, spans: list[Span], longest: int, most: int = 120) -> Iterator[list[tuple[int, int]]]:
     """The units of each region, in pieces of about ``most`` that end outside the spans."""
     inside = [(a, z) for _, a, z in spans]
@@ -300,15 +354,17 @@ def _pieces(text: str, spans: list[Span], longest: int, most: int = 120) -> Iter
             at = cut
 
 
-def learn(texts: list[str], longest: int = 24, epochs: int = 12, rate: float = 0.3, ridge: float = 1e-3, seed: int = 3) -> Field:
-    """Gradient ascent on the conditional likelihood of the base spans."""
+def learn(texts: list[str], longest: int = 24, epochs: int = 12, rate: float = 0.3, ridge: float = 1e-3, seed: int = 3, copies: int = 4) -> Field:
+    """Gradient ascent on the conditional likelihood of the base spans, in the texts and in ``copies`` of either sort."""
     rng = random.Random(seed)
     cases = []
     for text in texts:
         base = base_spans(text)
-        for t, spans in ((text, base), _varied(text, base, rng) if base else ("", [])):
-            if not t:
-                continue
+        versions = [(text, base)]
+        for _ in range(copies if base else 0):
+            others, _ = _rewritten(text, base, _nobodys(rng))
+            versions += [_rewritten(text, base, _other_form(rng)), (others, base_spans(others))]
+        for t, spans in versions:
             gold = {(a, z): KINDS.index(k) for k, a, z in reversed(spans)}
             for units in islice(_pieces(t, spans, longest), 40):
                 r = read_region(t, units, longest)
