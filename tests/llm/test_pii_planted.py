@@ -1,5 +1,6 @@
 """Recall and precision of the spans that the field adds to the base ones: other ways to write the same data, and
-numbers that are nobody's, in places drawn at random. Half of the forms are not among those the field learns from."""
+numbers that are nobody's, in places drawn at random. Cards with slashes or underscores, phones with a slash and a blank,
+and numbers with a word or letters before them are not among the forms that the field learns from; the other forms are."""
 
 import random
 
