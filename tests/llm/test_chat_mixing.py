@@ -1,10 +1,12 @@
 import hashlib
+import random
 from collections import Counter, defaultdict
 
 import numpy as np
 from corpus import frame, rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from crowdpulse.llm import chat, mixing
 
@@ -54,6 +56,48 @@ def test_conversations_table(spark):
     assert chat.digests(chat.windows(df.limit(0))).count() == 0
 
 
+def _plain_windows(turns, budget, history, stretch):
+    """The windows of one conversation by one reader, which closes its window where a block ends."""
+    size = [chat.tokens(t) for _, t in turns]
+    span = max(chat.BLOCK * budget, *(4 * n for n, (r, _) in zip(size, turns, strict=True) if r == "system"), 0)
+    state, out, before, block = chat.Windows(budget, history, stretch), [], 0, 0
+    for n, (role, text) in zip(size, turns, strict=True):
+        if sum(size) > span and before // span != block:
+            block = before // span
+            out.append(state.close())
+        out += state.add(role, text)
+        before += n
+    return [*out, state.close()]
+
+
+def test_long_conversations_are_formatted_in_blocks(spark):
+    rng = random.Random(4)
+
+    def talk(n, first, long):
+        return [(i, first if not i else rng.choice(["user", "assistant", "system"][:2 + (i % 97 == 0)]), rng.choice(HOSTILE) + "w " * rng.randint(0, long)) for i in range(n)]
+
+    made = {1: talk(3000, "system", 40), None: talk(1500, "user", 60), 0: talk(20, "system", 10), 3: talk(1, "assistant", 9000),
+            4: [(0, "system", "s" * 9000), *((i, "assistant", "a" * 50) for i in range(1, 900))], 5: [(None, "user", "same " * 30)] * 400}
+    for k in range(6, 30):
+        made[k] = talk(rng.randint(1, 12), "system" if k % 2 else "user", 30)
+    made[30] = [(i, "user", "z" * rng.choice([0, 5, 30_000])) for i in range(60)]
+    rows = [(c, t, r, x) for c, turns in made.items() for t, r, x in turns]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    for budget, history, stretch in ((50, 2, True), (30, 0, False), (60, 5, True)):
+        got = defaultdict(list)
+        for r in chat.windows(df, budget, history, stretch).orderBy("window").collect():
+            got[r.conv_id].append((r.window, r.text, r.repeated, r.starts, r.ends))
+        assert set(got) == set(made)
+        for c, turns in made.items():
+            ordered = [(r, x) for _, r, x in sorted(turns, key=lambda t: (-1 if t[0] is None else t[0], t[1], t[2]))]
+            assert got[c] == _plain_windows(ordered, budget, history, stretch), (c, budget)
+            if stretch:
+                assert sum(len(w[1]) for w in got[c]) <= 8 * sum(len(chat.escape(x)) for _, x in ordered) + 60 * 4 * len(ordered)
+    tasks = chat.placed(df.where("conv_id = 1").select(F.col("conv_id").alias("conv"), F.lit(False).alias("nothing"), "turn", "role", "text", F.lit(3200).cast("long").alias("span")))
+    assert tasks.agg(F.count_distinct("block")).first()[0] > 5 and tasks.agg(F.count_distinct("pos"), F.max("pos")).first() == (3000, 2999)
+
+
 def test_permutation_and_slot_counts():
     for n in (1, 2, 3, 7, 100, 1000):
         key = mixing.round_key(5, 3, np.zeros(n, dtype=int))
