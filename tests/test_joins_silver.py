@@ -1,3 +1,5 @@
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from media_rows import EVENT_DDL, MARKER_DDL, ev, mk, ts
@@ -85,3 +87,23 @@ def test_null_dims_become_unknown(spark):
     rows = [ev("a", 5, region=None, device=None)]
     out = silver.silver_qoe(_ev(spark, rows), _mk(spark, [mk("m1", 1000)]), "1 minute", "2 minutes").first()
     assert out.region == "unknown" and out.device == "unknown" and out.marker_id == "conteudo_regular"
+
+
+def test_count_per_marker_adds_up_before_the_shuffle(spark):
+    """As a distinct count over the joined rows: replayed markers, ids at several places, rows without an id, re-sent events."""
+    import random
+    r, t0 = random.Random(5), dt.datetime(2024, 1, 1)
+    at = lambda: t0 + dt.timedelta(seconds=r.randrange(900))
+    events = [(r.choice([f"e{i}", f"e{i % 40}", None]), r.choice("aab"), r.choice([at(), at(), at(), None])) for i in range(600)]
+    markers = [(f"m{i}", r.choice("ab"), at()) for i in range(30)]
+    markers += markers[:6] + [("m7", "a", at()), ("m8", "b", at()), (None, "a", at()), (None, "a", at()), ("conteudo_regular", "b", at()), ("m50", None, at()), ("m9", "a", None)]
+    ev = spark.createDataFrame(events, "event_id string, content_id string, timestamp timestamp").dropDuplicates(["event_id", "timestamp", "content_id"])
+    mk = spark.createDataFrame(markers, "marker_id string, channel string, wallclock timestamp")
+    plain = joins.label_ad_marker(joins.ad_interval_join(ev, mk, "2 minutes"))
+    want = plain.groupBy("marker_id").agg(F.count(F.lit(1)).alias("n_events"), F.count_distinct("event_id").alias("n_ids"),
+                                          F.min("timestamp").alias("first_ts"), F.max("timestamp").alias("last_ts"))
+    joined = joins.label_ad_marker(joins.ad_interval_join(joins.with_previous(ev), joins.marker_places(mk), "2 minutes"))
+    got = joins.count_per_marker(joined)
+    assert got.schema.simpleString() == want.schema.simpleString()
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert joined.where("_one").count() > 200 and joined.where("_one").select("marker_id").distinct().count() < 30
