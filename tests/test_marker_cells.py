@@ -82,3 +82,36 @@ def test_the_cube_reads_one_exchange(spark, tmp_path):
     made = [line for line in plan.splitlines() if "Exchange" in line and "Reused" not in line]
     assert sum("hashpartitioning(event_id" in line for line in made) == 1
     assert sum("hashpartitioning(_win" in line and "REPARTITION_BY_COL" in line for line in made) == 1
+
+
+def made_exchanges(df):
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return [line for line in plan.splitlines() if "Exchange" in line and "Reused" not in line]
+
+
+def test_a_cube_with_dropped_columns_reads_one_exchange(spark, tmp_path):
+    """Whoever drops columns of the cube still makes its exchange and its dedupe once."""
+    events, markers = rows(spark, 5)
+    events.write.parquet(f"{tmp_path}/events")
+    markers.write.parquet(f"{tmp_path}/markers")
+    read = lambda: silver.silver_qoe(spark.read.parquet(f"{tmp_path}/events"), spark.read.parquet(f"{tmp_path}/markers"), "1 minute", "2 minutes")
+    for some in (read().groupBy("window_start").agg(F.sum("ccv")), read().groupBy("window_start", "cdn").agg(F.avg("error_rate"))):
+        made = made_exchanges(some)
+        assert sum("hashpartitioning(event_id" in line for line in made) == 1
+        assert sum("REPARTITION_BY_COL" in line for line in made) == 1
+
+
+def test_markers_meet_events_once_a_window(spark):
+    """Markers are not joined with the cells before the exchange: it takes them once a window and part, however many regions,
+    devices and CDNs there are."""
+    events, markers = rows(spark, 6)
+    plan = silver.silver_qoe(events, markers, "1 minute", "2 minutes")._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    found = 0
+    for i, line in enumerate(plan):
+        if "RepartitionByExpression" in line:
+            found += 1
+            below = plan[i + 1:i + 1 + next((n for n, x in enumerate(plan[i + 1:]) if depth(x) <= depth(line)), len(plan))]
+            assert below and not [x for x in below if " Join " in x.replace("- Join", "- Join ") and "_win" in x]
+    assert found
