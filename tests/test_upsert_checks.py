@@ -89,3 +89,13 @@ def test_emission_is_stamped_where_it_is_written(spark):
         silver_upsert(s, f"{root}/{name}", f"{root}/ck-{name}", keys, trigger=None, stamp="emitted_at", clock=clock).awaitTermination()
         r = slo_freshness(read_upserted(spark, f"{root}/{name}"), "window_end", "emitted_at", 120).first()
         assert r.within == (r.rows if within is None else within) and r.met == (within is None)
+
+
+def test_latest_row_is_carried_once(spark):
+    """A key's row goes through the exchange once, not as value and as order."""
+    from crowdpulse.sinks.writers import latest_per_key
+    df = spark.createDataFrame([("a", 1, "x", None), ("a", 2, "b", 3), ("a", 2, "b", 4), ("b", 5, None, 1), ("b", None, "z", 9)], "k string, v int, w string, n int")
+    for version, want in (((), [("a", 2, "b", 4), ("b", 5, None, 1)]), (("w",), [("a", 1, "x", None), ("b", None, "z", 9)])):
+        got = latest_per_key(df, ["k"], list(version))
+        assert got.columns == df.columns and sorted(tuple(r) for r in got.collect()) == want
+        assert got._jdf.queryExecution().optimizedPlan().toString().count("struct(") == 1
