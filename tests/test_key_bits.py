@@ -43,5 +43,29 @@ def test_gold_is_the_same_with_fewer_decisions(spark):
     silver = silver_qoe(events, cues, "1 minute", "2 minutes")
     got, want = G.gold_reconciliation(silver, ads, content, cues=cues), G.gold_reconciliation(silver, ads, content)
     assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and want.count() > 0
+    listed = G.gold_reconciliation(silver, ads, content, cues=cues, listed=ads.select("marker_id", "decision_id").distinct())
+    assert sorted(map(str, listed.collect())) == sorted(map(str, want.collect()))
     assert {r.advertiser_name for r in G.decisions_of(ads, cues).where("marker_id LIKE 'x%'").collect()} == {"gone"}
     assert G.gold_reconciliation(silver, ads, content, cues=cues.limit(0)).where("total_revenue_brl > 0").count() > 0   # no id: they stay
+
+
+def test_the_second_run_sends_an_input_row_once(spark, tmp_path, monkeypatch):
+    """idempotence_diff reorders events and decisions in one exchange each and doubles the rows behind it."""
+    from crowdpulse.plans import gold_queries as Q
+    seen, kept = [], G.gold_reconciliation
+
+    def watched(silver, ads, *a, **kw):
+        gold = kept(silver, ads, *a, **kw)
+        seen.append((ads, gold._jdf.queryExecution().optimizedPlan().toString().splitlines()))
+        return gold
+
+    monkeypatch.setattr(Q.G, "gold_reconciliation", watched)
+    sf = "/root/testdata/sf0.001"
+    assert Q.q_idempotence_diff(spark, sf).first()[:] == (0, 0)
+    ads, plan = seen[1]
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    for key, parts in (("creative_id", 5), ("session_id", 7)):
+        at = [i for i, line in enumerate(plan) if f"RepartitionByExpression [{key}#" in line and f"], {parts}" in line]
+        assert at and all("Union" not in x for i in at for x in plan[i + 1:i + 1 + next((n for n, x in enumerate(plan[i + 1:]) if depth(x) <= depth(plan[i])), len(plan))])
+    assert sum("RepartitionByExpression [creative_id#" in line for line in plan) == 1      # none for the filter
+    assert ads.count() == 2 * Q.tm.ad_decisions(spark, sf).count()
